@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..session import table
 from . import tables
+from .boundaries import split_items, valleys
 from .look_alikes import matching_terms
 from .repeated_lines import cleaned_documents, repeated_lines
 
@@ -19,11 +20,21 @@ def p1_documents(spark, sf_dir):
     return cleaned_documents(rows, p1_found(spark, sf_dir))
 
 
+def p3_found(spark, sf_dir):
+    found = valleys(tables.chunks(spark, sf_dir), tables.span_groups(spark, sf_dir), 25)
+    return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("chunk_id"), "cut_page")
+
+
+def p3_pieces(spark, sf_dir):
+    made = split_items(tables.chunks(spark, sf_dir), tables.span_groups(spark, sf_dir), 25, 2)
+    return made.withColumnsRenamed({"doc": "doc_id", "item": "chunk_id"})
+
+
 def p4_found(spark, sf_dir):
     rows = table(spark, sf_dir, "pdf_lines").select(F.lit("line").alias("kind"), F.col("line_id").alias("row_id"), "text")
     toks = table(spark, sf_dir, "page_toks").select(F.lit("tok").alias("kind"), F.col("tok_id").alias("row_id"), "text")
     return matching_terms(rows.unionByName(toks), table(spark, sf_dir, "glossary"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_documents": p1_documents, "p4_found": p4_found}
+QUERIES = {"p1_found": p1_found, "p1_documents": p1_documents, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found}
 SQL = {}

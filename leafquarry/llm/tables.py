@@ -17,3 +17,29 @@ def jobs(spark, sf_dir):
 
 def lines(spark, sf_dir, *columns):
     return table(spark, sf_dir, "pdf_lines").select(*columns)
+
+
+def chunks(spark, sf_dir):
+    """Chunks as delivered last: doc, item, lo, hi; an open end is the last page of the document."""
+    last = latest(table(spark, sf_dir, "chunks"), ["doc_id", "chunk_id"], "delivered_at", ["start_page", "end_page"])
+    known = jobs(spark, sf_dir).select(F.col("id").alias("doc_id"), "pages")
+    ended = last.join(known, "doc_id", "left").withColumn("end_page", F.coalesce("end_page", "pages"))
+    return ended.where("start_page is not null and end_page is not null").select(
+        F.col("doc_id").alias("doc"), F.col("chunk_id").alias("item"),
+        F.least("start_page", "end_page").alias("lo"), F.greatest("start_page", "end_page").alias("hi"),
+    )
+
+
+def span_groups(spark, sf_dir):
+    """Span groups once each: doc, lo, hi, title, protected; swapped pages put right, a missing page is the other one."""
+    raw = table(spark, sf_dir, "span_groups").select("doc_id", "group_id", "span_type", "start_page", "end_page", "title").distinct()
+    a, b = F.coalesce("start_page", "end_page"), F.coalesce("end_page", "start_page")
+    long_series = (F.col("span_type") == "series") & (F.col("hi") - F.col("lo") + 1 >= 10)
+    return (
+        raw.where("doc_id is not null")
+        .withColumn("lo", F.least(a, b)).withColumn("hi", F.greatest(a, b)).where("lo is not null")
+        .select(
+            F.col("doc_id").alias("doc"), "lo", "hi", "title",
+            F.coalesce(F.col("span_type").isin("continuation", "section_block") | long_series, F.lit(False)).alias("protected"),
+        )
+    )
