@@ -6,6 +6,7 @@ from ..session import table
 from . import tables
 from .boundaries import split_items, valleys
 from .look_alikes import matching_terms
+from .packing import byte_pieces, fill
 from .repeated_lines import cleaned_documents, repeated_lines
 
 
@@ -36,5 +37,28 @@ def p4_found(spark, sf_dir):
     return matching_terms(rows.unionByName(toks), table(spark, sf_dir, "glossary"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_documents": p1_documents, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found}
+CAPACITY = 8192
+
+
+def p6_fill(spark, sf_dir):
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("item"), "text")
+    return fill(texts, byte_pieces(CAPACITY), CAPACITY).withColumnRenamed("item", "doc_id")
+
+
+def p6_found(spark, sf_dir):
+    return p6_fill(spark, sf_dir).where("n_pieces > 1").select("doc_id").distinct()
+
+
+def p6_report(spark, sf_dir):
+    """Containers used, the fewest possible by volume, and the share of room that stays empty."""
+    filled = p6_fill(spark, sf_dir).groupBy("container").agg(F.sum("size").alias("used"), F.max("n_pieces").alias("pieces"))
+    fewest = F.ceil(F.sum("used") / CAPACITY)
+    return filled.agg(
+        F.count(F.lit(1)).alias("containers"), fewest.alias("fewest_by_volume"), F.max("used").alias("fullest"),
+        F.round(1 - F.sum("used") / (F.count(F.lit(1)) * CAPACITY), 6).alias("empty_share"),
+    )
+
+
+QUERIES = {"p1_found": p1_found, "p1_documents": p1_documents, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found,
+    "p6_found": p6_found, "p6_fill": p6_fill, "p6_report": p6_report}
 SQL = {}
