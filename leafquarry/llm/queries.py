@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..session import table
 from . import tables
 from .boundaries import split_items, valleys
+from .leakage import leaked
 from .look_alikes import matching_terms
 from .packing import byte_pieces, fill
 from .repeated_lines import cleaned_documents, repeated_lines
@@ -59,6 +60,14 @@ def p6_report(spark, sf_dir):
     )
 
 
+def p7_leaks(spark, sf_dir):
+    return leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p7_found(spark, sf_dir):
+    return p7_leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
 QUERIES = {"p1_found": p1_found, "p1_documents": p1_documents, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found,
-    "p6_found": p6_found, "p6_fill": p6_fill, "p6_report": p6_report}
+    "p6_found": p6_found, "p6_fill": p6_fill, "p6_report": p6_report, "p7_found": p7_found, "p7_leaks": p7_leaks}
 SQL = {}
