@@ -8,6 +8,7 @@ from .boundaries import split_items, valleys
 from .leakage import leaked
 from .look_alikes import matching_terms
 from .packing import byte_pieces, fill
+from .quality import COMMON, kind_of, statistics
 from .repeated_lines import cleaned_documents, repeated_lines
 
 
@@ -68,6 +69,27 @@ def p7_found(spark, sf_dir):
     return p7_leaks(spark, sf_dir).select("doc_id", "item_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_documents": p1_documents, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found,
-    "p6_found": p6_found, "p6_fill": p6_fill, "p6_report": p6_report, "p7_found": p7_found, "p7_leaks": p7_leaks}
+STATS = ["doc_id", "n_words", "mean_word_length", "symbol_ratio", "punct_line_share", "bullet_line_share", "common_word_share"]
+
+
+def p8_statistics(spark, sf_dir):
+    return statistics(table(spark, sf_dir, "documents").select("doc_id", "text")).select(*STATS)
+
+
+def p8_report(spark, sf_dir):
+    """Every document with its statistics, its kind and the rule that decided."""
+    made = statistics(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumn("k", kind_of(F.col("text")))
+    return made.select(*STATS, "k.kind", "k.reason", "k.share")
+
+
+def p8_found(spark, sf_dir):
+    made = table(spark, sf_dir, "documents").select("doc_id", kind_of(F.col("text")).alias("k"))
+    return made.select("doc_id", "k.kind").where("kind in ('list', 'table', 'junk')")
+
+
+QUERIES = {
+    "p1_found": p1_found, "p1_documents": p1_documents, "p3_found": p3_found, "p3_pieces": p3_pieces,
+    "p4_found": p4_found, "p6_found": p6_found, "p6_fill": p6_fill, "p6_report": p6_report,
+    "p7_found": p7_found, "p7_leaks": p7_leaks, "p8_found": p8_found, "p8_statistics": p8_statistics, "p8_report": p8_report,
+}
 SQL = {}
