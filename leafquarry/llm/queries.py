@@ -8,8 +8,9 @@ from .boundaries import split_items, valleys
 from .leakage import leaked
 from .look_alikes import matching_terms
 from .packing import byte_pieces, fill
-from .quality import COMMON, kind_of, statistics
+from .quality import kind_of, statistics
 from .repeated_lines import cleaned_documents, repeated_lines
+from .scans import defects, lexicon, paragraphs, text_rows
 
 
 def p1_found(spark, sf_dir):
@@ -39,6 +40,19 @@ def p4_found(spark, sf_dir):
     return matching_terms(rows.unionByName(toks), table(spark, sf_dir, "glossary"))
 
 
+def _words(spark, sf_dir):
+    return lexicon(text_rows(tables.layout_rows(spark, sf_dir, scanned=False)))
+
+
+def p5_found(spark, sf_dir):
+    return defects(tables.layout_rows(spark, sf_dir, scanned=True), _words(spark, sf_dir))
+
+
+def p5_paragraphs(spark, sf_dir):
+    rows = tables.layout_rows(spark, sf_dir, scanned=True).where("kind = 'line'")
+    return paragraphs(rows, _words(spark, sf_dir)).withColumnRenamed("doc", "doc_id")
+
+
 CAPACITY = 8192
 
 
@@ -89,7 +103,7 @@ def p8_found(spark, sf_dir):
 
 QUERIES = {
     "p1_found": p1_found, "p1_documents": p1_documents, "p3_found": p3_found, "p3_pieces": p3_pieces,
-    "p4_found": p4_found, "p6_found": p6_found, "p6_fill": p6_fill, "p6_report": p6_report,
+    "p4_found": p4_found, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p6_found": p6_found, "p6_fill": p6_fill, "p6_report": p6_report,
     "p7_found": p7_found, "p7_leaks": p7_leaks, "p8_found": p8_found, "p8_statistics": p8_statistics, "p8_report": p8_report,
 }
 SQL = {}

@@ -43,3 +43,18 @@ def span_groups(spark, sf_dir):
             F.coalesce(F.col("span_type").isin("continuation", "section_block") | long_series, F.lit(False)).alias("protected"),
         )
     )
+
+
+def layout_rows(spark, sf_dir, scanned: bool):
+    """Line and token rows of the scanned, or of the other, documents in one form."""
+    docs = jobs(spark, sf_dir).where(F.col("scanned") == scanned).select(F.col("id").alias("doc"))
+    size = F.get("spans", F.lit(0))["size"]
+    rows = table(spark, sf_dir, "pdf_lines").select(
+        F.lit("line").alias("kind"), F.col("line_id").alias("row_id"), F.col("doc_id").alias("doc"), "page",
+        F.col("line_no").alias("no"), "y0", "x0", size.alias("size"), "text",
+    )
+    toks = table(spark, sf_dir, "page_toks").select(
+        F.lit("tok").alias("kind"), F.col("tok_id").alias("row_id"), F.col("doc_id").alias("doc"), "page",
+        F.col("tok_no").alias("no"), "y0", "x0", "size", "text",
+    )
+    return rows.unionByName(toks).where("text is not null and row_id is not null").join(docs, "doc")
