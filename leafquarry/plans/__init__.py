@@ -1 +1,14 @@
-"""Registered queries of the core; each module has QUERIES and SQL dictionaries."""
+"""Registered queries of the core: every module of this package has QUERIES and SQL dictionaries."""
+
+from importlib import import_module
+from pkgutil import iter_modules
+
+
+def registered() -> tuple[dict, dict]:
+    """Queries and oracle SQL of all modules of this package."""
+    queries, sql = {}, {}
+    for found in sorted(iter_modules(__path__), key=lambda m: m.name):
+        module = import_module(f"{__name__}.{found.name}")
+        queries |= module.QUERIES
+        sql |= module.SQL
+    return queries, sql
