@@ -41,7 +41,7 @@ def p4_found(spark, sf_dir):
 
 
 def _words(spark, sf_dir):
-    return lexicon(text_rows(tables.layout_rows(spark, sf_dir, scanned=False)))
+    return lexicon(text_rows(tables.layout_rows(spark, sf_dir, scanned=False)), tables.reference_texts(spark, sf_dir))
 
 
 def p5_found(spark, sf_dir):

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..functions.look import look
 from ..operators.snapshots import latest
 from ..session import table
 
@@ -58,3 +59,11 @@ def layout_rows(spark, sf_dir, scanned: bool):
         F.col("tok_no").alias("no"), "y0", "x0", "size", "text",
     )
     return rows.unionByName(toks).where("text is not null and row_id is not null").join(docs, "doc")
+
+
+def reference_texts(spark, sf_dir):
+    """Titles of jobs and glossary terms: texts that no scanner has touched, in consistent form."""
+    titles = table(spark, sf_dir, "jobs").select(F.col("title").alias("text"))
+    terms = table(spark, sf_dir, "glossary").select(F.col("term").alias("text"))
+    copies = terms.select("text", F.explode(F.sequence(F.lit(1), F.lit(2)))).select("text")  # a term is always known
+    return titles.unionByName(copies).where("text is not null").select(look(F.col("text")).alias("form"))
