@@ -41,15 +41,22 @@ IGNORABLE = (
 )
 _DROP = re.compile(f"[{IGNORABLE}]")
 _EARLY = {ord(c): "-" for c in HYPHENS} | {ord(c): " " for c in SPACES}
+_FIRST = re.compile(f"[{HYPHENS}{SPACES}{IGNORABLE}]")
 _LATE = {ord(k): v for k, v in LOOKALIKES.items()}
+_SCRIPTS = [*range(0x250, 0x5D0), *range(0x1F00, 0x2000)]
+_SECOND = re.compile(
+    "[" + "".join({*LOOKALIKES, *(chr(c) for c in _SCRIPTS if unicodedata.normalize("NFD", chr(c))[0] in LOOKALIKES)}) + "]"
+)
 
 
 def fold_look(text: str) -> str:
     """The consistent form of one text; texts of the same look have the same form."""
     if text.isascii():
         return text
-    text = unicodedata.normalize("NFKC", _DROP.sub("", text).translate(_EARLY))
-    if text.isascii():
+    if _FIRST.search(text):
+        text = _DROP.sub("", text).translate(_EARLY)
+    text = unicodedata.normalize("NFKC", text)
+    if text.isascii() or not _SECOND.search(text):
         return text
     return unicodedata.normalize("NFC", unicodedata.normalize("NFD", text).translate(_LATE))
 
