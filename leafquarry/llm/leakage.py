@@ -11,6 +11,7 @@ and it is reported whether each slot value was replaced the same way throughout.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -29,7 +30,7 @@ ONE_IN = 8
 BLOCK_WINDOWS = 400_000  # windows of one broadcast block: about 10 MB
 # Units of measure that become one placeholder.
 UNITS = frozenset("mm cm m km metre metres meter meters mile miles g kg gram grams tonne tonnes l litre litres hour hours minute minutes second seconds euro euros pound pounds percent degrees".split())
-_BROKEN = re.compile(r"(?<=\w)[-‐‑¬­－][ \t]*\r?\n\s*(?=\w)")
+_BROKEN = re.compile("[-\u2010\u2011\xac\xad\uff0d][ \\t]*\\r?\\n\\s*(?=\\w)")
 _INNER = re.compile(r"(?<=\w)[-'’](?=\w)")
 _WORD = re.compile(r"\w+")
 _NUMBER = re.compile(r"\d+\Z")
@@ -46,11 +47,27 @@ FOUND = T.StructType(
 )
 
 
+class _Splits(dict):
+    """Translation of characters for splitting: letters and digits stay, hyphens and apostrophes go, others part words."""
+
+    def __missing__(self, code: int) -> int | None:
+        ch = chr(code)
+        made = code if ch.isalnum() or unicodedata.combining(ch) else None if ch in "-'’" else 32
+        self[code] = made
+        return made
+
+
+_SPLITS = _Splits()
+
+
 def words_of(text: str) -> list[str]:
     """Words of a text: look-alikes and case folded, words broken at line ends rejoined, inner hyphens dropped."""
     if "\n" in text:
         text = _BROKEN.sub("", text)
-    return _WORD.findall(_INNER.sub("", fold_look(text).casefold()))
+    text = fold_look(text).casefold()
+    if "--" in text:
+        text = text.replace("--", " ")
+    return text.translate(_SPLITS).split()
 
 
 def names_in(texts: list[str]) -> set[str]:

@@ -39,12 +39,14 @@ CELL_WORDS = 5  # words of a table cell on average at most
 _BULLET = re.compile(r"\s*(?:[-*+•▪–—·‣◦●○■□➢►]|\(?\d{1,4}[.)]|\(?[A-Za-z][.)]|\(?[ivxlcIVXLC]{1,6}[.)])\s+(?=\S)")
 _LEADER = re.compile(r"(?:\.\s?){3,}\s*[\divxlc]+\s*$|…+\s*\d+\s*$")
 _GAP = re.compile(r"\S(?: {3,}|\t+ *)(?=\S)")
+_DIGIT = re.compile(r"\d")
 _WORD = re.compile(r"[^\W\d_]+")
 _CLEAN_CELL = re.compile(r"(?:[\w✓✗×–—%€$£°+\-.,:/()'’& ]|<br>|n/a)*\Z")
 _VOWEL = re.compile(r"[aeiouyàáâãäåæèéêëìíîïòóôõöøœùúûüýÿαεηιουωάέήίόύώϊϋаеёиоуыэюяіїє]")
 _BROKEN = re.compile(r"�|[ÃÂâ][\u0080-¿€™œžŸ�]")
 _RULE = re.compile(r"[\s|:+=_-]+\Z")
 _LONG = re.compile(r"(?<!\S)(?=\S*[A-Za-z]\S*[A-Z0-9+/=]|[0-9a-f]+(?!\S))[A-Za-z0-9+/=_-]{%d,}(?!\S)" % LONG_TOKEN)
+_MARKED = re.compile(r"[|\t;�ÃÂâ_=^~`]|   |\.\.|\A[^\w“\"'¿¡(]|\A\S{0,5}[.)]\s|\A[(]|[\x00-\x1f]")
 _CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 
 KIND = T.StructType([T.StructField("kind", T.StringType()), T.StructField("reason", T.StringType()), T.StructField("share", T.DoubleType())])
@@ -75,7 +77,7 @@ def _cells(line: str) -> list[str] | None:
 
 def _noise(line: str) -> str | None:
     """The junk rule a line fails, or None."""
-    solid = sum(not ch.isspace() for ch in line)
+    solid = len("".join(line.split()))
     if not solid:
         return None
     if len(_BROKEN.findall(line)) * 2 > ODD_SHARE * solid or len(_CONTROL.findall(line)) > ODD_SHARE * solid:
@@ -84,7 +86,7 @@ def _noise(line: str) -> str | None:
         return "encoded data"
     words = _WORD.findall(line.lower())
     letters = sum(map(len, words))
-    digits = sum(ch.isdigit() for ch in line)
+    digits = len(_DIGIT.findall(line))
     if digits >= DIGIT_SHARE * solid and letters < 0.2 * solid:
         return "numbers"
     if solid >= 2 and (letters + digits < LETTER_SHARE * solid or (solid >= 10 and letters < 0.75 * solid and letters <= 3 * len(words) and len(words) >= 4)):
@@ -98,14 +100,14 @@ def _noise(line: str) -> str | None:
 
 
 def _repetition(words: list[str], text: str) -> bool:
-    if len(words) >= REPEAT_WORDS:
+    # Neighbouring pairs are at least as many as the words but one, so varied words settle it.
+    if len(words) >= REPEAT_WORDS and len(set(words)) - 1 <= max(4, REPEAT_SHARE * len(words)):
         pairs = Counter(pairwise(words))
         top = pairs.most_common(4)
         n = len(words) - 1
         if len(pairs) <= 4 or (len(pairs) < REPEAT_SHARE * n and sum(c for _, c in top) > 0.6 * n):
             return True
-    solid = text.replace(" ", "").replace("\n", "")
-    return len(solid) >= 40 and len(set(solid)) <= 3
+    return len(set(text)) <= 5 and len("".join(text.split())) >= 40 and len(set("".join(text.split()))) <= 3
 
 
 def classify(text: str | None) -> tuple[str, str, float] | None:
@@ -113,13 +115,15 @@ def classify(text: str | None) -> tuple[str, str, float] | None:
     if text is None or not text.strip():
         return None
     lines = [ln for ln in text.splitlines() if ln.strip()]
-    words = _WORD.findall(text.lower())
-    if _repetition(words, text):
+    if _repetition(text.lower().split(), text):
         return "junk", "repetition", 1.0
     kinds: list[tuple[str, str]] = []
     for line in lines:
         s = line.strip()
-        if _LEADER.search(s) and len(_WORD.findall(s)) <= ITEM_WORDS:
+        if _plain_prose(s):
+            kinds.append(("prose", "prose"))
+            continue
+        if ("..." in s or ". ." in s or "…" in s) and _LEADER.search(s) and len(_WORD.findall(s)) <= ITEM_WORDS:
             kinds.append(("list", "leader line"))
             continue
         if "|" in s and _RULE.match(s) and len(s) >= 3:
@@ -157,6 +161,14 @@ def _noise_cells(cells: list[str]) -> bool:
     return bool(full) and sum(bool(_CLEAN_CELL.match(c)) and bool(re.search(r"\w|[✓✗×–—-]", c)) for c in full) < 0.8 * len(full)
 
 
+def _plain_prose(line: str) -> bool:
+    """Whether a line is so plainly prose that no other rule can hold: common words, no separators, no mark at its start."""
+    if _MARKED.search(line):
+        return False
+    words = line.lower().split()
+    return sum(w in _COMMON and len(w) > 1 for w in words) * 7 >= len(words) >= 5
+
+
 def _phrases(lines: list[str], kinds: list[tuple[str, str]]) -> None:
     """Runs of unmarked short lines become list items unless they read on from line to line like wrapped prose."""
     i = 0
@@ -165,7 +177,7 @@ def _phrases(lines: list[str], kinds: list[tuple[str, str]]) -> None:
         while j < len(lines) and kinds[j][0] == "prose" and len(lines[j].split()) <= ITEM_WORDS and not lines[j].lstrip().startswith("#"):
             j += 1
         run = [ln.strip() for ln in lines[i:j]]
-        if len(run) >= 2:
+        if len(run) >= 3 and sum(len(ln.split()) for ln in run) <= 9 * len(run):
             said = [w for ln in run for w in _WORD.findall(ln.lower())]
             common = sum(w in _COMMON for w in said) / max(1, len(said))
             mean = len(said) / len(run)
