@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from .lines import AFTER, BEFORE, SO_FAR, exploded, rebuilt
 
-DOC = Window.partitionBy("doc_id").orderBy("line_no")
+
+def _doc():
+    return Window.partitionBy("doc_id").orderBy("line_no")
 
 
 def with_fences(lines: DataFrame) -> DataFrame:
     """lines with `fenced`: inside a fenced block or a fence itself."""
     mark = F.trim("line").startswith("```")
-    return lines.withColumn("fenced", ((F.sum(mark.cast("int")).over(DOC.rowsBetween(*SO_FAR)) % 2) == 1) | mark)
+    return lines.withColumn("fenced", ((F.sum(mark.cast("int")).over(_doc().rowsBetween(*SO_FAR)) % 2) == 1) | mark)
 
 
 def on_prose(fn: Callable[[Column], Column]) -> Callable[[DataFrame], DataFrame]:
@@ -30,7 +32,7 @@ def on_prose(fn: Callable[[Column], Column]) -> Callable[[DataFrame], DataFrame]
 
 
 def drop_repeats(df: DataFrame) -> DataFrame:
-    again = (F.lag("line").over(DOC) == F.col("line")) & (F.trim("line") != "") & ~F.col("fenced")
+    again = (F.lag("line").over(_doc()) == F.col("line")) & (F.trim("line") != "") & ~F.col("fenced")
     return df.withColumn("_a", again).where("_a is null or not _a").drop("_a")
 
 
@@ -38,7 +40,7 @@ def drop_repeated_markers(df: DataFrame) -> DataFrame:
     """A page marker equal to the last page marker before it goes, whatever stands between."""
     page = F.regexp_extract("line", r"^<!-- page:([0-9]+) -->[ \t]*$", 1)
     marked = df.withColumn("_m", F.when(page != "", page))
-    last = F.last("_m", True).over(DOC.rowsBetween(*BEFORE))
+    last = F.last("_m", True).over(_doc().rowsBetween(*BEFORE))
     return marked.withColumn("_l", last).where("_m is null or _l is null or _m <> _l").drop("_m", "_l")
 
 
@@ -46,7 +48,7 @@ def tighten_lists(df: DataFrame) -> DataFrame:
     """Blank lines between two list items go."""
     item = F.when(F.trim("line") != "", F.trim("line").rlike(r"^([-*] |[0-9]+[.)] )"))
     seen = df.withColumn("_i", item).withColumns(
-        {"_b": F.last("_i", True).over(DOC.rowsBetween(*BEFORE)), "_f": F.first("_i", True).over(DOC.rowsBetween(*AFTER))}
+        {"_b": F.last("_i", True).over(_doc().rowsBetween(*BEFORE)), "_f": F.first("_i", True).over(_doc().rowsBetween(*AFTER))}
     )
     between = (F.trim("line") == "") & F.coalesce("_b", F.lit(False)) & F.coalesce("_f", F.lit(False)) & ~F.col("fenced")
     return seen.where(~between).drop("_i", "_b", "_f")
@@ -55,7 +57,7 @@ def tighten_lists(df: DataFrame) -> DataFrame:
 def space_headings(df: DataFrame) -> DataFrame:
     """A blank line before and after headings that stand against text."""
     head = F.col("line").startswith("#") & ~F.col("fenced")
-    near = df.withColumns({"_h": head, "_p": F.lag("line").over(DOC), "_n": F.lead("line").over(DOC)})
+    near = df.withColumns({"_h": head, "_p": F.lag("line").over(_doc()), "_n": F.lead("line").over(_doc())})
     before = F.col("_h") & F.col("_p").isNotNull() & (F.trim("_p") != "")
     after = F.col("_h") & F.col("_n").isNotNull() & (F.trim("_n") != "") & ~F.col("_n").startswith("#")
     blank = F.array(F.lit(""))
@@ -68,13 +70,13 @@ def space_headings(df: DataFrame) -> DataFrame:
 
 def collapse_blanks(df: DataFrame) -> DataFrame:
     """Of a run of blank lines only the first stays."""
-    again = (F.trim("line") == "") & (F.trim(F.lag("line").over(DOC)) == "") & ~F.col("fenced")
+    again = (F.trim("line") == "") & (F.trim(F.lag("line").over(_doc())) == "") & ~F.col("fenced")
     return df.withColumn("_a", again).where("_a is null or not _a").drop("_a")
 
 
 def caption_first(df: DataFrame) -> DataFrame:
     """A visible page caption right after its machine marker moves before it."""
-    w = DOC
+    w = _doc()
     marker = F.col("line").rlike(r"^<!-- page:[0-9]+ -->[ \t]*$")
     caption = F.trim("line").rlike(r"^\*?Page \**[0-9]+\**\*?$")
     near = df.withColumns({"_m": marker, "_c": caption}).withColumns({"_pm": F.lag("_m").over(w), "_nc": F.lead("_c").over(w)})
