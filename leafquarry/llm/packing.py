@@ -3,14 +3,14 @@
 The items are only seen through their length histogram: lengths are rounded up to grains of the capacity, and a
 configuration linear program over the histogram says how often each way to fill a container is used. It is solved by
 multiplicative weights: length classes not yet served become dearer, and an unbounded knapsack by dynamic programming
-prices the next configuration. The solution is rounded down, and what rounding leaves is bounded by the number of
-configurations, whatever the number of items; it is placed best-fit, longest first. Items then find their container
+prices the next configuration. The solution is rounded down; room of classes that are served already goes to others,
+longest first, and so do the containers that rounding lost. All of it works on the histogram, whatever the number of
+items. Items then find their container
 by arithmetic on their rank within their class, so no task ever holds more than a shard of one class.
 """
 
 from __future__ import annotations
 
-import bisect
 from collections.abc import Callable
 
 import numpy as np
@@ -96,10 +96,8 @@ def configuration_program(need: np.ndarray, grains: int, rounds: int = ROUNDS, e
         found[key] = (config, found.get(key, (None, 0.0))[1] + step)
         if (served[live] / scale[live]).min() >= 1 / eps**2:
             break
-    rate = max(1e-12, float((served[live] / scale[live]).min()))
-    used = float((served[live] / scale[live]).max())
-    # Scaled so that no class gets more slots than items; what stays open is placed after rounding.
-    return [(c, x / max(rate, used)) for c, x in found.values()]
+    rate = max(1e-12, float((served[live] / scale[live]).min()))  # scaled so that every class is served whole
+    return [(c, x / rate) for c, x in found.values()]
 
 
 def plan_containers(need: np.ndarray, grains: int) -> tuple[list[tuple[int, int, int, int]], int]:
@@ -118,38 +116,34 @@ def plan_containers(need: np.ndarray, grains: int) -> tuple[list[tuple[int, int,
             left[k] -= int(config[k]) * times
         bins += times
 
-    for config, x in sorted(configuration_program(need, grains), key=lambda cx: -cx[1]):
-        held = config > 0
-        times = min(int(x), int((left[held] // config[held]).min()))
-        if times > 0:
-            use(config, times)
-    # A second pass uses configurations that still fit whole, then best fit takes the rest.
-    rooms: list[int] = []
-    held_by: list[dict[int, int]] = []
-    order: list[tuple[int, int]] = []  # (room, container), sorted
-    for k in range(len(need) - 1, -1, -1):
-        todo, size = int(left[k]), k + 1
-        while todo > 0:
-            at = bisect.bisect_left(order, (size, -1))
-            if at < len(order):
-                room, b = order.pop(at)
-                n = min(todo, room // size)
-            else:
-                b, room = len(rooms), grains
-                rooms.append(grains)
-                held_by.append({})
-                n = min(todo, room // size)
-            held_by[b][k] = held_by[b].get(k, 0) + n
-            todo -= n
-            room -= n * size
-            rooms[b] = room
-            if room:
-                bisect.insort(order, (room, b))
-    for content in held_by:
-        config = np.zeros(len(need), dtype=np.int64)
-        for k, n in content.items():
-            config[k] = n
-        use(config, 1)
+    sizes = np.arange(1, len(need) + 1)
+
+    def topped(config: np.ndarray) -> np.ndarray:
+        """The configuration as far as items are left, its free room filled longest first."""
+        config = np.minimum(config, left)
+        room = grains - int((config * sizes).sum())
+        while room > 0:
+            fits = np.nonzero((left > config) & (sizes <= room))[0]
+            if not len(fits):
+                break
+            k = int(fits[-1])
+            config[k] += min(int(left[k] - config[k]), room // (k + 1))
+            room = grains - int((config * sizes).sum())
+        return config
+
+    def spend(config: np.ndarray, times: int) -> None:
+        """The configuration `times` times; whenever a class runs out, its room goes to what is left of others."""
+        while times > 0 and left.any():
+            now = topped(config)
+            held = now > 0
+            n = min(times, int((left[held] // now[held]).min()))
+            use(now, n)
+            times -= n
+
+    for config, x in sorted(configuration_program(left, grains), key=lambda cx: (-cx[1], cx[0].tobytes())):
+        spend(config, int(x))
+    while left.any():  # what rounding down left: equal containers at once, so the work depends on the classes alone
+        spend(np.zeros(len(need), dtype=np.int64), 1 << 60)
     return sorted(runs), bins
 
 

@@ -8,7 +8,7 @@ from .boundaries import split_items, valleys
 from .leakage import leaked
 from .look_alikes import matching_terms
 from .packing import byte_pieces, fill
-from .quality import kind_of, statistics
+from .quality import COMMON, kind_of, statistics
 from .repeated_lines import cleaned_documents, repeated_lines
 from .scans import defects, lexicon, paragraphs, text_rows
 
@@ -106,4 +106,31 @@ QUERIES = {
     "p4_found": p4_found, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p6_found": p6_found, "p6_fill": p6_fill, "p6_report": p6_report,
     "p7_found": p7_found, "p7_leaks": p7_leaks, "p8_found": p8_found, "p8_statistics": p8_statistics, "p8_report": p8_report,
 }
-SQL = {}
+_COMMON = "[" + ",".join(f"'{w}'" for w in sorted(set(COMMON))) + "]"
+_LOW = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}]+'), lambda w: w <> '')"
+_N = r"len(regexp_extract_all(text, '{p}'))"
+_N_WORDS, _N_LINES = _N.format(p=r"[^ \t\n\r\f]+"), _N.format(p=r"(?m)^.*[^ \t\n\r\f].*$")
+
+
+def _ratio(a: str, b: str) -> str:
+    return f"CASE WHEN {b} > 0 THEN round(({a})::DOUBLE / {b}, 6) END"
+
+
+SQL = {
+    "p3_found": """
+WITH j AS (SELECT id, pages FROM (SELECT id, source.expected_page_count AS pages, row_number() OVER (PARTITION BY id ORDER BY received_at DESC NULLS LAST) AS k FROM jobs) WHERE k = 1),
+c AS (SELECT doc_id, chunk_id, start_page AS lo, coalesce(end_page, pages) AS hi FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, chunk_id ORDER BY delivered_at DESC NULLS LAST) AS k FROM chunks) LEFT JOIN j ON doc_id = j.id WHERE k = 1),
+g AS (SELECT DISTINCT doc_id, span_type, least(coalesce(start_page, end_page), coalesce(end_page, start_page)) AS lo, greatest(coalesce(start_page, end_page), coalesce(end_page, start_page)) AS hi FROM span_groups),
+p AS (SELECT * FROM g WHERE span_type IN ('continuation', 'section_block') OR (span_type = 'series' AND hi - lo + 1 >= 10))
+SELECT DISTINCT c.doc_id, c.chunk_id, g.lo AS cut_page FROM c JOIN g ON c.doc_id = g.doc_id AND g.lo > c.lo AND g.lo <= c.hi
+WHERE c.hi - c.lo + 1 > 25 AND NOT EXISTS (SELECT 1 FROM p WHERE p.doc_id = g.doc_id AND p.lo < g.lo AND p.hi >= g.lo)""",
+    "p6_found": "SELECT doc_id FROM documents WHERE strlen(text) > 8192",
+    "p8_statistics": f"""
+SELECT doc_id, {_N_WORDS} AS n_words,
+  {_ratio("length(regexp_replace(text, '[ \\t\\n\\r\\f]', '', 'g'))", _N_WORDS)} AS mean_word_length,
+  {_ratio("length(regexp_replace(text, '[\\p{L}\\p{M}\\p{N}\\s]', '', 'g'))", "length(text)")} AS symbol_ratio,
+  {_ratio(_N.format(p="(?m)[.!?:;][ \\t]*\\r?$"), _N_LINES)} AS punct_line_share,
+  {_ratio(_N.format(p="(?m)^[ \\t]*[-*•▪–][ \\t]"), _N_LINES)} AS bullet_line_share,
+  {_ratio(f"len(list_filter({_LOW}, lambda w: list_contains({_COMMON}, w)))", f"len({_LOW})")} AS common_word_share
+FROM documents""",
+}
