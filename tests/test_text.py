@@ -87,3 +87,16 @@ def test_first_difference():
     assert R.first_difference("abc", "abc") == -1
     assert R.first_difference("abc", "abd") == 2
     assert R.first_difference("", "x") == 0
+
+
+def test_title_scores_and_opcodes(spark):
+    assert one(spark, lambda c: X.title_score(c), "written text") > one(spark, lambda c: X.title_score(c), "nettirw txet") and one(spark, X.title_score, "") == 0.0
+    df = spark.createDataFrame([(["a", "b", "c"], ["a", "x", "c", "d"]), (None, ["a"])], "o array<string>, n array<string>")
+    got = [[(x.tag, x.old_from, x.old_to, x.new_from, x.new_to) for x in r["r"]] for r in df.select(R.opcodes(F.col("o"), F.col("n")).alias("r")).collect()]
+    assert got == [[("equal", 0, 1, 0, 1), ("replace", 1, 2, 1, 2), ("equal", 2, 3, 2, 3), ("insert", 3, 3, 3, 4)], [("insert", 0, 0, 0, 1)]]
+
+
+def test_clean_ids(spark):
+    df = spark.createDataFrame([("scale_nettirw_txet", "txet nettiW"), ("table_02_changes", "Table 2")], "i string, t string")
+    got = [r["r"] for r in df.select(R.clean_id(F.col("i"), F.col("t")).alias("r")).collect()]
+    assert got[0].startswith("scale_") and "txet" not in got[0] and got[1] == "table_02_changes"
