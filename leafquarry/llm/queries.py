@@ -126,7 +126,7 @@ SELECT DISTINCT c.doc_id, c.chunk_id, g.lo AS cut_page FROM c JOIN g ON c.doc_id
 WHERE c.hi - c.lo + 1 > 25 AND NOT EXISTS (SELECT 1 FROM p WHERE p.doc_id = g.doc_id AND p.lo < g.lo AND p.hi >= g.lo)""",
     "p6_found": "SELECT doc_id FROM documents WHERE strlen(text) > 8192",
     "p8_statistics": f"""
-SELECT doc_id, {_N_WORDS} AS n_words,
+SELECT doc_id, CAST({_N_WORDS} AS INTEGER) AS n_words,
   {_ratio("length(regexp_replace(text, '[ \\t\\n\\r\\f]', '', 'g'))", _N_WORDS)} AS mean_word_length,
   {_ratio("length(regexp_replace(text, '[\\p{L}\\p{M}\\p{N}\\s]', '', 'g'))", "length(text)")} AS symbol_ratio,
   {_ratio(_N.format(p="(?m)[.!?:;][ \\t]*\\r?$"), _N_LINES)} AS punct_line_share,

@@ -80,7 +80,8 @@ def cleaned_documents(lines: DataFrame, found: DataFrame) -> DataFrame:
 
     lines: line_id, doc, page, line_no, text. A page is the unit of assembly, so no task holds a whole document.
     """
-    once = lines.dropDuplicates(["line_id"]).join(found.withColumn("hit", F.lit(True)), "line_id", "left")
+    once = lines.select("line_id", "doc", "page", "line_no", "text").dropDuplicates(["line_id"])
+    once = once.join(found.select("line_id", F.lit(True).alias("hit")), "line_id", "left")
     kept = F.when(F.col("hit").isNull(), F.struct("line_no", "line_id", F.coalesce("text", F.lit("")).alias("t")))
     ordered = F.transform(F.array_sort(F.collect_list(kept)), lambda x: x["t"])
     return once.groupBy("doc", "page").agg(
