@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -179,9 +180,13 @@ def span_safe_ranges(docs: DataFrame, groups: DataFrame, size: int = 25) -> Data
     """Span-safe chunk ranges per document: doc, chunk_no, lo, hi. docs: doc, pages; groups: doc, lo, hi (protected)."""
     per = groups.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
 
-    @F.udf(RANGES)
-    def ranges(pages, spans):
-        return chunk_ranges(pages, [(s.lo, s.hi) for s in spans or []], size)
+    @F.arrow_udf(RANGES)
+    def ranges(pages: pa.Array, spans: pa.Array) -> pa.Array:
+        made = [
+            [{"lo": a, "hi": b} for a, b in chunk_ranges(n, [(s["lo"], s["hi"]) for s in own or []], size)]
+            for n, own in zip(pages.to_pylist(), spans.to_pylist(), strict=True)
+        ]
+        return pa.array(made, pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())])))
 
     made = docs.where("pages is not null").join(per, "doc", "left").select("doc", F.posexplode(ranges("pages", "spans")).alias("no", "r"))
     return made.select("doc", (F.col("no") + 1).alias("chunk_no"), F.col("r.lo").alias("lo"), F.col("r.hi").alias("hi"))

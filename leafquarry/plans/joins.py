@@ -168,8 +168,8 @@ def g05_expected_chars(spark, sf_dir):
 
 @query("SELECT lang, source, count(*) AS n FROM documents GROUP BY GROUPING SETS ((lang), (source))")
 def g07_counters(spark, sf_dir):
-    table(spark, sf_dir, "documents").createOrReplaceTempView("_g07_documents")
-    return spark.sql("SELECT lang, source, count(*) AS n FROM _g07_documents GROUP BY GROUPING SETS ((lang), (source))")
+    docs = table(spark, sf_dir, "documents")
+    return docs.groupingSets([[docs.lang], [docs.source]], docs.lang, docs.source).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT doc_id, group_id, count(*) AS n FROM span_groups GROUP BY ALL HAVING count(*) > 1")
