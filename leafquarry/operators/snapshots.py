@@ -65,7 +65,7 @@ def snapshot_changes(
     # The value cell is a hash pair, so a nonzero sum of the signed pair is a nonzero cell.
     cells = {
         n: [
-            (F.col("s.sign") * F.xxhash64(F.lit(k), F.col(f"v_{n}").isNull(), F.col(f"v_{n}"))).cast("decimal(20,0)")
+            F.col("s.sign") * F.xxhash64(F.lit(k), F.col(f"v_{n}").isNull(), F.col(f"v_{n}")).cast("decimal(20,0)")
             for k in (1, 2)
         ]
         for n in fields

@@ -16,11 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """df written to the shared folder of spark.checkpoint.dir and read from there, so that it is computed once.
 
-    Only where the session names no folder (tests on one machine) a temporary one is set.
+    Where the session names no folder, a temporary one serves on one machine; a cluster without one computes df again
+    instead of trusting a folder that its executors may not share.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not sc.master.startswith("local"):
+            return df
         sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "leafquarry-checkpoints"))
     return df.checkpoint(eager=True)

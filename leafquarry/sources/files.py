@@ -41,7 +41,7 @@ def markdown(spark: SparkSession, path: str) -> DataFrame:
 def recognised_text(spark: SparkSession, path: str) -> DataFrame:
     """Page files like page_012.txt as lines: page, line_no (from 1), line; blank lines are kept as paragraph marks."""
     files = spark.read.text(path, wholetext=True).select(
-        F.regexp_extract(_name(), r"(\d+)\.[^.]*$", 1).cast("int").alias("page"), F.regexp_replace("value", "\r\n?", "\n").alias("value")
+        F.regexp_extract(_name(), r"(\d+)\.[^.]*$", 1).try_cast("int").alias("page"), F.regexp_replace("value", "\r\n?", "\n").alias("value")
     )
     return files.select("page", F.posexplode(F.split("value", "\n", -1)).alias("p", "line")).select("page", (F.col("p") + 1).alias("line_no"), F.rtrim("line").alias("line"))
 
@@ -63,7 +63,7 @@ def page_overrides(spark: SparkSession, path: str) -> DataFrame:
     where = F.input_file_name()
     return files.select(
         F.regexp_extract(where, r"([^/]+)/page_overrides/[^/]+$", 1).alias("job_id"),
-        F.regexp_extract(where, r"page_(\d+)\.md$", 1).cast("int").alias("page"), F.col("value").alias("text"),
+        F.regexp_extract(where, r"page_(\d+)\.md$", 1).try_cast("int").alias("page"), F.col("value").alias("text"),
     ).where(F.trim("text") != "")
 
 
