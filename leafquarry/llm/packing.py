@@ -54,6 +54,28 @@ def byte_pieces(capacity: int) -> Callable[[Column], Column]:
     return pieces
 
 
+def tokenizer_pieces(path: str, capacity: int) -> Callable[[Column], Column]:
+    """Column function like byte_pieces, in tokens of the public tokenizer file at `path` (JSON of the tokenizers library).
+
+    The file is opened by each worker, so the path must be readable there. Special strings count as ordinary text.
+    """
+    opened: dict = {}
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def cut(texts: pa.Array) -> pa.Array:
+        if not opened:
+            from tokenizers import Tokenizer
+
+            opened["t"] = Tokenizer.from_file(path)
+            opened["t"].encode_special_tokens = True
+        said = [t or "" for t in texts.to_pylist()]
+        counts = [len(e.ids) for e in opened["t"].encode_batch(said, add_special_tokens=False)]
+        made = [[capacity] * (n // capacity) + ([n % capacity] if n % capacity or not n else []) for n in counts]
+        return pa.array([None if t is None else m for t, m in zip(texts.to_pylist(), made, strict=True)], pa.list_(pa.int32()))
+
+    return cut
+
+
 def knapsack(prices: np.ndarray, grains: int) -> np.ndarray:
     """The dearest configuration: how often each class (index + 1 grains) occurs in a container of `grains`."""
     used = np.nonzero(prices > 0)[0]

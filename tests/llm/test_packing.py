@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from leafquarry.llm import packing as P
@@ -61,3 +62,20 @@ def test_pieces_end_at_characters():
 def test_empty(spark):
     df = spark.createDataFrame([], "item long, text string")
     assert P.fill(df, P.byte_pieces(10), 10).where(F.lit(True)).count() == 0
+
+
+def test_tokenizer_pieces(spark):
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = public.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    texts = [(1, "The working paper " * 30), (2, "short"), (3, ""), (4, None), (5, "é<|endoftext|>" * 9)]
+    df = spark.createDataFrame(texts, "item long, text string")
+    made = P.fill(df, P.tokenizer_pieces(path, 64), 64, grains=64).collect()
+    size, box = {}, {}
+    for r in made:
+        size[r.item] = size.get(r.item, 0) + r["size"]
+        box[r.container] = box.get(r.container, 0) + r["size"]
+    assert set(size) == {1, 2, 3, 5} and max(box.values()) <= 64
+    assert size[1] == len(tok.encode(texts[0][1], add_special_tokens=False).ids) and size[2] == len(tok.encode("short").ids) and size[3] == 0
