@@ -82,12 +82,12 @@ def _look_casefold(values: pa.Array) -> pa.Array:
 
 def look(text: Column) -> Column:
     """Column of the consistent form; null for null, empty for empty."""
-    return _look(text)
+    return _look.asNondeterministic()(text)  # keeps filters on the result from working it out a second time
 
 
 def look_casefold(text: Column) -> Column:
     """Consistent form under full case folding, for comparisons without case."""
-    return _look_casefold(text)
+    return _look_casefold.asNondeterministic()(text)
 
 
 def squeezed(text: Column) -> Column:
