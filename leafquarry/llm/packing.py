@@ -49,7 +49,7 @@ def byte_pieces(capacity: int) -> Callable[[Column], Column]:
 
     def pieces(text: Column) -> Column:
         size = byte_sizes(text)
-        return F.coalesce(cut(F.when(size > capacity, text)), F.array(size))  # only oversized texts go to Python
+        return F.coalesce(cut.asNondeterministic()(F.when(size > capacity, text)), F.array(size))  # only oversized texts go to Python
 
     return pieces
 
@@ -73,7 +73,7 @@ def tokenizer_pieces(path: str, capacity: int) -> Callable[[Column], Column]:
         made = [[capacity] * (n // capacity) + ([n % capacity] if n % capacity or not n else []) for n in counts]
         return pa.array([None if t is None else m for t, m in zip(texts.to_pylist(), made, strict=True)], pa.list_(pa.int32()))
 
-    return cut
+    return cut.asNondeterministic()
 
 
 def knapsack(prices: np.ndarray, grains: int) -> np.ndarray:

@@ -202,7 +202,7 @@ def kind_of(text: Column) -> Column:
         values = pa.array([None if m is None else {"kind": m[0], "reason": m[1], "share": m[2]} for m in made], of)
         return values.take(coded.indices)
 
-    return run(text)
+    return run.asNondeterministic()(text)  # so that a filter on the kind does not work it out twice
 
 
 def statistics(df: DataFrame, text: str = "text") -> DataFrame:
