@@ -55,6 +55,26 @@ def readable(text: str) -> float:
     return sum(worth) / len(words) if words else 0.0
 
 
+def title_score(title: Column) -> Column:
+    """`readable` as a built-in expression; 0 for a title without words, null for null."""
+    words = F.regexp_extract_all(F.lower(title), F.lit("[a-z]{3,}"), F.lit(0))
+    known = sorted(TITLE_WORDS)
+    turned = lambda w: F.reverse(w).isin(*known) | w.isin(*TOKEN_REPAIRS)
+    worth = F.aggregate(words, F.lit(0.0), lambda a, w: a + F.when(w.isin(*known), 1.0).when(turned(w), -0.35).otherwise(0.0))
+    return F.when(F.size(words) > 0, worth / F.size(words)).otherwise(F.when(title.isNotNull(), F.lit(0.0)))
+
+
+def preferred_title(header: Column, other: Column) -> Column:
+    """Of two titles the more readable one; nearly equal ones by length. A missing or level-only second title loses."""
+    h, t = F.trim(header), F.trim(F.regexp_replace(other, r"[ \t\n\r\f]+", " "))
+    hs, ts = title_score(h), title_score(t)
+    return (
+        F.when(F.coalesce(t, F.lit("")) == "", h).when(t.rlike(r"^(?i:pre-)?[A-Ca-c][12]\+?$"), h)
+        .when(F.coalesce(h, F.lit("")) == "", t).when(ts > hs + 0.02, t).when(hs > ts + 0.02, h)
+        .when(F.length(t) > F.length(h) + 5, t).otherwise(h)
+    )
+
+
 def _forward(word: str) -> tuple[str, bool]:
     m = _LONE.match(word)
     if not m:

@@ -146,29 +146,43 @@ def v13_need_ban(spark, sf_dir):
     return I.need_ban(docs(spark, sf_dir), rules)
 
 
-_OVERLAP = "CASE WHEN len(t) = 0 THEN 1.0 ELSE len(list_filter(t, lambda w: list_contains(b, w)))::DOUBLE / len(t) END"
-_PAIR = "SELECT doc_id, title, text, n_chars, list_distinct(regexp_extract_all(lower(title), '[a-z]{{{n},}}')) AS t, list_distinct(regexp_extract_all(lower(text), '[a-z]{{{n},}}')) AS b FROM documents WHERE title IS NOT NULL AND text IS NOT NULL"
+_PAGE_WORDS = "SELECT doc_id, page, list_distinct(flatten(list(regexp_extract_all(lower({c}), '[a-z0-9]{{{n},}}')))) AS w, sum(length({c})) AS chars FROM (SELECT DISTINCT {k}, doc_id, page, text FROM {t} WHERE text IS NOT NULL) GROUP BY ALL"
 
 
-def overlap(n):
-    words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("[a-z]{%d,}" % n), F.lit(0)))
-    return F.when(F.size(words("title")) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(words("title"), words("text"))) / F.size(words("title")))
+def page_words(df, key, n):
+    """Distinct words of n characters or more and the number of characters of every page; words are made rows first."""
+    once = df.where("text is not null").select(key, "doc_id", "page", "text").distinct()
+    words = F.array_distinct(F.flatten(F.collect_list(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]{%d,}" % n), F.lit(0)))))
+    return once.groupBy("doc_id", "page").agg(words.alias("w"), F.sum(F.length("text")).alias("chars"))
 
 
-@query(f"SELECT doc_id, CASE WHEN length(text) < 40 THEN 'empty_or_near_empty' WHEN {_OVERLAP} < 0.35 THEN 'missing_vocabulary' WHEN length(text) > 2.2 * 5000 THEN 'much_longer' ELSE 'ok' END AS kind FROM ({_PAIR.format(n=4)})")
+@query(f"""SELECT p.doc_id, p.page, CASE WHEN p.chars > 200 AND m.chars < 80 THEN 'empty_or_near_empty' WHEN len(p.w) > 40 AND len(list_filter(p.w, lambda x: NOT list_contains(m.w, x))) > 25
+  AND len(list_filter(p.w, lambda x: NOT list_contains(m.w, x)))::DOUBLE / len(p.w) > 0.35 THEN 'missing_vocabulary' WHEN m.chars > 2.2 * p.chars THEN 'much_longer' ELSE 'ok' END AS kind
+FROM ({_PAGE_WORDS.format(c="text", n=4, k="line_id", t="pdf_lines")}) p JOIN ({_PAGE_WORDS.format(c="text", n=4, k="tok_id", t="page_toks")}) m ON p.doc_id = m.doc_id AND p.page = m.page""")
 def v14_structural_audit(spark, sf_dir):
-    base = docs(spark, sf_dir).where("title is not null and text is not null").withColumn("o", overlap(4))
-    return I.classified(base, "kind", {
-        "empty_or_near_empty": F.length("text") < 40, "missing_vocabulary": F.col("o") < 0.35, "much_longer": F.length("text") > 2.2 * 5000,
-    }, "ok").select("doc_id", "kind")
-
-
-@query(f"SELECT doc_id, CASE WHEN length(trim(text, ' ')) < 20 THEN 'blank_or_cover' WHEN {_OVERLAP} >= 0.5 THEN 'collapsed' WHEN {_OVERLAP} = 0 THEN 'truly_missing' ELSE 'weak_overlap' END AS class FROM ({_PAIR.format(n=5)})")
+    """The text of a page's lines against that of its tokens: empty, missing words, or much longer; the first that holds."""
+    p = page_words(table(spark, sf_dir, "pdf_lines"), "line_id", 4)
+    m = page_words(table(spark, sf_dir, "page_toks"), "tok_id", 4).withColumnsRenamed({"w": "mw", "chars": "mc"})
+    lost = F.size(F.array_except("w", "mw"))
+    return I.classified(p.join(m, ["doc_id", "page"]), "kind", {
+        "empty_or_near_empty": (F.col("chars") > 200) & (F.col("mc") < 80),
+        "missing_vocabulary": (F.size("w") > 40) & (lost > 25) & (lost / F.size("w") > 0.35),
+        "much_longer": F.col("mc") > F.lit(2.2) * F.col("chars"),
+    }, "ok").select("doc_id", "page", "kind")
+
+
+@query(f"""SELECT m.doc_id, m.page, CASE WHEN p.chars IS NULL OR p.chars < 100 THEN 'blank_or_cover' WHEN len(list_filter(p.w, lambda x: list_contains(m.w, x)))::DOUBLE / greatest(len(p.w), 1) > 0.55 THEN 'collapsed'
+WHEN len(list_filter(p.w, lambda x: list_contains(m.w, x))) = 0 THEN 'truly_missing' ELSE 'weak_overlap' END AS class
+FROM ({_PAGE_WORDS.format(c="text", n=5, k="tok_id", t="page_toks")}) m LEFT JOIN ({_PAGE_WORDS.format(c="text", n=5, k="line_id", t="pdf_lines")}) p ON p.doc_id = m.doc_id AND p.page = m.page WHERE m.chars <= 120""")
 def v15_empty_pages(spark, sf_dir):
-    base = docs(spark, sf_dir).where("title is not null and text is not null").withColumn("o", overlap(5))
-    return I.classified(base, "class", {
-        "blank_or_cover": F.length(F.trim("text")) < 20, "collapsed": F.col("o") >= 0.5, "truly_missing": F.col("o") == 0,
-    }, "weak_overlap").select("doc_id", "class")
+    """Pages whose tokens hold 120 characters or less: blank, covered by the lines, missing or weakly covered."""
+    m = page_words(table(spark, sf_dir, "page_toks"), "tok_id", 5).where("chars <= 120").select("doc_id", "page", F.col("w").alias("mw"))
+    p = page_words(table(spark, sf_dir, "pdf_lines"), "line_id", 5)
+    both = F.size(F.array_intersect("w", "mw"))
+    return I.classified(m.join(p, ["doc_id", "page"], "left"), "class", {
+        "blank_or_cover": F.col("chars").isNull() | (F.col("chars") < 100),
+        "collapsed": both / F.greatest(F.size("w"), F.lit(1)) > 0.55, "truly_missing": both == 0,
+    }, "weak_overlap").select("doc_id", "page", "class")
 
 
 @query(f"SELECT doc_id, \"check\", CASE WHEN severity = 'hard' THEN 'review' WHEN detail::INT > 5 THEN 'check' WHEN \"check\" = 'V-SOFT-HYPHEN' THEN 'skip' ELSE 'info' END AS verdict FROM ({_GATES})")
@@ -299,13 +313,18 @@ def f04_footer_band(spark, sf_dir):
     return rows(spark, sf_dir).groupBy("doc_id", "page").agg(F.coalesce(F.min(F.when(low, F.col("y0"))), F.lit(842 * 0.88)).alias("band"))
 
 
+_STARTS = r"^(#{1,6} |[-*] |>|!\[|<!--|\||```|---|\*\*[^*]+\*\*$)"
+_RUNS_ON = "^(The|This|In|Here|As|It) |^However"
+
+
 @query(f"""WITH n AS (SELECT *, lead(trim(text, ' ')) OVER (PARTITION BY doc_id, page ORDER BY line_no, line_id) AS nx FROM ({_ROWS}) WHERE text IS NOT NULL)
-SELECT line_id, coalesce(regexp_matches(nx, '^([-*•▪–] |#)') OR (regexp_matches(trim(text, ' '), '[.!?]$') AND length(nx) < 40), false) AS breaks FROM n""")
+SELECT line_id, coalesce(trim(text, ' ') = '' OR nx = '' OR regexp_matches(nx, '{_STARTS}') OR (regexp_matches(trim(text, ' '), '[.!?;:]$') AND length(nx) < 60 AND NOT regexp_matches(nx, '[.!?;:]$') AND regexp_matches(nx, '^[A-Z]') AND NOT regexp_matches(nx, '{_RUNS_ON}')), false) AS breaks FROM n""")
 def f07_paragraph_break(spark, sf_dir):
     w = Window.partitionBy("doc_id", "page").orderBy("line_no", "line_id")
-    nx = rows(spark, sf_dir).where("text is not null").withColumn("nx", F.lead(F.trim("text")).over(w))
-    cond = F.col("nx").rlike("^([-*•▪–] |#)") | (F.trim("text").rlike("[.!?]$") & (F.length("nx") < 40))
-    return nx.select("line_id", F.coalesce(cond, F.lit(False)).alias("breaks"))
+    rows_ = rows(spark, sf_dir).where("text is not null").withColumn("t", F.trim("text")).withColumn("nx", F.lead("t").over(w))
+    signed = F.col("t").rlike("[.!?;:]$") & (F.length("nx") < 60) & ~F.col("nx").rlike("[.!?;:]$") & F.col("nx").rlike("^[A-Z]") & ~F.col("nx").rlike(_RUNS_ON)
+    breaks = (F.col("t") == "") | (F.col("nx") == "") | F.col("nx").rlike(_STARTS) | signed
+    return rows_.select("line_id", F.coalesce(breaks, F.lit(False)).alias("breaks"))
 
 
 @query("""WITH b AS (SELECT doc_id, page, min(y0) AS a, max(y0) AS z FROM page_toks WHERE y0 IS NOT NULL GROUP BY ALL)
@@ -318,11 +337,12 @@ def f14_exclusive_regions(spark, sf_dir):
     return met.groupBy("line_id").agg(F.bool_or(F.coalesce(inside, F.lit(False))).alias("hit")).where("not hit").select("line_id")
 
 
-@query("SELECT tok_id, x0 < 0.35 * 595 AND y0 < 0.3 * 842 AS top_left, x0 < 0.15 * 595 AND y0 < 0.3 * 842 AS top_full FROM page_toks")
+@query("SELECT line_id, extracted_at, y0 < 842 * 0.38 AND (x0 + x1) / 2 < 595 * 0.48 AND x1 - x0 < 595 * 0.62 AS top_left, y0 < 842 * 0.42 AND x1 - x0 >= 595 * 0.55 AS top_full FROM pdf_lines")
 def f18_placement(spark, sf_dir):
-    return table(spark, sf_dir, "page_toks").select(
-        "tok_id", ((F.col("x0") < F.lit(0.35) * 595) & (F.col("y0") < F.lit(0.3) * 842)).alias("top_left"), ((F.col("x0") < F.lit(0.15) * 595) & (F.col("y0") < F.lit(0.3) * 842)).alias("top_full")
-    )
+    w, h, width = 595.0, 842.0, F.col("x1") - F.col("x0")
+    left = (F.col("y0") < h * 0.38) & ((F.col("x0") + F.col("x1")) / 2 < w * 0.48) & (width < w * 0.62)
+    full = (F.col("y0") < h * 0.42) & (width >= w * 0.55)
+    return table(spark, sf_dir, "pdf_lines").select("line_id", "extracted_at", left.alias("top_left"), full.alias("top_full"))
 
 
 @query("SELECT DISTINCT id FROM manifest_entries WHERE len(list_intersect(string_split(id, '-'), ['gni', 'tnem', 'noit', 'gnitirw', 'nettirw', 'txet'])) > 0")

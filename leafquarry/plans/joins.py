@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import repairs as R
 from ..functions import text as X
 from ..operators import lines as L
 from ..operators.intervals import coalesce_intervals, points_in_intervals
@@ -83,7 +84,7 @@ def j08_jobs_with_chunks(spark, sf_dir):
     return jobs(spark, sf_dir).join(table(spark, sf_dir, "chunks").select(F.col("doc_id").alias("id")), "id", "left_semi").select("id", "publisher")
 
 
-_SKEL = r"trim(regexp_replace(regexp_replace(lower(regexp_replace({c}, '[ˇˎˏ·ˈˌˋˊ↗↘|`''´]', '', 'g')), '[^\p{{L}}\p{{N}} ]+', ' ', 'g'), ' +', ' ', 'g'))"
+_SKEL = r"trim(lower(regexp_replace(regexp_replace(regexp_replace({c}, '[‘’]', '''', 'g'), '[ˈˎˋˏˊˇ·ˌ''`´,.\x22|$]+', '', 'g'), '[^A-Za-z0-9]+', ' ', 'g')))"
 
 
 @query(f"""WITH g AS (SELECT {_SKEL.format(c='term')} AS key, min(term) AS gold FROM glossary WHERE term IS NOT NULL GROUP BY 1)
@@ -224,11 +225,26 @@ def g14_marks_per_page(spark, sf_dir):
     return table(spark, sf_dir, "pdf_lines").groupBy("doc_id", "page").agg(F.sum(F.regexp_count("text", F.lit(r"[A-CL][12]\+?"))).alias("marks"))
 
 
-@query(f"""SELECT s.doc_id, s.group_id, CASE WHEN length(coalesce(s.title, '')) >= 12 THEN s.title WHEN j.title IS NOT NULL THEN j.title ELSE s.title END AS title FROM (SELECT doc_id, group_id, max(title) AS title FROM ({_SPANS}) GROUP BY ALL) s LEFT JOIN ({_JOBS}) j ON s.doc_id = j.id""")
+_KNOWN = "[" + ",".join(f"'{w}'" for w in sorted(R.TITLE_WORDS)) + "]"
+_ODD = "[" + ",".join(f"'{w}'" for w in sorted(R.TOKEN_REPAIRS)) + "]"
+_TSCORE = (
+    "CASE WHEN {{c}} IS NULL THEN NULL WHEN len(regexp_extract_all(lower({{c}}), '[a-z]{{{{3,}}}}')) = 0 THEN 0.0 ELSE list_sum(list_transform(regexp_extract_all(lower({{c}}), '[a-z]{{{{3,}}}}'), "
+    "lambda w: CASE WHEN list_contains({k}, w) THEN 1.0::DOUBLE WHEN list_contains({k}, reverse(w)) OR list_contains({o}, w) THEN -0.35::DOUBLE ELSE 0.0::DOUBLE END)) / len(regexp_extract_all(lower({{c}}), '[a-z]{{{{3,}}}}')) END"
+).format(k=_KNOWN, o=_ODD)
+
+
+@query(f"SELECT job_id, id, title, round({_TSCORE.format(c='title')}, 6) AS score FROM manifest_entries")
+def g02_title_score(spark, sf_dir):
+    return table(spark, sf_dir, "manifest_entries").select("job_id", "id", "title", F.round(R.title_score(F.col("title")), 6).alias("score"))
+
+
+@query(f"""WITH p AS (SELECT s.doc_id, s.group_id, trim(s.title, ' ') AS h, trim(regexp_replace(j.title, '[ \t\n\r\f]+', ' ', 'g'), ' ') AS t FROM (SELECT doc_id, group_id, max(title) AS title FROM ({_SPANS}) GROUP BY ALL) s LEFT JOIN ({_JOBS}) j ON s.doc_id = j.id),
+q AS (SELECT *, {_TSCORE.format(c='h')} AS hs, {_TSCORE.format(c='t')} AS ts FROM p)
+SELECT doc_id, group_id, CASE WHEN coalesce(t, '') = '' THEN h WHEN regexp_matches(t, '^(?i:pre-)?[A-Ca-c][12]\\+?$') THEN h WHEN coalesce(h, '') = '' THEN t WHEN ts > hs + 0.02 THEN t WHEN hs > ts + 0.02 THEN h WHEN length(t) > length(h) + 5 THEN t ELSE h END AS title FROM q""")
 def g15_preferred_title(spark, sf_dir):
     own = spans(spark, sf_dir).groupBy("doc_id", "group_id").agg(F.max("title").alias("t"))
     met = own.join(jobs(spark, sf_dir).select(F.col("id").alias("doc_id"), F.col("title").alias("jt")), "doc_id", "left")
-    return met.select("doc_id", "group_id", F.when(F.length(F.coalesce("t", F.lit(""))) >= 12, F.col("t")).otherwise(F.coalesce("jt", "t")).alias("title"))
+    return met.select("doc_id", "group_id", R.preferred_title(F.col("t"), F.col("jt")).alias("title"))
 
 
 @query("SELECT publisher, line_id, n FROM (SELECT publisher, line_id, length(text) AS n, row_number() OVER (PARTITION BY publisher ORDER BY length(text) DESC NULLS LAST, line_id) AS k FROM (SELECT DISTINCT publisher, line_id, text FROM pdf_lines)) WHERE k = 1")

@@ -145,11 +145,12 @@ def c21_blockquotes(spark, sf_dir):
     return doc_lines(spark, sf_dir).select("doc_id", "line_no", F.when(t == "", ">").otherwise(F.concat(F.lit("> "), t)).alias("quoted"))
 
 
-@query("SELECT tok_id, x0 % 1 BETWEEN 0.2 AND 0.95 AND y0 % 1 > 0.3 AND size BETWEEN 8 AND 12 AS result FROM page_toks")
+@query("""SELECT tok_id, coalesce(b >= 0.75 AND g >= 0.70 AND r >= 0.70 AND b >= r - 0.05 AND NOT (r > 0.95 AND g > 0.95 AND b > 0.95), false) AS result
+FROM (SELECT tok_id, 0.7 + (x0 % 1) * 0.3 AS r, 0.7 + (y0 % 1) * 0.3 AS g, 0.7 + (size % 1) * 0.3 AS b FROM page_toks)""")
 def f15_fill(spark, sf_dir):
-    # A fill counts as cool and mid-light by bounds on its three numbers; the token's own numbers stand in for a colour.
-    r, g, b = F.col("x0") % 1, F.col("y0") % 1, F.col("size")
-    return table(spark, sf_dir, "page_toks").select("tok_id", (r.between(0.2, 0.95) & (g > 0.3) & b.between(8, 12)).alias("result"))
+    # The tables hold no colours; a token's numbers make one.
+    part = lambda c: F.lit(0.7) + (F.col(c) % 1) * F.lit(0.3)
+    return table(spark, sf_dir, "page_toks").select("tok_id", X.is_callout_fill(F.array(part("x0"), part("y0"), part("size"))).alias("result"))
 
 
 @query(f"""WITH l AS ({_LINES}) SELECT doc_id, count_if(regexp_matches(line, '(?i)chapter [0-9]+')) >= 3 OR max(length(line)) > 400 AS narrative FROM l GROUP BY doc_id""")
@@ -169,11 +170,6 @@ def g03_table_score(spark, sf_dir):
     return rows.select("id", "page", F.when(F.size("w") < 30, F.lit(1.0)).otherwise(share).alias("score"))
 
 
-@query()
-def g02_title_score(spark, sf_dir):
-    return table(spark, sf_dir, "manifest_entries").where("title is not null").select("job_id", "id", F.round(X.title_score(F.col("title")), 6).alias("score"))
-
-
 @query(f"""WITH l AS ({_LINES}), m AS (SELECT *, CASE WHEN starts_with(line, '#') THEN trim(line, ' ') END AS h FROM l), p AS (SELECT *, last_value(h IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ph FROM m)
 SELECT doc_id, count(*) AS kept FROM p WHERE h IS NULL OR ph IS NULL OR h <> ph GROUP BY doc_id""")
 def w02_repeated_markers(spark, sf_dir):

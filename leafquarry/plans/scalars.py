@@ -57,16 +57,16 @@ add(
 )
 add(
     "c25_skeleton", "pdf_lines", "line_id", "text", X.skeleton,
-    r"trim(regexp_replace(regexp_replace(lower(regexp_replace($c, '[ˇˎˏ·ˈˌˋˊ↗↘|`''´]', '', 'g')), '[^\p{L}\p{N} ]+', ' ', 'g'), ' +', ' ', 'g'))",
+    r"trim(lower(regexp_replace(regexp_replace(regexp_replace($c, '[‘’]', '''', 'g'), '[ˈˎˋˏˊˇ·ˌ''`´,.\x22|$]+', '', 'g'), '[^A-Za-z0-9]+', ' ', 'g')))",
 )
 add(
     "c29_comparable", "documents", "doc_id", "text", X.comparable,
-    r"trim(regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace($c, '(?s)<!--.*?-->', ' ', 'g'), '!\[[^\]]*\]\([^)]*\)', ' ', 'g'), '[#*_`|>-]+', ' ', 'g')), '[ \t\n\r\f]+', ' ', 'g'))",
+    r"trim(regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace($c, '(?s)<!--.*?-->', ' ', 'g'), '!\[[^\]]*\]\([^)]*\)', ' ', 'g'), '[|`#>*_\-\[\]()]+', ' ', 'g')), '[ \t\n\r\f]+', ' ', 'g'))",
 )
 add("c27_document_page", "pdf_lines", "line_id", "page", lambda c: X.document_page(c, 6), "CASE WHEN $c > 6 THEN $c - 6 END")
 add(
     "c31_product_tiers", "pdf_lines", "line_id", "page", lambda c: F.array_join(X.product_tiers(c), ","),
-    "CASE WHEN $c IS NULL THEN '' WHEN $c <= 20 THEN 'context' WHEN $c <= 46 THEN 'base,context' WHEN $c <= 140 THEN 'base,assessment_action' ELSE 'detailed' END",
+    "CASE WHEN $c IS NULL THEN '' WHEN $c BETWEEN 177 AND 181 THEN 'base' WHEN $c BETWEEN 173 AND 190 THEN 'assessment_action,context' WHEN $c BETWEEN 191 AND 241 THEN 'detailed,context' WHEN $c BETWEEN 47 AND 170 THEN 'assessment_action,detailed' ELSE 'context' END",
 )
 add(
     "c39_punctuation", "documents", "doc_id", "text", X.fix_punctuation,
@@ -94,13 +94,8 @@ add(
     f"concat_ws(':', strlen($c), strlen({'replace(replace(replace(replace(replace(' + _HYPHEN + ', ' + chr(39) + '–' + chr(39) + ' || chr(173), ' + chr(39) + '–' + chr(39) + '), chr(173), ' + chr(39) * 2 + '), ' + chr(39) + 'ﬁ' + chr(39) + ', ' + chr(39) + 'fi' + chr(39) + '), ' + chr(39) + 'ﬂ' + chr(39) + ', ' + chr(39) + 'fl' + chr(39) + '), ' + chr(39) + '  ' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ')'}), upper(sha256($c)))",
     where="text is not null",
 )
-add(
-    "c34_cutoffs", "documents", "doc_id", "text", X.cutoff,
-    r"CASE WHEN regexp_matches(list_extract(list_filter(list_transform(string_split($c, chr(10)), lambda x: regexp_replace(x, '^[ \t\r\f]+|[ \t\r\f]+$', '', 'g')), "
-    r"lambda x: x <> '' AND NOT regexp_matches(x, '^(#|<!--|!\[|\||>|```|-|\*|[0-9]+\.)')), -1), '[.!?:;)\]\x{22}”’…*]$') THEN NULL ELSE "
-    r"list_extract(list_filter(list_transform(string_split($c, chr(10)), lambda x: regexp_replace(x, '^[ \t\r\f]+|[ \t\r\f]+$', '', 'g')), "
-    r"lambda x: x <> '' AND NOT regexp_matches(x, '^(#|<!--|!\[|\||>|```|-|\*|[0-9]+\.)')), -1) END",
-)
+_LAST = r"list_extract(list_filter(list_transform(string_split(regexp_replace(regexp_replace($c, '(?s)<!--.*?-->', '', 'g'), '\*[^\n]*Page[^\n]*\*', '', 'g'), chr(10)), lambda x: regexp_replace(x, '^[ \t\r\f]+|[ \t\r\f]+$', '', 'g')), lambda x: x <> '' AND NOT regexp_matches(x, '^(\||#|```|-)')), -1)"
+add("c34_cutoffs", "documents", "doc_id", "text", X.cutoff, rf"CASE WHEN length({_LAST}) >= 25 AND regexp_matches({_LAST}, '[a-z,;]$') AND NOT regexp_matches({_LAST}, '^[*>]') THEN {_LAST} END")
 add(
     "c13_table_rows", "documents", "doc_id", "text",
     lambda c: F.array_join(F.transform(F.filter(F.transform(X.lines_of(c), X.table_rows), lambda r: r.isNotNull()), lambda r: F.array_join(r, "¦")), "\n"),
@@ -181,10 +176,13 @@ add(
     ELSE trim(regexp_replace($c, '[^ -~]', '', 'g')) || coalesce(' — ' || page::VARCHAR, '') END""",
     where="title is not null",
 )
+_BASE = (
+    r"list_filter([trim($c, ' '), regexp_replace(trim($c, ' '), '([0-9])\.[ \t]+', '\1 ', 'g'), regexp_replace(trim($c, ' '), '\.[ \t]+', ' ', 'g'), trim(regexp_replace(trim($c, ' '), '^[0-9. \t]+', ''), ' '), "
+    r"CASE WHEN contains($c, '.') AND length(trim(string_split(trim($c, ' '), '.')[-1], ' ')) > 2 THEN trim(string_split(trim($c, ' '), '.')[-1], ' ') ELSE '' END], lambda x: x <> '')"
+)
 add(
     "c28_header_variants", "manifest_entries", "id", "title", lambda c: F.size(X.header_variants(c)),
-    r"len(list_distinct(list_filter([trim($c), trim(regexp_replace(trim($c), '^#+[ \t]*', '')), trim(regexp_replace(trim(regexp_replace(trim($c), '^#+[ \t]*', '')), '^[0-9]+(\.[0-9]+)*\.?[ \t]+', '')), "
-    r"trim(string_split(trim(regexp_replace(trim($c), '^#+[ \t]*', '')), ' | ')[1]), trim(string_split(trim(regexp_replace(trim(regexp_replace(trim($c), '^#+[ \t]*', '')), '^[0-9]+(\.[0-9]+)*\.?[ \t]+', '')), ': ')[1])], lambda x: x <> '')))",
+    f"len(list_distinct(list_filter(list_concat({_BASE}, list_concat(list_transform({_BASE}, lambda x: '### ' || x), list_transform({_BASE}, lambda x: '#### ' || x))), lambda x: length(x) >= 3)))",
     where="title is not null",
 )
 add(

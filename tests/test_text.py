@@ -34,7 +34,8 @@ def one(spark, fn, *values):
         (X.english_score, "", 0.0),
         (X.is_gibberish, "short", False),
         (X.cutoff, "# t\nEnds here.\n- x", None),
-        (X.cutoff, "Ends without", "Ends without"),
+        (X.cutoff, "A line of prose that ends without", "A line of prose that ends without"),
+        (X.cutoff, "Too short", None),
         (R.tone_marks, "'people ad,dress I \"yes", "ˈpeople adˎdress | ˇyes"),
         (R.fix_reversed_title, "txet nettirw gnidnatsrednU", "Understanding written text"),
         (R.fix_reversed_title, "Understanding written text", "Understanding written text"),
@@ -90,7 +91,7 @@ def test_first_difference():
 
 
 def test_title_scores_and_opcodes(spark):
-    assert one(spark, lambda c: X.title_score(c), "written text") > one(spark, lambda c: X.title_score(c), "nettirw txet") and one(spark, X.title_score, "") == 0.0
+    assert one(spark, lambda c: R.title_score(c), "written text") > one(spark, lambda c: R.title_score(c), "nettirw txet") and one(spark, R.title_score, "") == 0.0
     df = spark.createDataFrame([(["a", "b", "c"], ["a", "x", "c", "d"]), (None, ["a"])], "o array<string>, n array<string>")
     got = [[(x.tag, x.old_from, x.old_to, x.new_from, x.new_to) for x in r["r"]] for r in df.select(R.opcodes(F.col("o"), F.col("n")).alias("r")).collect()]
     assert got == [[("equal", 0, 1, 0, 1), ("replace", 1, 2, 1, 2), ("equal", 2, 3, 2, 3), ("insert", 3, 3, 3, 4)], [("insert", 0, 0, 0, 1)]]
@@ -100,3 +101,10 @@ def test_clean_ids(spark):
     df = spark.createDataFrame([("scale_nettirw_txet", "txet nettiW"), ("table_02_changes", "Table 2")], "i string, t string")
     got = [r["r"] for r in df.select(R.clean_id(F.col("i"), F.col("t")).alias("r")).collect()]
     assert got[0].startswith("scale_") and "txet" not in got[0] and got[1] == "table_02_changes"
+
+
+def test_fills_and_titles(spark):
+    df = spark.createDataFrame([([0.81, 0.82, 0.91],), ([1.0, 1.0, 1.0],), ([0.0, 0.0, 0.0],), ([0.9],), (None,)], "f array<double>")
+    assert [r["r"] for r in df.select(X.is_callout_fill(F.col("f")).alias("r")).collect()] == [True, False, False, False, False]
+    two = spark.createDataFrame([("nettirw txet", "written text"), ("written text", "B2"), ("written text", None), (None, "x")], "h string, t string")
+    assert [r["r"] for r in two.select(R.preferred_title(F.col("h"), F.col("t")).alias("r")).collect()] == ["written text", "written text", "written text", "x"]
