@@ -49,7 +49,7 @@ def p5_found(spark, sf_dir):
 
 
 def p5_paragraphs(spark, sf_dir):
-    rows = tables.layout_rows(spark, sf_dir, scanned=True).where("kind = 'line'")
+    rows = tables.layout_rows(spark, sf_dir, scanned=True)
     return paragraphs(rows, _words(spark, sf_dir)).withColumnRenamed("doc", "doc_id")
 
 

@@ -410,15 +410,15 @@ def break_rows(lines: list[tuple[str, float | None, float | None, bool]]) -> lis
 
 
 def paragraphs(rows: DataFrame, words: dict[str, int]) -> DataFrame:
-    """Readable paragraphs of the scanned documents: doc, page, paragraph_no, text; furniture is left out.
+    """Readable paragraphs of the scanned documents: kind, doc, page, paragraph_no, text; furniture is left out.
 
-    rows as for text_rows, with x0; a word broken over a page border is whole in the page it starts on.
+    rows as for text_rows, with x0; lines and tokens are texts of their own; a word broken over a page border is whole in the page it starts on.
     """
     body, _ = decoded(rows, words)
     line = F.struct("no", "row_id", F.col("d.text").alias("t"), "x0", "size", "gap")
     w = Window.partitionBy("kind", "doc", "page").orderBy("no", "row_id")
     gaps = body.withColumn("gap", F.coalesce(F.col("no") - F.lag("no").over(w) > 1, F.lit(False)))
-    pages = gaps.groupBy("doc", "page").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    pages = gaps.groupBy("kind", "doc", "page").agg(F.array_sort(F.collect_list(line)).alias("lines"))
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def build(batch: pa.Array) -> pa.Array:
@@ -429,4 +429,4 @@ def paragraphs(rows: DataFrame, words: dict[str, int]) -> DataFrame:
             made.append([" ".join(r[0] for r in rows[a:b]) for a, b in zip(at, at[1:], strict=False)])
         return pa.array(made, pa.list_(pa.string()))
 
-    return pages.select("doc", "page", F.posexplode(build("lines")).alias("paragraph_no", "text"))
+    return pages.select("kind", "doc", "page", F.posexplode(build("lines")).alias("paragraph_no", "text"))

@@ -63,6 +63,28 @@ def test_paragraphs_are_continuous(spark):
     assert got == ["Each glossary is linked to the level of a criterion and the portfolio.", "Another register should replace the interaction of tasks."]
 
 
+def test_paragraphs_of_tokens(spark):
+    data = [("line", 1, "d", 1, 1, 90.0, 70.0, 10.5, "The register is linked."), ("tok", 1, "d", 1, 1, 90.0, 70.0, 10.5, "Each gl0ssary is for"), ("tok", 2, "d", 1, 2, 100.0, 70.0, 10.5, "review.")]
+    got = {(r.kind, r.doc, r.page, r.text) for r in S.paragraphs(rows(spark, data), WORDS).collect()}
+    assert got == {("line", "d", 1, "The register is linked."), ("tok", "d", 1, "Each glossary is for review.")}
+
+
+def test_paragraphs_query_reads_tokens(spark, tmp_path):
+    from leafquarry.llm.queries import p5_paragraphs
+
+    lines = [(1, "d", 1, 1, 90.0, 70.0, "The register is linked.", [("x", 10.5)])]
+    toks = [(1, "d", 1, 1, 90.0, 70.0, 10.5, "Each glossary is for review.")]
+    made = {
+        "jobs": ([("d", "p", "page_png", "t", (3,), None)], "id string, publisher string, profile string, title string, source struct<expected_page_count: int>, received_at timestamp"),
+        "pdf_lines": (lines, "line_id long, doc_id string, page int, line_no int, y0 double, x0 double, text string, spans array<struct<text: string, size: double>>"),
+        "page_toks": (toks, "tok_id long, doc_id string, page int, tok_no int, y0 double, x0 double, size double, text string"),
+        "glossary": ([("glossary",)], "term string"),
+    }
+    for name, (data, kind) in made.items():
+        spark.createDataFrame(data, kind).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert {(r.kind, r.doc_id, r.text) for r in p5_paragraphs(spark, str(tmp_path)).collect()} == {("line", "d", lines[0][6]), ("tok", "d", toks[0][7])}
+
+
 def test_lexicon(spark):
     text = [("The level of self-assessment",)] * 3 + [("taneous level",), ("a port-",)]
     made = S.lexicon(spark.createDataFrame(text, "form string"), spark.createDataFrame([("Guide",), ("Guide",)], "form string"), 1e-9)
