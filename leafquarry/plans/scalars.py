@@ -166,7 +166,7 @@ add(
 )
 add("c08_reverse_line", "manifest_entries", "id", "title", lambda c: F.array_join(F.reverse(F.split(F.trim(c), " +")), " "), "array_to_string(list_reverse(regexp_split_to_array(trim($c), ' +')), ' ')")
 add(
-    "c19_toc_entry", "manifest_entries", "id", "title", lambda c: X.toc_entry(F.regexp_replace(c, "[^ -~]", ""), F.col("page")),
+    "c19_toc_entry", "manifest_entries", "id", "title", lambda c: X.toc_entry(c, F.col("page")),
     r"""CASE WHEN upper(trim(regexp_replace($c, '[^ -~]', '', 'g'))) = 'CONTENTS' THEN '## Contents'
     WHEN regexp_matches(upper(trim(regexp_replace($c, '[^ -~]', '', 'g'))), '^(CHAPTER|APPENDIX)[ \t]+[0-9]+:') THEN '## ' || trim(regexp_replace($c, '[^ -~]', '', 'g')) || coalesce(' — ' || page::VARCHAR, '')
     WHEN starts_with(upper(trim(regexp_replace($c, '[^ -~]', '', 'g'))), 'PREFACE') THEN '## Preface with acknowledgements' || coalesce(' — ' || page::VARCHAR, '')

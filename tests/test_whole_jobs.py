@@ -28,3 +28,12 @@ def test_every_pair_of_snapshots(spark, rows, tmp_path):
         ("j", 4, "equal", 0, 1, 0, 1), ("j", 4, "delete", 1, 2, 1, 1), ("j", 5, "equal", 0, 1, 0, 1), ("j", 5, "insert", 1, 1, 1, 2),
         ("j", 6, "delete", 0, 2, 0, 0), ("k", 2, "equal", 0, 1, 0, 1),
     ], key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def test_contents_entries_keep_their_titles(spark, tmp_path):
+    said = {
+        "a": ("Résumé of Tasks", 3, "Résumé of Tasks — 3"), "b": ("Ｆｕｌｌ width", None, "Ｆｕｌｌ width"), "c": ("Глоссарий", 5, "Глоссарий — 5"),
+        "d": ("Levels A1–B2", 7, "Levels A1–B2 — 7"), "e": (" Chapter 2: Évaluation ", 9, "## Chapter 2: Évaluation — 9"), "f": ("3.1. Übersicht", 4, "### 3.1. Übersicht — 4"),
+    }
+    at = tables(spark, tmp_path, manifest_entries=([("j", 1, i, t, p) for i, (t, p, _) in said.items()], ENTRIES))
+    assert {r.id: r.result for r in entry.queries()["c19_toc_entry"](spark, at).collect()} == {i: r for i, (_, _, r) in said.items()}
