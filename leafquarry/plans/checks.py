@@ -410,8 +410,9 @@ def k08_crop_fractions(spark, sf_dir):
 
 @query(f"SELECT doc_id, group_id AS slug, lo AS page, CASE WHEN rotated THEN 270 ELSE 0 END AS rotation, CASE WHEN rotated THEN 'pending' ELSE 'complete' END AS status FROM (SELECT DISTINCT doc_id, group_id, least(start_page, end_page) AS lo, rotated FROM span_groups WHERE start_page IS NOT NULL AND end_page IS NOT NULL)")
 def k09_handoff(spark, sf_dir):
-    base = table(spark, sf_dir, "span_groups").where("start_page is not null and end_page is not null")
-    made = base.select("doc_id", F.col("group_id").alias("slug"), F.least("start_page", "end_page").alias("page"), "rotated").distinct()
+    base = table(spark, sf_dir, "span_groups").where("start_page is not null or end_page is not null")
+    lo = F.least(F.coalesce("start_page", "end_page"), F.coalesce("end_page", "start_page"))
+    made = base.select("doc_id", F.col("group_id").alias("slug"), lo.alias("page"), "rotated").distinct()
     return made.select("doc_id", "slug", "page", F.when(F.col("rotated"), 270).otherwise(0).alias("rotation"), F.when(F.col("rotated"), "pending").otherwise("complete").alias("status"))
 
 

@@ -9,12 +9,16 @@ QUERIES: dict = {}
 SQL: dict = {}
 
 
-def add(name, source, key, column, expression, sql, where=None):
-    """A query of one expression over one column of a table, with its key; sql is the expression of the oracle."""
+def add(name, source, key, column, expression, sql, where=None, kept=None):
+    """A query of one expression over one column of a table, with its key; sql is the expression of the oracle.
+
+    kept: the rows of the query itself where the oracle's condition leaves some out.
+    """
+    held = kept or where
 
     def query(spark, sf_dir):
         df = table(spark, sf_dir, source)
-        df = df.where(where) if where else df
+        df = df.where(held) if held else df
         return df.select(key, expression(F.col(column)).alias("result"))
 
     QUERIES[name] = query
@@ -185,11 +189,20 @@ add(
     f"len(list_distinct(list_filter(list_concat({_BASE}, list_concat(list_transform({_BASE}, lambda x: '### ' || x), list_transform({_BASE}, lambda x: '#### ' || x))), lambda x: length(x) >= 3)))",
     where="title is not null",
 )
+
+
+def _pages():
+    """A span group's pages as a list like '3-5', put right; a missing page is the other one."""
+    ends = F.coalesce("start_page", "end_page"), F.coalesce("end_page", "start_page")
+    return F.concat(F.least(*ends).cast("string"), F.lit("-"), F.greatest(*ends).cast("string"))
+
+
 add(
     "c33_page_list", "span_groups", "group_id", "title",
-    lambda c: F.array_join(X.page_list(F.concat(F.least("start_page", "end_page").cast("string"), F.lit("-"), F.greatest("start_page", "end_page").cast("string"), F.lit(",1"))), ","),
+    lambda c: F.array_join(X.page_list(F.concat(_pages(), F.lit(",1"))), ","),
     "array_to_string(list_concat(range(least(start_page, end_page), greatest(start_page, end_page) + 1), [1]), ',')",
     where="start_page is not null and end_page is not null",
+    kept="start_page is not null or end_page is not null",
 )
 add(
     "c30_span_text", "pdf_lines", "line_id", "spans", lambda c: F.length(X.span_text(F.transform(c, lambda s: F.struct(s["text"].alias("text"), F.lit("Serif").alias("font"), F.lit(0).alias("flags"))))),

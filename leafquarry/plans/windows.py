@@ -36,8 +36,10 @@ def layout(spark, sf_dir):
 
 
 def spans(spark, sf_dir):
-    rows = table(spark, sf_dir, "span_groups").where("start_page is not null and end_page is not null and doc_id is not null")
-    lo, hi = F.least("start_page", "end_page"), F.greatest("start_page", "end_page")
+    """Span groups once each; swapped pages are put right, a missing page is the other one. _SPANS leaves groups without an end out."""
+    a, b = F.coalesce("start_page", "end_page"), F.coalesce("end_page", "start_page")
+    rows = table(spark, sf_dir, "span_groups").where("doc_id is not null").where(a.isNotNull())
+    lo, hi = F.least(a, b), F.greatest(a, b)
     return rows.select("doc_id", "group_id", "span_type", "title", lo.alias("lo"), hi.alias("hi")).distinct()
 
 

@@ -37,3 +37,16 @@ def test_contents_entries_keep_their_titles(spark, tmp_path):
     }
     at = tables(spark, tmp_path, manifest_entries=([("j", 1, i, t, p) for i, (t, p, _) in said.items()], ENTRIES))
     assert {r.id: r.result for r in entry.queries()["c19_toc_entry"](spark, at).collect()} == {i: r for i, (_, _, r) in said.items()}
+
+
+GROUPS = "doc_id string, group_id string, span_type string, start_page int, end_page int, title string, rotated boolean"
+
+
+def test_groups_of_one_page(spark, rows, tmp_path):
+    data = [("d", "g", "table", 7, None, "T", False), ("d", "h", "table", None, 9, "T", True), ("d", "s", "table", 5, 3, "T", False), ("d", "n", "table", None, None, "T", False)]
+    at = tables(spark, tmp_path, span_groups=(data, GROUPS))
+    query = lambda name: entry.queries()[name](spark, at)
+    assert rows(query("k04_registry").select("id", "page_start", "page_end")) == [("g", 7, 7), ("h", 9, 9), ("s", 3, 5)]
+    assert rows(query("w13_gaps").select("gap_lo", "gap_hi")) == [(6, 6), (8, 8)]
+    assert rows(query("c33_page_list")) == [("g", "7,1"), ("h", "9,1"), ("s", "3,4,5,1")]
+    assert rows(query("k09_handoff").select("slug", "page", "rotation")) == [("g", 7, 0), ("h", 9, 270), ("s", 3, 0)]
