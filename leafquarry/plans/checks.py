@@ -368,9 +368,11 @@ def f23_toc_zone(spark, sf_dir):
 
 @query("SELECT doc_id, chunk_id, start_page, end_page, 'chunks/' || chunk_id || '_pages_' || lpad(start_page::VARCHAR, 3, '0') || '-' || lpad(end_page::VARCHAR, 3, '0') || '.pdf' AS out_path FROM chunks WHERE start_page < 1000 AND end_page < 1000")
 def k01_chunk_paths(spark, sf_dir):
-    pad = lambda c: F.lpad(F.col(c).cast("string"), 3, "0")
-    path = F.concat(F.lit("chunks/"), "chunk_id", F.lit("_pages_"), pad("start_page"), F.lit("-"), pad("end_page"), F.lit(".pdf"))
-    return table(spark, sf_dir, "chunks").where("start_page < 1000 and end_page < 1000").select("doc_id", "chunk_id", "start_page", "end_page", path.alias("out_path"))
+    """An open end is the document's last page; where that is unknown too, the path is null."""
+    ends = jobs(spark, sf_dir).select(F.col("id").alias("doc_id"), "pages")
+    chunks = table(spark, sf_dir, "chunks").join(ends, "doc_id", "left").withColumn("end_page", F.coalesce("end_page", "pages"))
+    path = F.concat(F.lit("chunks/"), "chunk_id", F.lit("_pages_"), X.padded(F.col("start_page"), 3), F.lit("-"), X.padded(F.col("end_page"), 3), F.lit(".pdf"))
+    return chunks.select("doc_id", "chunk_id", "start_page", "end_page", path.alias("out_path"))
 
 
 @query(f"SELECT j.id, max(j.title) AS title, max(j.pages) AS page_count, count(m.id) AS entries FROM ({_JOBS}) j LEFT JOIN (SELECT DISTINCT job_id, id FROM manifest_entries WHERE id IS NOT NULL) m ON j.id = m.job_id GROUP BY j.id")

@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..session import table
 from ..sources import files
 from .scalars import _SCORE
@@ -74,9 +75,9 @@ def s05_best_rotation(spark, sf_dir):
 
 @query("SELECT job_id, snapshot_no, 'versions/' || lpad(snapshot_no::VARCHAR, 3, '0') AS path, count(*) AS records, max(snapshot_no) OVER (PARTITION BY job_id) + 1 AS next_version FROM manifest_entries WHERE job_id IS NOT NULL AND snapshot_no < 1000 GROUP BY job_id, snapshot_no")
 def k06_versions(spark, sf_dir):
-    rows = table(spark, sf_dir, "manifest_entries").where("job_id is not null and snapshot_no < 1000")
+    rows = table(spark, sf_dir, "manifest_entries").where("job_id is not null and snapshot_no is not null")
     per = rows.groupBy("job_id", "snapshot_no").agg(F.count(F.lit(1)).alias("records"))
-    path = F.concat(F.lit("versions/"), F.lpad(F.col("snapshot_no").cast("string"), 3, "0"))
+    path = F.concat(F.lit("versions/"), X.padded(F.col("snapshot_no"), 3))
     return per.select("job_id", "snapshot_no", path.alias("path"), "records", (F.max("snapshot_no").over(Window.partitionBy("job_id")) + 1).alias("next_version"))
 
 

@@ -50,3 +50,18 @@ def test_groups_of_one_page(spark, rows, tmp_path):
     assert rows(query("w13_gaps").select("gap_lo", "gap_hi")) == [(6, 6), (8, 8)]
     assert rows(query("c33_page_list")) == [("g", "7,1"), ("h", "9,1"), ("s", "3,4,5,1")]
     assert rows(query("k09_handoff").select("slug", "page", "rotation")) == [("g", 7, 0), ("h", 9, 270), ("s", 3, 0)]
+
+
+def test_paths_of_long_documents(spark, rows, tmp_path):
+    chunks = [("d", "a", 1, 25), ("d", "b", 990, 1010), ("d", "c", 1011, None), ("e", "x", 12345, None)]
+    at = tables(
+        spark, tmp_path, chunks=(chunks, "doc_id string, chunk_id string, start_page int, end_page int"),
+        jobs=([("d", "P", "T", "p", (1200,)), ("d", "P", "T", "p", (1200,)), ("e", "P", "T", "p", (None,))], "id string, publisher string, title string, profile string, source struct<expected_page_count: int>"),
+        manifest_entries=([("j", n, "a", "A", 1) for n in (7, 999, 1000, 12345)], ENTRIES),
+    )
+    paths = entry.queries()["k01_chunk_paths"](spark, at).select("chunk_id", "end_page", "out_path")
+    assert rows(paths) == [
+        ("a", 25, "chunks/a_pages_001-025.pdf"), ("b", 1010, "chunks/b_pages_990-1010.pdf"), ("c", 1200, "chunks/c_pages_1011-1200.pdf"), ("x", None, None),
+    ]
+    versions = entry.queries()["k06_versions"](spark, at).select("path", "next_version")
+    assert rows(versions) == [("versions/007", 12346), ("versions/1000", 12346), ("versions/12345", 12346), ("versions/999", 12346)]
