@@ -205,7 +205,7 @@ add(
     kept="start_page is not null or end_page is not null",
 )
 add(
-    "c30_span_text", "pdf_lines", "line_id", "spans", lambda c: F.length(X.span_text(F.transform(c, lambda s: F.struct(s["text"].alias("text"), F.lit("Serif").alias("font"), F.lit(0).alias("flags"))))),
+    "c30_span_text", "pdf_lines", "line_id", "spans", X.span_text,
     "length(array_to_string(list_transform($c, lambda s: replace(coalesce(s.text, ''), chr(173), '')), ''))",
     where="spans is not null",
 )

@@ -65,3 +65,12 @@ def test_paths_of_long_documents(spark, rows, tmp_path):
     ]
     versions = entry.queries()["k06_versions"](spark, at).select("path", "next_version")
     assert rows(versions) == [("versions/007", 12346), ("versions/1000", 12346), ("versions/12345", 12346), ("versions/999", 12346)]
+
+
+def test_span_text_of_the_fonts_given(spark, rows, tmp_path):
+    spans = [
+        (1, [("Bold ", "Serifa-Bold", 0), ("more", "Serifa", 16), (" plain", "Serifa", 0)]), (2, [("3", "Wingdings", 0), (" next\u00ad", None, None)]),
+        (3, [("3", "Serifa", 0), (None, "Serifa-Bold", 0)]), (4, None),
+    ]
+    at = tables(spark, tmp_path, pdf_lines=(spans, "line_id long, spans array<struct<text: string, font: string, flags: int>>"))
+    assert rows(entry.queries()["c30_span_text"](spark, at)) == [(1, "**Bold more** plain"), (2, "▶ next"), (3, "3")]
