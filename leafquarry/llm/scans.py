@@ -36,7 +36,8 @@ CONFUSIONS = [
 _TOKEN = re.compile(r"[^\s]+")
 _STRIP = ".,;:?!()[]{}\"'“”‘’«»…*_`"
 _LETTER = re.compile(r"[^\W\d_]")
-_FOREIGN = re.compile(r"[^\x00-\u024f]")  # other scripts than Latin: case and look-alikes mix there, nothing is decoded
+_HIGH = re.compile(r"[^\W\d_\x00-\u024f]")  # letters that may be of another script
+_DASH = re.compile(r"([–—])")  # between words, each of them decoded by itself
 _CODE = re.compile(r"(?:pre-)?[a-l]\d[+.]?\d?$|[ivxlcdm]+$|\d+$", re.IGNORECASE)
 DECODED = T.StructType([
     T.StructField("text", T.StringType()), T.StructField("hyphen", T.BooleanType()), T.StructField("misread", T.BooleanType()),
@@ -67,7 +68,7 @@ def lexicon(clean: DataFrame, sure: DataFrame | None = None, rate: float = RATE)
     sure: reference texts (titles, terms; column form) that hold no halves and count in full.
     """
     inner = F.regexp_replace(F.regexp_replace("form", r"^\p{Ll}[^ ]* ?", ""), r"[^ ]*[-¬]$", "")
-    words = F.expr(r"regexp_extract_all(lower(_inner), '\\p{L}+(?:[\'’]\\p{L}+)*(?:-\\p{L}+(?:[\'’]\\p{L}+)*)*', 0)")
+    words = F.expr(r"regexp_extract_all(replace(lower(_inner), '’', '\''), '\\p{L}+(?:[\'’]\\p{L}+)*(?:-\\p{L}+(?:[\'’]\\p{L}+)*)*', 0)")
     texts = clean.select(inner.alias("_inner"))
     if sure is not None:
         texts = texts.unionByName(sure.select(F.col("form").alias("_inner")))
@@ -110,9 +111,9 @@ class Decoder:
         self.single: dict[str, str | None] = {}
 
     def known(self, w: str) -> bool:
-        """Whether w is a lexicon word, a compound of them, or their plural or singular."""
+        """Whether w is a lexicon word, a compound of them, or their plural, singular or possessive."""
         return (
-            w in self.words or w + "s" in self.words or (w[-1:] == "s" and w[:-1] in self.words)
+            w in self.words or w + "s" in self.words or (w[-1:] == "s" and w[:-1] in self.words) or (w[-2:] == "'s" and w[:-2] in self.words)
             or ("-" in w and all(p in self.words for p in w.split("-")))
         )
 
@@ -196,7 +197,7 @@ class Decoder:
 
     def joins(self, a: str, b: str) -> bool:
         """Whether a and b, next to each other, are one word split by a space."""
-        if not a or not b or "-" in a or "-" in b:
+        if not a or not b or "-" in a or "-" in b or _DASH.search(a + b):
             return False
         whole = a + b
         if whole in self.words:
@@ -233,6 +234,16 @@ class Decoder:
         return self._compounds
 
 
+def _foreign(core: str) -> bool:
+    """Whether a letter is not Latin: case and look-alikes mix in other scripts, nothing is decoded."""
+    return any(not unicodedata.name(ch, "").startswith("LATIN") for ch in _HIGH.findall(core))
+
+
+def _low(core: str) -> str:
+    """A word as the lexicon writes it."""
+    return core.lower().replace("’", "'")
+
+
 def _core(token: str) -> tuple[str, str, str]:
     core = token.strip(_STRIP)
     at = token.find(core) if core else len(token)
@@ -245,6 +256,7 @@ def _goes_on(tail: str, token: str) -> bool:
 
 
 def _cased(word: str, like: str) -> str:
+    word = word.replace("'", "’") if "’" in like else word
     return word.upper() if like.isupper() and len(like) > 1 else word[:1].upper() + word[1:] if like[:1].isupper() else word
 
 
@@ -258,8 +270,8 @@ def decode_row(d: Decoder, form: str, before: str | None, after: str | None) ->
     misread = hyphen = False
     first = tokens[0] if tokens else ""
     if before and before[-1:] in MARKS and len(before) > 1:
-        head = _core(before[:-1])[1].lower()
-        tail = _core(first)[1].lower()
+        head = _low(_core(before[:-1])[1])
+        tail = _low(_core(first)[1])
         if head and _goes_on(tail, first) and d.break_at(head, tail):
             misread = _edit_in(d, head, tail) == 2
             tokens = tokens[1:]
@@ -267,10 +279,10 @@ def decode_row(d: Decoder, form: str, before: str | None, after: str | None) ->
     if tokens and tokens[-1][-1:] in MARKS and len(tokens[-1]) > 1 and after:
         lead, head, _ = _core(tokens[-1][:-1])
         tail = _core(after)[1]
-        if head and _goes_on(tail, after) and d.break_at(head.lower(), tail.lower()):
+        if head and _goes_on(tail, after) and d.break_at(_low(head), _low(tail)):
             hyphen = True
-            misread |= _edit_in(d, head.lower(), tail.lower()) == 1
-            whole = (head + tail).lower().rsplit("-", 1)[-1]
+            misread |= _edit_in(d, _low(head), _low(tail)) == 1
+            whole = _low(head + tail).rsplit("-", 1)[-1]
             right = whole if whole in d.words else d.confused(whole)
             ending = lead + (_cased(right, head) if right and "-" not in head + tail else head + tail) + _core(after)[2]
             tokens = tokens[:-1]
@@ -279,13 +291,19 @@ def decode_row(d: Decoder, form: str, before: str | None, after: str | None) ->
     i = 0
     while i < len(cores):
         lead, core, trail = cores[i]
-        low = core.lower()
-        if not _LETTER.search(core) or _CODE.match(core) or _FOREIGN.search(core):
+        low = _low(core)
+        if not _LETTER.search(core) or _CODE.match(core) or _foreign(core):
             out.append(tokens[i])
             i += 1
             continue
-        if i + 1 < len(cores) and not trail and not cores[i + 1][0] and cores[i + 1][1] and d.joins(low, cores[i + 1][1].lower()):
-            whole = low + cores[i + 1][1].lower()
+        if _DASH.search(core):
+            made = [decode_row(d, part, None, None) for part in _DASH.split(core)]
+            misread |= any(bad for _, _, bad in made)
+            out.append(lead + "".join(text for text, _, _ in made) + trail)
+            i += 1
+            continue
+        if i + 1 < len(cores) and not trail and not cores[i + 1][0] and cores[i + 1][1] and d.joins(low, _low(cores[i + 1][1])):
+            whole = low + _low(cores[i + 1][1])
             right = whole if whole in d.words else d.confused(whole)
             out.append(lead + _cased(right, core) + cores[i + 1][2])
             misread = True

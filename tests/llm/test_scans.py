@@ -29,6 +29,21 @@ def test_capitals_of_sharp_s():
     assert S.Decoder({"größenvergleich": 9, "level": 9}).decode("grössenvergleich") == ("grössenvergleich",)
 
 
+@pytest.mark.parametrize(
+    ("form", "right", "misread"),
+    [
+        ("the learn3r’s gl0ssary", "the learner’s glossary", True), ("the learner’s glossary", "the learner’s glossary", False), ("the register’s level", "the register’s level", False), ("Glossary–Portfo1io.", "Glossary–Portfolio.", True),
+        ("the glossary–portfolio", "the glossary–portfolio", False), ("gl0ssарy", "gl0ssарy", False), ("the–γλ0σσα", "the–γλ0σσα", False),
+    ],
+)
+def test_apostrophes_and_dashes(form, right, misread):
+    assert S.decode_row(S.Decoder(WORDS | {"learner's": 50}), form, None, None) == (right, False, misread)
+
+
+def test_lexicon_writes_one_apostrophe(spark):
+    assert S.lexicon(spark.createDataFrame([("The learner’s level",), ("A learner's level",)], "form string"), rate=1e-9)["learner's"] == 2
+
+
 def test_splits_and_breaks(decoder):
     assert decoder.joins("inter", "action") and decoder.joins("glos", "sary") and not decoder.joins("the", "level")
     assert decoder.break_at("glos", "sary") and not decoder.break_at("self", "assessment") and not decoder.break_at("self", "asse5sment")
