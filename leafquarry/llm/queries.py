@@ -7,7 +7,7 @@ from . import tables
 from .boundaries import split_items, valleys
 from .leakage import leaked
 from .look_alikes import matching_terms
-from .packing import byte_pieces, fill
+from .packing import byte_pieces, fill, program_report, split_texts
 from .quality import COMMON, kind_of, statistics
 from .repeated_lines import cleaned_documents, repeated_lines
 from .scans import defects, lexicon, paragraphs, text_rows
@@ -56,22 +56,28 @@ def p5_paragraphs(spark, sf_dir):
 CAPACITY = 8192
 
 
+def _texts(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("item"), "text")
+
+
 def p6_fill(spark, sf_dir):
-    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("item"), "text")
-    return fill(texts, byte_pieces(CAPACITY), CAPACITY).withColumnRenamed("item", "doc_id")
+    return fill(_texts(spark, sf_dir), byte_pieces(CAPACITY), CAPACITY).withColumnRenamed("item", "doc_id")
 
 
 def p6_found(spark, sf_dir):
-    return p6_fill(spark, sf_dir).where("n_pieces > 1").select("doc_id").distinct()
+    return split_texts(fill(_texts(spark, sf_dir), byte_pieces(CAPACITY), CAPACITY)).select(F.col("item").alias("doc_id"))
 
 
 def p6_report(spark, sf_dir):
-    """Containers used, the fewest possible by volume, and the share of room that stays empty."""
-    filled = p6_fill(spark, sf_dir).groupBy("container").agg(F.sum("size").alias("used"), F.max("n_pieces").alias("pieces"))
+    """Containers used, the fewest possible by volume, the share of room that stays empty, and the program's value and bound."""
+    value, bound, configurations = program_report(_texts(spark, sf_dir), byte_pieces(CAPACITY), CAPACITY)
+    filled = p6_fill(spark, sf_dir).groupBy("container").agg(F.sum("size").alias("used"))
     fewest = F.ceil(F.sum("used") / CAPACITY)
     return filled.agg(
         F.count(F.lit(1)).alias("containers"), fewest.alias("fewest_by_volume"), F.max("used").alias("fullest"),
         F.round(1 - F.sum("used") / (F.count(F.lit(1)) * CAPACITY), 6).alias("empty_share"),
+        F.lit(round(value, 3)).alias("program_value"), F.lit(round(bound, 3)).alias("program_bound"),
+        F.lit(configurations).alias("configurations"),
     )
 
 
