@@ -1,24 +1,29 @@
-"""Evaluation passages that occur in a corpus, whole, in part or altered.
-
-Words are compared apart from case, punctuation, look and line breaks. Numbers, units and the names of the evaluation
-texts become typed placeholders, so that a re-parameterised question keeps its template. Windows of five template
-words of the evaluation texts are a hash table; every document is streamed past it once (the evaluation set in blocks
-whose window count is bounded, so what is broadcast has a proven size). Window hits name candidate pairs and
-diagonals; a pair is then checked on the words themselves: slots filled with other values count as changed words,
-and it is reported whether each slot value was replaced the same way throughout.
+"""Evaluation passages that occur in a corpus, whole, in part, altered or with other values in their slots.
+
+Words are compared apart from case, punctuation, look and line breaks. In every text numbers, units and names become
+typed placeholders, so that a re-parameterised question keeps its template. A word is a name if the evaluation texts
+write it as one, or if they do not know it and the text writes it with a capital. Windows of five template words are
+hashed on both sides and joined by Spark; windows with a word that no evaluation text holds are not even sent. Two
+windows on one diagonal make a candidate pair, and only candidate pairs see their texts again, for the evidence: equal
+words, edits within the limit, or a template run whose slots were refilled one to one.
+
+The evaluation set is worked through in blocks of a bounded number of words. What a worker holds is the vocabulary of
+one block, whatever the number of blocks; texts and windows of the set never reach the driver.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.look import fold_look
@@ -27,7 +32,10 @@ WINDOW = 5  # a passage of n >= 20 words with at most n / 8 edits keeps a run of
 EXACT_WORDS = 12
 ALTERED_WORDS = 20
 ONE_IN = 8
-BLOCK_WINDOWS = 400_000  # windows of one broadcast block: about 10 MB
+TEMPLATE_WORDS = 20  # words of a template run that shows a re-parameterised passage
+LITERAL_SHARE = 0.5  # share of them that are no placeholders
+BLOCK_WORDS = 200_000  # words of the evaluation texts worked through at once; bounds the vocabulary of a block
+NUMBER, UNIT, NAME = 1, 2, 3  # placeholders
 # Units of measure that become one placeholder.
 UNITS = frozenset("mm cm m km metre metres meter meters mile miles g kg gram grams tonne tonnes l litre litres hour hours minute minutes second seconds euro euros pound pounds percent degrees".split())
 _BROKEN = re.compile("[-\u2010\u2011\xac\xad\uff0d][ \\t]*\\r?\\n\\s*(?=\\w)")
@@ -35,16 +43,10 @@ _INNER = re.compile(r"(?<=\w)[-'’](?=\w)")
 _WORD = re.compile(r"\w+")
 _NUMBER = re.compile(r"\d+\Z")
 
-FOUND = T.StructType(
-    [
-        T.StructField("doc_id", T.LongType()),
-        T.StructField("item_id", T.LongType()),
-        T.StructField("run", T.IntegerType()),
-        T.StructField("words", T.IntegerType()),
-        T.StructField("edits", T.IntegerType()),
-        T.StructField("slots_consistent", T.BooleanType()),
-    ]
-)
+FOUND = "doc_id bigint, item_id bigint, kind string, run int, words int, edits int, slots_consistent boolean"
+_FOUND = pa.schema([
+    ("doc_id", pa.int64()), ("item_id", pa.int64()), ("kind", pa.string()), ("run", pa.int32()), ("words", pa.int32()), ("edits", pa.int32()), ("slots_consistent", pa.bool_()),
+])
 
 
 class _Splits(dict):
@@ -60,81 +62,73 @@ class _Splits(dict):
 _SPLITS = _Splits()
 
 
-def words_of(text: str) -> list[str]:
-    """Words of a text: look-alikes and case folded, words broken at line ends rejoined, inner hyphens dropped."""
+def _parts(text: str) -> list[str]:
+    """Words of a text in their case: look-alikes folded, words broken at line ends rejoined, inner hyphens dropped."""
     if "\n" in text:
         text = _BROKEN.sub("", text)
-    text = fold_look(text).casefold()
+    text = fold_look(text)
     if "--" in text:
         text = text.replace("--", " ")
     return text.translate(_SPLITS).split()
 
 
-def names_in(texts: list[str]) -> set[str]:
-    """Words that the evaluation texts write with a capital inside sentences and never in lower case."""
-    inner, lower = set(), set()
-    for text in texts:
-        for m in _WORD.finditer(_INNER.sub("", fold_look(text))):
-            w = m.group()
-            if w[0].isupper() and m.start() > 1 and text[max(0, m.start() - 2) : m.start()].strip()[-1:].isalnum():
-                inner.add(w.casefold())
-            elif w[0].islower():
-                lower.add(w)
-    return inner - lower
-
-
-class Templates:
-    """A block of evaluation texts: word ids (placeholders shared), window table and literal words."""
-
-    def __init__(self, items: list[tuple[int, list[str]]], names: set[str]) -> None:
-        self.items = items
-        ids: dict[str, int] = {}
-        for _, words in items:
-            for w in words:
-                if w not in ids:
-                    ids[w] = 1 if _NUMBER.match(w) else 2 if w in UNITS else 3 if w in names else len(ids) + 10
-        self.ids = ids
-        at: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for k, (_, words) in enumerate(items):
-            coded = self.code(words)
-            for p, h in enumerate(self.hashes(coded).tolist()):
-                at[h].append((k, p))
-        self.at = dict(at)
-        self.sorted = np.array(sorted(at), dtype=np.int64)
-
-    def code(self, words: list[str]) -> np.ndarray:
+def words_of(text: str) -> list[str]:
+    """Words of a text under full case folding."""
+    return [w.casefold() for w in _parts(text)]
+
+
+def capitals_in(text: str) -> Iterator[tuple[str, bool, bool]]:
+    """Words of an evaluation text with whether they stand in capitals inside a sentence, and whether in lower case."""
+    inside = False
+    for token in fold_look(_BROKEN.sub("", text)).split():
+        for w in _parts(token):
+            yield w.casefold(), inside and w[0].isupper(), not w[0].isupper()
+            inside = True
+        if token.rstrip(")\"'”’")[-1:] in ".!?:":
+            inside = False
+
+
+class Vocabulary:
+    """Codes of the words of a block of evaluation texts: placeholders for numbers, units and names, own numbers for others."""
+
+    def __init__(self, names: Iterable[str], others: Iterable[str], slots: bool = True) -> None:
+        self.slots = slots
+        self.ids = {w: n + 10 for n, w in enumerate(sorted({*others} if slots else {*others, *names}))}
+        if slots:
+            self.ids |= dict.fromkeys(names, NAME) | dict.fromkeys(UNITS, UNIT)
+            self.ids = {w: NUMBER if _NUMBER.match(w) else k for w, k in self.ids.items()}
+
+    def code(self, parts: list[str]) -> np.ndarray:
+        """Codes of the words of a text given in their case; 0 for a word that is in no evaluation text."""
         get = self.ids.get
-        coded = [get(w, 0) for w in words]
+        coded = [get(w, 0) for w in parts]
         if 0 in coded:
-            for i, w in enumerate(words):
-                if not coded[i] and w[0].isdigit() and _NUMBER.match(w):
-                    coded[i] = 1
+            for i, w in enumerate(parts):
+                if not coded[i]:
+                    coded[i] = get(w.casefold(), 0) or (self._slot(w) if self.slots else 0)
         return np.array(coded, dtype=np.int64)
 
     @staticmethod
-    def hashes(coded: np.ndarray) -> np.ndarray:
-        if len(coded) < WINDOW:
-            return np.zeros(0, dtype=np.int64)
-        n = len(coded) - WINDOW + 1
-        h = np.zeros(n, dtype=np.int64)
-        for j in range(WINDOW):
-            h = h * np.int64(1_000_003) + coded[j : j + n]
-        return h
-
-    def hits(self, words: list[str]) -> list[int]:
-        """Positions of the document's windows that are windows of an evaluation text."""
-        coded = self.code(words)
-        if len(coded) < WINDOW or not len(self.sorted):
-            return []
-        known = np.concatenate([[0], np.cumsum(coded > 0)])
-        full = np.nonzero(known[WINDOW:] - known[:-WINDOW] == WINDOW)[0]
-        if not len(full):
-            return []
-        h = self.hashes(coded)
-        at = np.searchsorted(self.sorted, h[full])
-        at[at == len(self.sorted)] = 0
-        self.last = h
-        return full[self.sorted[at] == h[full]].tolist()
+    def _slot(word: str) -> int:
+        return NUMBER if word[0].isdigit() and _NUMBER.match(word) else NAME if word[0].isupper() else 0
+
+
+def windows(coded: np.ndarray, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and positions of the windows whose words are all known. A window with less than two words that are no
+    placeholders says too little, so the words behind its placeholders count in it."""
+    n = len(coded) - WINDOW + 1
+    if n < 1:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    known = np.concatenate([[0], np.cumsum(coded > 0)])
+    full = np.nonzero(known[WINDOW:] - known[:-WINDOW] == WINDOW)[0]
+    h = np.zeros(len(full), dtype=np.int64)
+    for j in range(WINDOW):
+        h = h * np.int64(1_000_003) + coded[full + j]
+    literal = np.concatenate([[0], np.cumsum(coded >= 10)])
+    for i in np.nonzero(literal[full + WINDOW] - literal[full] < 2)[0]:
+        said = " ".join(w.casefold() for w in parts[full[i] : full[i] + WINDOW])
+        h[i] = np.int64(int.from_bytes(blake2b(said.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True))
+    return h, full
 
 
 def equal_runs(a: list[str], b: list[str], diagonals: list[int], least: int) -> list[tuple[int, int, int]]:
@@ -181,35 +175,20 @@ def reach(a: list[str], b: list[str], most: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def leaks_in(words: list[str], block: Templates) -> Iterator[tuple[int, int, int, int, bool]]:
-    """Items of the block that leaked into a text: item_id, run, words, edits, slots_consistent."""
-    positions = block.hits(words)
-    if len(positions) < 2:
-        return
-    hashes, by_item = block.last, defaultdict(Counter)
-    for p in positions:
-        for k, q in block.at[int(hashes[p])]:
-            by_item[k][p - q] += 1
-    checked: dict[tuple[str, ...], tuple | None] = {}
-    for k, diagonals in by_item.items():
-        if max(diagonals.values()) < 2:
-            continue
-        item_id, item = block.items[k]
-        key = (*item, str(sorted(diagonals)))
-        if key not in checked:
-            checked[key] = _check(words, item, diagonals)
-        if checked[key]:
-            yield (item_id, *checked[key])
-
-
-def _check(words: list[str], item: list[str], diagonals: Counter) -> tuple | None:
-    """Evidence that the item leaked: longest run, words and edits of the passage, slots replaced alike; or None."""
-    runs = equal_runs(words, item, sorted(d for d, n in diagonals.items() if n >= 2), WINDOW + 1)
+def evidence(said: list[str], item: list[str], diagonals: list[int], vocabulary: Vocabulary) -> tuple | None:
+    """How an item leaked into a text (words in their case): kind, run, words, edits, slots replaced alike; or None."""
+    words, meant = [w.casefold() for w in said], [w.casefold() for w in item]
+    return _check(words, meant, diagonals) or _refilled(words, meant, vocabulary.code(said), vocabulary.code(item), diagonals)
+
+
+def _check(words: list[str], item: list[str], diagonals: list[int]) -> tuple | None:
+    """Evidence by the words themselves: a long equal run, or a passage within the limit of edits."""
+    runs = equal_runs(words, item, sorted(diagonals), WINDOW + 1)
     if not runs:
         return None
     run = max(runs)[0]
     if run >= EXACT_WORDS:
-        return run, run, 0, True
+        return "exact", run, run, 0, True
     best = None
     for n, i, j in runs:
         most = len(item) // ONE_IN
@@ -223,7 +202,20 @@ def _check(words: list[str], item: list[str], diagonals: Counter) -> tuple | Non
                     best = (total, edits, words[i - n - la : i + ra], item[j - n - lb : j + rb])
     if best is None:
         return None
-    return run, best[0], best[1], _slots_consistent(best[2], best[3])
+    return "altered", run, best[0], best[1], _slots_consistent(best[2], best[3])
+
+
+def _refilled(words: list[str], item: list[str], coded: np.ndarray, meant: np.ndarray, diagonals: list[int]) -> tuple | None:
+    """Evidence by the template: a long run of equal template words whose slots were refilled one to one."""
+    best = None
+    for n, i, j in equal_runs(coded.tolist(), meant.tolist(), sorted(diagonals), TEMPLATE_WORDS):
+        slots = [k for k in range(n) if 0 < meant[j - n + k] < 10]
+        pairs = {(item[j - n + k], words[i - n + k]) for k in slots}
+        changed = sum(item[j - n + k] != words[i - n + k] for k in slots)
+        one_to_one = len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs})
+        if changed and one_to_one and n - len(slots) >= LITERAL_SHARE * n and (best is None or n > best[2]):
+            best = ("refilled", max((r[0] for r in equal_runs(words[i - n : i], item[j - n : j], [0], 1)), default=0), n, changed, True)
+    return best
 
 
 def _slots_consistent(said: list[str], meant: list[str]) -> bool:
@@ -236,46 +228,82 @@ def _slots_consistent(said: list[str], meant: list[str]) -> bool:
     return all(len(v) == 1 for v in other.values())
 
 
-def blocks_of(items: list[tuple[int, str]], most: int = BLOCK_WINDOWS) -> list[list[tuple[int, list[str]]]]:
-    """Items as (item_id, words) in blocks of a bounded number of words."""
-    blocks, size = [], most
-    for item_id, text in items:
-        words = words_of(text)
-        if size + len(words) > most:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((item_id, words))
-        size += len(words)
-    return blocks
+def vocabulary_of(items: DataFrame, slots: bool = True) -> Vocabulary:
+    """The vocabulary of the items of a block; words that stand with a capital inside sentences, never without, are names."""
 
+    @F.arrow_udf(T.ArrayType(T.StructType([T.StructField("w", T.StringType()), T.StructField("inner", T.BooleanType()), T.StructField("low", T.BooleanType())])))
+    def capitals(texts: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.struct([("w", pa.string()), ("inner", pa.bool_()), ("low", pa.bool_())]))
+        return pa.array([[{"w": w, "inner": i, "low": n} for w, i, n in sorted({*capitals_in(t or "")})] for t in texts.to_pylist()], kind)
 
-def leaked(documents: DataFrame, items: DataFrame, max_items: int = 1_000_000) -> DataFrame:
-    """Documents that hold a passage of an evaluation text: doc_id, item_id and the evidence, one row per pair.
+    seen = items.select(F.explode(capitals("text")).alias("c")).groupBy("c.w").agg((F.max("c.inner") & ~F.max("c.low")).alias("name"))
+    rows = seen.collect()  # distinct words of one block
+    return Vocabulary([r.w for r in rows if r.name], [r.w for r in rows if not r.name], slots)
 
-    A passage counts with at least twelve consecutive words of the item, or at least twenty of which at most one in
-    eight was changed, misspelt, added or dropped; run is the longest run of equal words, words and edits describe
-    the passage. documents: doc_id, text; items: item_id, text - the evaluation set, a stated query set; more than
-    max_items raises an error instead of exhausting the driver. Null ids or texts, and texts too short to hold a
-    passage, give no rows; empty tables give an empty result.
-    """
-    rows = items.where("item_id is not null and text is not null").select("item_id", "text").limit(max_items + 1).collect()
-    if len(rows) > max_items:
-        raise ValueError(f"more than {max_items} evaluation texts; run them in parts")
-    sc = documents.sparkSession.sparkContext
-    pairs = sorted((r.item_id, r.text) for r in rows)
-    held = [sc.broadcast((b, names_in([t for _, t in pairs]))) for b in blocks_of(pairs)]
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("run", pa.int32()), ("words", pa.int32()), ("edits", pa.int32()), ("slots_consistent", pa.bool_())])
-        made = [Templates(*b.value) for b in held]
+
+def hashed_windows(texts: DataFrame, key: list[str], vocabulary) -> DataFrame:
+    """key columns, h and pos of every template window of the texts (column text); vocabulary is a broadcast one."""
+
+    @F.arrow_udf(T.ArrayType(T.StructType([T.StructField("h", T.LongType()), T.StructField("pos", T.IntegerType())])))
+    def run(batch: pa.Array) -> pa.Array:
+        hashes, places, ends = [], [], [0]
+        for text in batch.to_pylist():
+            parts = _parts(text or "")
+            h, at = windows(vocabulary.value.code(parts), parts)
+            hashes.append(h)
+            places.append(at)
+            ends.append(ends[-1] + len(h))
+        h, at = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (hashes, places))
+        flat = pa.StructArray.from_arrays([pa.array(h), pa.array(at.astype(np.int32))], ["h", "pos"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+
+    return texts.select(*key, F.explode(run.asNondeterministic()("text")).alias("w")).select(*key, "w.h", "w.pos")
+
+
+def _block_leaks(texts: DataFrame, items: DataFrame, slots: bool) -> DataFrame:
+    vocabulary = texts.sparkSession.sparkContext.broadcast(vocabulary_of(items, slots))
+    meant = hashed_windows(items, ["item_id"], vocabulary).withColumnRenamed("pos", "at")
+    hits = hashed_windows(texts, ["doc_id", "copy"], vocabulary).join(meant, "h")
+    diagonals = hits.groupBy("doc_id", "copy", "item_id", (F.col("pos") - F.col("at")).alias("d")).count().where("count >= 2")
+    pairs = diagonals.groupBy("doc_id", "copy", "item_id").agg(F.array_sort(F.collect_list("d")).alias("ds"))
+    asked = pairs.join(items.select("item_id", F.col("text").alias("item")), "item_id")
+    shown = texts.join(asked, ["doc_id", "copy"]).select("doc_id", "item_id", "text", "item", "ds")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[str, list[str]] = ("", [])
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = words_of(text)
-                for b in made:
-                    out += [(doc_id, *x) for x in leaks_in(words, b)]
+            for doc_id, item_id, text, item, ds in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held[0] != text:
+                    held = (text, _parts(text))
+                if made := evidence(held[1], _parts(item), ds, vocabulary.value):
+                    out.append((doc_id, item_id, *made))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), kind, strict=True)], schema=kind)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _FOUND, strict=True)], schema=_FOUND)
+
+    return shown.mapInArrow(verify, FOUND)
+
 
-    texts = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
-    return texts.mapInArrow(search, FOUND)
+def leaked(documents: DataFrame, items: DataFrame, block_words: int = BLOCK_WORDS, slots: bool = True) -> DataFrame:
+    """Documents that hold a passage of an evaluation text: doc_id, item_id and the evidence, one row per pair.
+
+    kind is `exact` with at least twelve consecutive words of the item, `altered` with at least twenty of which at most
+    one in eight was changed, misspelt, added or dropped, and `refilled` with at least twenty words of its template
+    whose numbers, units or names were replaced one to one. run is the longest run of equal words; words and edits
+    describe the passage. documents: doc_id, text; items: item_id, text, the evaluation set. The documents are read
+    once for every block of block_words words of the set, and once more where they hold candidates. slots switches
+    the placeholders off. Null ids or texts, and texts too short to hold a passage, give no rows; of several texts
+    under one id each counts; empty tables give an empty result.
+    """
+    known = items.where("item_id is not null and text is not null").select("item_id", "text").distinct()
+    size = known.agg(F.sum(F.size(F.split("text", " ")))).first()[0] or 0
+    texts = documents.where("doc_id is not null and text is not null").select("doc_id", "text", F.xxhash64("text").alias("copy"))
+    blocks = max(1, -(-size // block_words))
+    made = None
+    for k in range(blocks):
+        part = known.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k) if blocks > 1 else known
+        found = _block_leaks(texts, part, slots)
+        made = found if made is None else made.unionByName(found)
+    rank = F.struct((F.col("kind") == "refilled").alias("r"), -F.col("words"), "kind", "run", "edits")
+    best = F.min_by(F.struct("kind", "run", "words", "edits", "slots_consistent"), rank).alias("b")
+    return made.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.*")

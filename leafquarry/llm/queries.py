@@ -86,7 +86,7 @@ def p7_leaks(spark, sf_dir):
 
 
 def p7_found(spark, sf_dir):
-    return p7_leaks(spark, sf_dir).select("doc_id", "item_id")
+    return p7_leaks(spark, sf_dir).where("kind in ('exact', 'altered')").select("doc_id", "item_id")
 
 
 STATS = ["doc_id", "n_words", "mean_word_length", "symbol_ratio", "punct_line_share", "bullet_line_share", "common_word_share"]

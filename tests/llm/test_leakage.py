@@ -35,6 +35,7 @@ def test_whole_part_altered(spark):
     want = {(d, i) for d in (1, 2, 4, 5, 6, 7, 10, 12, 13) for i in (100, 101)} | {(12, 102)}
     assert set(found) == want
     assert found[(4, 100)].edits == 5 and found[(4, 100)].words == 40 and found[(4, 100)].slots_consistent
+    assert {r.kind for r in found.values()} == {"exact", "altered"} and len(K.leaked(spark.createDataFrame([(1, "a")], "doc_id long, text string"), spark.createDataFrame([(1, "b")], "item_id long, text string")).columns) == 7
 
 
 def brute(words, item):
@@ -69,28 +70,68 @@ def brute(words, item):
 def test_against_brute_force(seed):
     rng = random.Random(seed)
     item = passage(rng, 30)
-    block = K.Templates([(1, item)], set())
+    known = K.Vocabulary([], item)
     for _ in range(6):
         words = list(item[rng.randint(0, 6) : rng.randint(22, 30)])
         for _ in range(rng.randint(0, 5)):
             k = rng.randrange(len(words))
             words[k : k + rng.choice([0, 1, 1])] = rng.choice([["zzz"], ["zzz"], []])
         words = ["yyy"] * 3 + words + ["xxx"] * 3
-        assert bool(list(K.leaks_in(words, block))) == brute(words, item)
+        (h, at), (g, by) = (K.windows(known.code(w), w) for w in (words, item))
+        diagonals = [p - q for x, p in zip(h, at) for y, q in zip(g, by) if x == y]
+        twice = sorted({int(d) for d in diagonals if diagonals.count(d) >= 2})
+        made = K.evidence(words, item, twice, known)
+        assert (made is not None and made[0] != "refilled") == brute(words, item)
 
 
-def test_templates_and_slots():
-    texts = ["The boat of Hollowmere took 12 km to Wrenmouth today.", "Why did Hollowmere wait 3 hours for it in Wrenmouth?"]
-    names = K.names_in(texts)
-    assert {"hollowmere", "wrenmouth"} <= names
-    block = K.Templates([(1, K.words_of(texts[0]))], names)
-    a, b = (K.Templates.hashes(block.code(K.words_of(t))) for t in (texts[0], "The boat of Wrenmouth took 99 hours to Hollowmere today"))
-    assert (a == b).sum() == len(a) - sum("km" in K.words_of(texts[0])[i : i + 5] for i in range(len(a)))
+def asked(a, b, v, w, x, y, z, unit="km", a2=None):
+    return (
+        f"From {a} some {v} boats took {w} crates to {b} over {x} {unit} and then {y} men of {a2 or a} sold {z} crates"
+        f" so how many of the {v} boats of {b} took {w} crates?"
+    )
 
 
-def test_blocks_and_bound(spark):
-    items = [(i, " ".join(passage(random.Random(i), 50))) for i in range(20)]
-    assert [len(b) for b in K.blocks_of(items, 200)] == [4] * 5
-    with pytest.raises(ValueError):
-        K.leaked(spark.createDataFrame([(1, "x")], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), max_items=5)
-    assert leaks(spark, [], []) == {}
+QUESTION = asked("Hollowmere", "Wrenmouth", 12, 30, 7, 41, 9)
+
+
+def test_refilled_questions(spark):
+    docs = [
+        (1, "Now then. " + asked("Ostrevane", "Junaskar", 55, 99, 31, 8, 6) + " Nobody knew."), (2, asked("Wrenmouth", "Hollowmere", 13, 31, 8, 40, 2, "miles")),
+        (3, asked("Ostrevane", "Junaskar", 55, 99, 31, 8, 6, a2="Marrowdale")), (4, asked("Junaskar", "Junaskar", 55, 99, 31, 8, 6)), (5, QUESTION.upper()), (6, QUESTION.title()),
+        (7, "From Ostrevane some 55 boats took 99 crates."),
+    ]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame([(1, QUESTION), (2, "Two of Wrenmouth and Hollowmere lie in Kestrelby, 7 miles from here.")], "item_id long, text string")
+    made = {(r.doc_id, r.item_id): r for r in K.leaked(d, i).collect()}
+    assert {k: r.kind for k, r in made.items()} == {(1, 1): "refilled", (2, 1): "refilled", (5, 1): "exact", (6, 1): "exact"}
+    assert made[(1, 1)].words == 34 and made[(1, 1)].edits == 11 and made[(1, 1)].slots_consistent and made[(1, 1)].run < 12
+    without = {(r.doc_id, r.item_id) for r in K.leaked(d, i, slots=False).collect()}
+    assert without == {(5, 1), (6, 1)}  # the placeholders are what finds the others
+    in_blocks = {(r.doc_id, r.item_id) for r in K.leaked(d, i, block_words=10).collect()}
+    assert {(5, 1), (6, 1), (1, 1)} <= in_blocks
+
+
+def test_names_and_codes():
+    texts = ["The boat of Hollowmere took 12 km to Wrenmouth today.", "Why did Hollowmere wait 3 hours for it in Wrenmouth? The end (New) Boat"]
+    seen = [x for t in texts for x in K.capitals_in(t)]
+    names = {w for w, inner, _ in seen if inner} - {w for w, _, low in seen if low}
+    assert names == {"hollowmere", "wrenmouth", "new"}
+    known = K.Vocabulary(names, {w for w, *_ in seen} - names)
+    code = lambda t: known.code(K._parts(t)).tolist()
+    assert code("boat of Wrenmouth took 99 hours to HOLLOWMERE") == code("Boat of Ostrevane took 7 km to Junaskar")
+    assert code("boat xyz Xyz 12th")[1:] == [0, K.NAME, 0]
+
+
+def test_windows_of_placeholders_need_their_words():
+    known = K.Vocabulary(["rome"], ["to"])
+    a, b, c = ("1 2 3 4 5".split(), "1 2 3 4 6".split(), "1 2 Rome to to".split())
+    (h, _), (g, _), (k, _) = (K.windows(known.code(x), x) for x in (a, b, c))
+    assert h[0] != g[0] and K.windows(known.code(a), a)[0][0] == h[0]
+    assert K.windows(known.code(["7", "8", "Oslo", "to", "to"]), c)[0][0] == k[0]
+
+
+def test_repeated_ids_hot_passages_and_empty(spark):
+    item = passage(random.Random(3), 30)
+    docs = [(1, " ".join(item)), (1, " ".join(item)), (1, "other text"), (None, " ".join(item)), (2, " ".join(item * 50))]
+    assert set(leaks(spark, [(*d, 0) for d in docs], [(k, " ".join(item), "s") for k in range(40)])) == {(d, k) for d in (1, 2) for k in range(40)}
+    assert leaks(spark, [], []) == {} and leaks(spark, [(1, "x", 1)], []) == {}
