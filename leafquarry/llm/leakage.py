@@ -198,7 +198,8 @@ def _check(words: list[str], item: list[str], diagonals: list[int]) -> tuple | N
         for rb, ra, re_ in after:
             for lb, la, le in before:
                 total, edits = n + rb + lb, re_ + le
-                if total >= ALTERED_WORDS and ONE_IN * edits <= total and (best is None or total > best[0]):
+                edge = max(0, min(ALTERED_WORDS - total, len(item) - total))  # changed words at the ends count with the passage
+                if total + edge >= ALTERED_WORDS and ONE_IN * (edits + edge) <= total + edge and (best is None or total > best[0]):
                     best = (total, edits, words[i - n - la : i + ra], item[j - n - lb : j + rb])
     if best is None:
         return None

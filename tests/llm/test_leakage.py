@@ -61,7 +61,8 @@ def brute(words, item):
                     if b:
                         best = min(best, dist[b - 1][a] + 1)
                     dist[b][a] = best
-                    if a and b >= 20 and words[i + a - 1] == item[j + b - 1] and 8 * best <= b:
+                    edge = max(0, min(20 - b, m - b))  # words changed at the ends
+                    if a and b + edge >= 20 and words[i + a - 1] == item[j + b - 1] and 8 * (best + edge) <= b + edge:
                         return True
     return False
 
