@@ -30,7 +30,9 @@ def p3_found(spark, sf_dir):
 
 
 def p3_pieces(spark, sf_dir):
-    made = split_items(tables.chunks(spark, sf_dir), tables.span_groups(spark, sf_dir), 25, 2)
+    texts = tables.lines(spark, sf_dir, "line_id", F.col("doc_id").alias("doc"), "page", "text").dropDuplicates(["line_id"])
+    texts = texts.where("text is not null and doc is not null and page is not null")
+    made = split_items(tables.chunks(spark, sf_dir), tables.span_groups(spark, sf_dir), 25, 2, texts=texts)
     return made.withColumnsRenamed({"doc": "doc_id", "item": "chunk_id"})
 
 
