@@ -1,20 +1,18 @@
-"""Per-document text statistics, and whether a text is natural prose, a list, a table or junk.
+"""Per-document text statistics, the rules a text fails, and whether it is natural prose, a list, a table or junk.
 
-The statistics are built-in column expressions. The kind comes from fixed thresholds on per-line statistics (symbol,
-digit and letter shares, cells, bullets, length, function words, vowels, repetition): every line is put under the
-first rule whose threshold it fails, with that rule as the reason, and the kind that holds most characters decides.
+Everything is a built-in column expression. The statistics of a text are tested against published fixed thresholds, and
+every failed rule is recorded. Those rules tell prose from junk by averages over the whole text but cannot name lists
+and tables, so the same kind of statistics (letters, digits, symbols, cells, bullets, length, common words, vowels,
+repetition) is also taken per line: a line is put under the first line rule whose threshold it fails, the characters
+under each rule are summed, and the kind that holds most characters decides where prose holds less than half.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-from itertools import pairwise
+from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The commonest words of English, French, German and Spanish.
 COMMON = (
@@ -23,7 +21,18 @@ COMMON = (
     "der die das und den dem ein eine einer nicht mit von zu ist im auf für sich es als auch "
     "el los las del y que se por con para su al lo como más una no son"
 ).split()
-_COMMON = frozenset(COMMON)
+# Fixed thresholds of published rules for whole texts.
+RULES = {
+    "too few words": lambda s: s["n_words"] < 50,
+    "too many words": lambda s: s["n_words"] > 100_000,
+    "mean word length": lambda s: ~s["mean_word_length"].between(3, 10),
+    "symbols for words": lambda s: s["mark_word_ratio"] > 0.1,
+    "bullet lines": lambda s: s["bullet_line_share"] > 0.9,
+    "ellipsis lines": lambda s: s["ellipsis_line_share"] > 0.3,
+    "words without letters": lambda s: s["letter_word_share"] < 0.8,
+    "common words": lambda s: s["n_common_words"] < 2,
+    "line ends": lambda s: s["punct_line_share"] < 0.12,
+}
 # Fixed thresholds of the line rules.
 LETTER_SHARE = 0.55  # letters among characters that are not white space, below which a line without cells is junk
 DIGIT_SHARE = 0.6
@@ -35,178 +44,205 @@ REPEAT_WORDS = 12
 ITEM_WORDS = 14  # words of a list item at most
 PHRASE_WORDS = 4  # words of an unmarked item at most
 CELL_WORDS = 5  # words of a table cell on average at most
+# Line rules in the order in which they are tried, and the kind of the lines that fail them.
+LINE_RULES = {
+    "leader line": "list", "rule": "table", "cells": "table", "bullet": "list", "broken encoding": "junk", "encoded data": "junk",
+    "numbers": "junk", "symbols": "junk", "no words": "junk", "short lines": "list",
+}
+KINDS = ("list", "table", "junk")
 
-_BULLET = re.compile(r"\s*(?:[-*+•▪–—·‣◦●○■□➢►]|\(?\d{1,4}[.)]|\(?[A-Za-z][.)]|\(?[ivxlcIVXLC]{1,6}[.)])\s+(?=\S)")
-_LEADER = re.compile(r"(?:\.\s?){3,}\s*[\divxlc]+\s*$|…+\s*\d+\s*$")
-_GAP = re.compile(r"\S(?: {3,}|\t+ *)(?=\S)")
-_DIGIT = re.compile(r"\d")
-_WORD = re.compile(r"[^\W\d_]+")
-_CLEAN_CELL = re.compile(r"(?:[\w✓✗×–—%€$£°+\-.,:/()'’& ]|<br>|n/a)*\Z")
-_VOWEL = re.compile(r"[aeiouyàáâãäåæèéêëìíîïòóôõöøœùúûüýÿαεηιουωάέήίόύώϊϋаеёиоуыэюяіїє]")
-_BROKEN = re.compile(r"�|[ÃÂâ][\u0080-¿€™œžŸ�]")
-_RULE = re.compile(r"[\s|:+=_-]+\Z")
-_LONG = re.compile(r"(?<!\S)(?=\S*[A-Za-z]\S*[A-Z0-9+/=]|[0-9a-f]+(?!\S))[A-Za-z0-9+/=_-]{%d,}(?!\S)" % LONG_TOKEN)
-_MARKED = re.compile(r"[|\t;�ÃÂâ_=^~`]|   |\.\.|\A[^\w“\"'¿¡(]|\A\S{0,5}[.)]\s|\A[(]|[\x00-\x1f]")
-_CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
-
-KIND = T.StructType([T.StructField("kind", T.StringType()), T.StructField("reason", T.StringType()), T.StructField("share", T.DoubleType())])
-
-
-def _cells(line: str) -> list[str] | None:
-    """Cells of a line if it is a row: at least two, clean and short; whatever the separator."""
-    for sep in ("|", "\t", ";"):
-        if sep in line:
-            cells = line.strip().strip("|").split(sep) if sep == "|" else line.split(sep)
-            if len(cells) < 2:
-                continue
-            full = [c.strip() for c in cells if c.strip()]
-            if sep == ";" and (len(cells) < 3 or not full) and not all(len(c.split()) <= 3 for c in full):
-                continue
-            if all(_CLEAN_CELL.match(c) for c in full):
-                words = sum(len(c.split()) for c in full)
-                if sep == "|" or words <= CELL_WORDS * len(cells):
-                    return cells
-    if _GAP.search(line.strip()):
-        return re.split(r" {3,}|\t", line.strip())
-    if line.count(",") >= 2:
-        cells = [c.strip() for c in line.split(",")]
-        if all(len(c.split()) <= 2 and _CLEAN_CELL.match(c) for c in cells) and not line.rstrip().endswith((".", "!", "?")) and ", " not in line:
-            return cells
-    return None
-
-
-def _noise(line: str) -> str | None:
-    """The junk rule a line fails, or None."""
-    solid = len("".join(line.split()))
-    if not solid:
-        return None
-    if len(_BROKEN.findall(line)) * 2 > ODD_SHARE * solid or len(_CONTROL.findall(line)) > ODD_SHARE * solid:
-        return "broken encoding"
-    if sum(map(len, _LONG.findall(line))) > solid / 2:
-        return "encoded data"
-    words = _WORD.findall(line.lower())
-    letters = sum(map(len, words))
-    digits = len(_DIGIT.findall(line))
-    if digits >= DIGIT_SHARE * solid and letters < 0.2 * solid:
-        return "numbers"
-    if solid >= 2 and (letters + digits < LETTER_SHARE * solid or (solid >= 10 and letters < 0.75 * solid and letters <= 3 * len(words) and len(words) >= 4)):
-        return "symbols"
-    latin = [w for w in words if len(w) >= 3]
-    if len(latin) >= 3 and sum(not _VOWEL.search(w) for w in latin) > VOWELLESS_SHARE * len(latin):
-        return "no words"
-    if words and max(map(len, words)) > LONG_TOKEN and letters > 0.8 * solid and len(words) <= 2:
-        return "encoded data"
-    return None
-
-
-def _repetition(words: list[str], text: str) -> bool:
-    # Neighbouring pairs are at least as many as the words but one, so varied words settle it.
-    if len(words) >= REPEAT_WORDS and len(set(words)) - 1 <= max(4, REPEAT_SHARE * len(words)):
-        pairs = Counter(pairwise(words))
-        top = pairs.most_common(4)
-        n = len(words) - 1
-        if len(pairs) <= 4 or (len(pairs) < REPEAT_SHARE * n and sum(c for _, c in top) > 0.6 * n):
-            return True
-    return len(set(text)) <= 5 and len("".join(text.split())) >= 40 and len(set("".join(text.split()))) <= 3
-
-
-def classify(text: str | None) -> tuple[str, str, float] | None:
-    """(kind, reason, share of the characters): prose, list, table or junk; None for a null or blank text."""
-    if text is None or not text.strip():
-        return None
-    lines = [ln for ln in text.splitlines() if ln.strip()]
-    if _repetition(text.lower().split(), text):
-        return "junk", "repetition", 1.0
-    kinds: list[tuple[str, str]] = []
-    for line in lines:
-        s = line.strip()
-        if _plain_prose(s):
-            kinds.append(("prose", "prose"))
-            continue
-        if ("..." in s or ". ." in s or "…" in s) and _LEADER.search(s) and len(_WORD.findall(s)) <= ITEM_WORDS:
-            kinds.append(("list", "leader line"))
-            continue
-        if "|" in s and _RULE.match(s) and len(s) >= 3:
-            kinds.append(("table", "rule"))
-            continue
-        cells = _cells(line)
-        if cells is not None and not (_noise_cells(cells)):
-            kinds.append(("table", "cells"))
-            continue
-        noise = _noise(line)
-        mark = _BULLET.match(line)
-        if mark and len(s.split()) <= ITEM_WORDS + 1 and not (noise and len(_WORD.findall(s)) < 2):
-            kinds.append(("list", "bullet"))
-        elif noise:
-            kinds.append(("junk", noise))
-        else:
-            kinds.append(("prose", "prose"))
-    _phrases(lines, kinds)
-    weight: Counter = Counter()
-    reasons: Counter = Counter()
-    for line, (kind, why) in zip(lines, kinds, strict=True):
-        weight[kind] += len(line)
-        reasons[(kind, why)] += len(line)
-    total = sum(weight.values())
-    if not total or weight["prose"] * 2 >= total:
-        return "prose", "prose", round(weight["prose"] / total, 6)
-    kind = max((k for k in weight if k != "prose"), key=lambda k: (weight[k], k))
-    why = max((x for x in reasons if x[0] == kind), key=lambda x: (reasons[x], x))[1]
-    return kind, why, round(weight[kind] / total, 6)
-
-
-def _noise_cells(cells: list[str]) -> bool:
-    """Whether the cells hold noise instead of values: few of them are words, numbers or marks."""
-    full = [c.strip() for c in cells if c.strip()]
-    return bool(full) and sum(bool(_CLEAN_CELL.match(c)) and bool(re.search(r"\w|[✓✗×–—-]", c)) for c in full) < 0.8 * len(full)
-
-
-def _plain_prose(line: str) -> bool:
+_SPACES = "\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+_BREAKS = "\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029\r"
+_BULLET = r"^(?:[-*+•▪–—·‣◦●○■□➢►]|\(?\d{1,4}[.)]|\(?[A-Za-z][.)]|\(?[ivxlcIVXLC]{1,6}[.)])\s+\S"
+_LEADER = r"\.\s?\.\s?\.\s*[\divxlc]+$|…\s*\d+$"
+_DIRTY_CELL = r"[^\p{L}\p{N}_✓✗×–—%€$£°+\-.,:/()'’& |]"
+_VOWELS = "aeiouyàáâãäåæèéêëìíîïòóôõöøœùúûüýÿαεηιουωάέήίόύώϊϋаеёиоуыэюяіїє"
+_MARKED = r"[|\t;\uFFFDÃÂâ_=^~`]|   |\.\.|^[^\p{L}\p{N}_“\"'¿¡(]|^\S{0,5}[.)]\s|^[(]|[\x00-\x1f]"
+
+
+def _trimmed(x: Column) -> Column:
+    return F.trim(x, F.lit(" \t"))
+
+
+def _many(x: Column, pattern: str) -> Column:
+    return F.regexp_count(x, F.lit(pattern))
+
+
+def _plain_prose(s: Column) -> Column:
     """Whether a line is so plainly prose that no other rule can hold: common words, no separators, no mark at its start."""
-    if _MARKED.search(line):
-        return False
-    words = line.lower().split()
-    return sum(w in _COMMON and len(w) > 1 for w in words) * 7 >= len(words) >= 5
-
-
-def _phrases(lines: list[str], kinds: list[tuple[str, str]]) -> None:
-    """Runs of unmarked short lines become list items unless they read on from line to line like wrapped prose."""
-    i = 0
-    while i < len(lines):
-        j = i
-        while j < len(lines) and kinds[j][0] == "prose" and len(lines[j].split()) <= ITEM_WORDS and not lines[j].lstrip().startswith("#"):
-            j += 1
-        run = [ln.strip() for ln in lines[i:j]]
-        if len(run) >= 3 and sum(len(ln.split()) for ln in run) <= 9 * len(run):
-            said = [w for ln in run for w in _WORD.findall(ln.lower())]
-            common = sum(w in _COMMON for w in said) / max(1, len(said))
-            mean = len(said) / len(run)
-            whole = sum(ln[-1:] in ".;!?" for ln in run) / len(run)
-            upper = sum(ln[:1].isupper() for ln in run) / len(run)
-            short = mean <= PHRASE_WORDS and common < 0.2 and len(run) >= 3
-            sentences = mean <= 8 and whole >= 0.8 and upper >= 0.8 and len(run) >= 3
-            if short or sentences:
-                for k in range(i, j):
-                    kinds[k] = ("list", "short lines")
-        i = max(j, i + 1)
+    words = F.split(F.lower(s), r"\s+")
+    common = F.size(F.filter(words, lambda w: w.isin(*[w for w in COMMON if len(w) > 1])))
+    return ~s.rlike(_MARKED) & (F.size(words) >= 5) & (common * 7 >= F.size(words))
+
+
+def _clean(s: Column, separator: str) -> Column:
+    """Whether a line without its separators and line-break tags holds only what a cell holds."""
+    return ~F.regexp_replace(s, rf"\s*{separator}\s*|<br>", "").rlike(_DIRTY_CELL)
+
+
+def _cells(line: Column, s: Column, n_words: Column) -> Column:
+    """Cells of a line if it is a row: at least two, clean and short, whatever the separator; or null."""
+    inner = F.trim(s, F.lit("|"))
+    tabs, semis = F.split(line, "\t"), F.split(line, ";")
+    few = ~s.rlike(r"(?:^|;)\s*(?:[^;\s]+\s+){3}[^;\s]")
+    filled = ((F.size(semis) >= 3) & s.rlike(r"[^;\s]")) | few
+    short = ~s.rlike(r"(?:^|,)\s*(?:[^,\s]+\s+){2}[^,\s]")
+    listed = short & ~line.contains(", ") & ~s.rlike(r"[.!?]$") & _clean(line, ",")
+    return (
+        F.when(inner.contains("|") & _clean(inner, r"\|"), F.split(inner, r"\|"))
+        .when(line.contains("\t") & (n_words <= CELL_WORDS * F.size(tabs)) & _clean(line, r"\t"), tabs)
+        .when(line.contains(";") & filled & (n_words <= CELL_WORDS * F.size(semis)) & _clean(line, ";"), semis)
+        .when(s.rlike(r"\S(?: {3,}|\t+ *)\S"), F.split(s, r" {3,}|\t"))
+        .when((_many(line, ",") >= 2) & listed, F.split(line, ","))
+    )
+
+
+def _row(cells: Column) -> Column:
+    """Whether cells hold values instead of noise: four fifths of the filled ones are words, numbers or marks."""
+    full = F.filter(F.transform(cells, _trimmed), lambda c: c != "")
+    good = F.filter(full, lambda c: _clean(c, r"\|") & c.rlike(r"[\p{L}\p{N}_✓✗×–—-]"))
+    return cells.isNotNull() & (F.size(good) >= 0.8 * F.size(full))
+
+
+def _noise(line: Column, m: Column) -> Column:
+    """The junk rule a line fails, or null; m holds its counts."""
+    solid, letters, digits, words, low = m["solid"], m["letters"], m["digits"], m["words"], m["low"]
+    broken = _many(line, r"\uFFFD|[ÃÂâ][\u0080-\u00BF\u20AC\u2122\u0153\u017E\u0178\uFFFD]") * 2 > ODD_SHARE * solid
+    control = _many(line, r"[\x00-\x08\x0e-\x1f\x7f]") > ODD_SHARE * solid
+    tokens = F.regexp_extract_all(line, F.lit(r"(?<!\S)[A-Za-z0-9+/=_-]{%d,}(?!\S)" % LONG_TOKEN), F.lit(0))
+    coded = F.filter(tokens, lambda t: t.rlike("^[0-9a-f]+$") | F.regexp_replace(t, "^[^A-Za-z]*[A-Za-z]", "").rlike("[A-Z0-9+/=]") & t.rlike("[A-Za-z]"))
+    encoded = F.length(F.array_join(coded, "")) * 2 > solid
+    dense = (solid >= 10) & (letters < 0.75 * solid) & (letters <= 3 * words) & (words >= 4)
+    long_words = _many(low, r"\p{L}{3,}")
+    vowelless = _many(low, rf"(?<!\p{{L}})[\p{{L}}&&[^{_VOWELS}]]{{3,}}(?!\p{{L}})")
+    return (
+        F.when(broken | control, "broken encoding").when(encoded, "encoded data")
+        .when((digits >= DIGIT_SHARE * solid) & (letters < 0.2 * solid), "numbers")
+        .when((solid >= 2) & ((letters + digits < LETTER_SHARE * solid) | dense), "symbols")
+        .when((long_words >= 3) & (vowelless > VOWELLESS_SHARE * long_words), "no words")
+        .when(low.rlike(r"\p{L}{%d,}" % (LONG_TOKEN + 1)) & (letters > 0.8 * solid) & (words <= 2), "encoded data")
+    )
+
+
+def _line_rule(x: Column) -> Column:
+    """The first line rule that a line fails, or null."""
+    line, s, m, noise = x["line"], x["s"], x["m"], x["noise"]
+    leader = s.rlike(r"\.\.|\. \.|…") & s.rlike(_LEADER) & (m["words"] <= ITEM_WORDS)
+    bullet = s.rlike(_BULLET) & (x["n"] <= ITEM_WORDS + 1) & ~(noise.isNotNull() & (m["words"] < 2))
+    ruled = s.contains("|") & s.rlike(r"^[\s|:+=_-]{3,}$")
+    return F.when(leader, "leader line").when(ruled, "rule").when(_row(_cells(line, s, x["n"])), "cells").when(bullet, "bullet").otherwise(noise)
+
+
+def _measured(lines: Column) -> Column:
+    """Lines as structs: the rule each fails, its length, and what a run of short lines is judged by."""
+    low = lambda x: F.lower(x)
+    first = F.transform(lines, lambda x: F.struct(x.alias("line"), _trimmed(x).alias("s")))
+    second = F.transform(first, lambda x: F.struct(x["line"], x["s"], _many(x["s"], r"\S+").alias("n"), _plain_prose(x["s"]).alias("plain")))
+    counts = lambda x: F.struct(
+        F.length(F.regexp_replace(x["line"], r"\s", "")).alias("solid"), F.length(F.regexp_replace(x["line"], r"[^\p{L}]", "")).alias("letters"),
+        _many(x["line"], r"\p{Nd}").alias("digits"), _many(x["line"], r"\p{L}+").alias("words"), low(x["line"]).alias("low"),
+    )
+    third = F.transform(second, lambda x: F.struct(x["line"], x["s"], x["n"], F.when(~x["plain"], counts(x)).alias("m")))
+    fourth = F.transform(third, lambda x: F.struct(x["line"], x["s"], x["n"], x["m"], F.when(x["m"].isNotNull(), _noise(x["line"], x["m"])).alias("noise")))
+    fifth = F.transform(fourth, lambda x: F.struct(x["line"], x["s"], x["n"], F.when(x["m"].isNotNull(), _line_rule(x)).alias("rule")))
+    short = lambda x: x["rule"].isNull() & (x["n"] <= ITEM_WORDS) & ~x["s"].startswith("#")
+    said = lambda x: F.filter(F.split(F.lower(x["s"]), r"[^\p{L}]+"), lambda w: w != "")
+    sixth = F.transform(fifth, lambda x: F.struct(x["line"], x["s"], x["n"], x["rule"], F.when(short(x), said(x)).alias("said")))
+    return F.transform(
+        sixth,
+        lambda x: F.struct(
+            x["rule"], F.length(x["line"]).cast("long").alias("chars"), x["n"].cast("long").alias("n"), F.size(x["said"]).cast("long").alias("said"),
+            F.size(F.filter(x["said"], lambda w: w.isin(*COMMON))).cast("long").alias("common"), x["said"].isNotNull().alias("short"),
+            x["s"].rlike(r"[.;!?]$").cast("long").alias("whole"), x["s"].rlike(r"^\p{Lu}").cast("long").alias("upper"),
+        ),
+    )
+
+
+_RUN = ("chars", "lines", "n", "said", "common", "whole", "upper")
+_SUMS = (*LINE_RULES, "prose")
+
+
+def _flushed(acc: Column) -> list[Column]:
+    """The sums of characters once the open run of short lines is given to the list or to prose."""
+    r = {k: acc[f"run {k}"] for k in _RUN}
+    mean, total = r["said"] / r["lines"], F.greatest(F.lit(1), r["said"])
+    phrases = (mean <= PHRASE_WORDS) & (r["common"] / total < 0.2)
+    sentences = (mean <= 8) & (r["whole"] >= 0.8 * r["lines"]) & (r["upper"] >= 0.8 * r["lines"])
+    items = (r["lines"] >= 3) & (r["n"] <= 9 * r["lines"]) & (phrases | sentences)
+    more = lambda k: F.when(items, r["chars"]).otherwise(0) if k == "short lines" else F.when(items, 0).otherwise(r["chars"]) if k == "prose" else F.lit(0)
+    return [(acc[k] + more(k)).cast("long").alias(k) for k in _SUMS]
+
+
+def line_shares(lines: Column) -> Column:
+    """Struct of the characters of the lines under every line rule and in prose; one pass, whatever the number of lines.
+
+    Runs of unmarked short lines are list items unless they read on from line to line like wrapped prose.
+    """
+    zero = F.struct(*[F.lit(0).cast("long").alias(k) for k in _SUMS], *[F.lit(0).cast("long").alias(f"run {k}") for k in _RUN])
+
+    def step(acc: Column, x: Column) -> Column:
+        added = [(acc[f"run {k}"] + (F.lit(1) if k == "lines" else x[k])).cast("long").alias(f"run {k}") for k in _RUN]
+        grown = F.struct(*[acc[k].alias(k) for k in _SUMS], *added)
+        closed = F.transform(F.array(F.struct(*_flushed(acc))), lambda a: F.struct(
+            *[(a[k] + F.when(F.coalesce(x["rule"], F.lit("prose")) == k, x["chars"]).otherwise(0)).cast("long").alias(k) for k in _SUMS],
+            *[F.lit(0).cast("long").alias(f"run {k}") for k in _RUN],
+        ))[0]
+        return F.when(x["short"], grown).otherwise(closed)
+
+    return F.aggregate(_measured(lines), zero, step, lambda acc: F.struct(*_flushed(acc)))
+
+
+def repeats(text: Column) -> Column:
+    """Whether a text is endless repetition: few distinct pairs of words hold most of it, or few distinct characters do."""
+    words = F.split(_trimmed(F.regexp_replace(F.lower(text), r"\s+", " ")), " ")
+    n = F.size(words)
+    few = (n >= REPEAT_WORDS) & (F.size(F.array_distinct(words)) - 1 <= F.greatest(F.lit(4), REPEAT_SHARE * n))
+    pairs = F.array_sort(F.zip_with(F.slice(words, F.lit(1), n - 1), F.slice(words, F.lit(2), n - 1), lambda a, b: F.concat_ws(" ", a, b)))
+    zero = F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("distinct"), F.array().cast("array<int>").alias("top"))
+    tops = lambda acc: F.slice(F.sort_array(F.concat(acc["top"], F.array(acc["run"])), asc=False), 1, 4)
+    step = lambda acc, p: F.when(acc["last"] == p, F.struct(p.alias("last"), (acc["run"] + 1).alias("run"), acc["distinct"], acc["top"])).otherwise(
+        F.struct(p.alias("last"), F.lit(1).alias("run"), (acc["distinct"] + 1).alias("distinct"), tops(acc).alias("top"))
+    )
+    held = F.aggregate(pairs, zero, step, lambda acc: F.struct(acc["distinct"], F.aggregate(tops(acc), F.lit(0), lambda a, x: a + x).alias("top")))
+    wordy = F.transform(F.array(held), lambda h: (h["distinct"] <= 4) | ((h["distinct"] < REPEAT_SHARE * (n - 1)) & (h["top"] > 0.6 * (n - 1))))[0]
+    solid = F.regexp_replace(text, r"\s", "")
+    others = reduce(lambda x, _: F.replace(x, F.substring(x, 1, 1), F.lit("")), range(3), solid)
+    return F.when(few, wordy).otherwise(F.lit(False)) | ((F.length(solid) >= 40) & (F.length(others) == 0))
 
 
 def kind_of(text: Column) -> Column:
-    """Struct (kind, reason, share); null for null and blank texts."""
+    """Struct (kind, reasons, share): prose, list, table or junk, the line rules that more than a tenth of the
+    characters fail, and the kind's share of the characters. Null for null and blank texts."""
+    spaced = F.translate(F.translate(text, _SPACES, " " * len(_SPACES)), _BREAKS, "\n" * len(_BREAKS))
+    lines = F.filter(F.split(spaced, "\n"), lambda x: x.rlike(r"\S"))
+    sums = F.transform(F.array(line_shares(lines)), lambda s: F.struct(
+        *[(s[k] / F.greatest(F.lit(1), reduce(lambda a, b: a + b, [s[j] for j in _SUMS]))).alias(k) for k in _SUMS]
+    ))
+    of = lambda s, kind: reduce(lambda a, b: a + b, [s[k] for k, v in LINE_RULES.items() if v == kind])
+    said = lambda s: F.struct(*[of(s, k).alias(k) for k in KINDS], s["prose"].alias("prose"), F.filter(
+        F.array(*[F.when(s[k] > 0.1, F.lit(k)) for k in LINE_RULES]), lambda r: r.isNotNull()
+    ).alias("reasons"))
+    top = lambda s: F.when(s["prose"] >= 0.5, "prose").when((s["table"] >= s["list"]) & (s["table"] >= s["junk"]), "table").when(s["list"] >= s["junk"], "list").otherwise("junk")
+    share = lambda s: F.when(s["prose"] >= 0.5, s["prose"]).otherwise(F.greatest(*[s[k] for k in KINDS]))
+    judged = F.transform(F.transform(sums, said), lambda s: F.struct(top(s).alias("kind"), s["reasons"], F.round(share(s), 6).alias("share")))[0]
+    repeated = F.struct(F.lit("junk").alias("kind"), F.array(F.lit("repetition")).alias("reasons"), F.lit(1.0).alias("share"))
+    return F.when(text.isNull() | ~spaced.rlike(r"\S"), None).when(repeats(spaced), repeated).otherwise(judged)
 
-    @F.arrow_udf(KIND)
-    def run(texts: pa.Array) -> pa.Array:
-        coded = (texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts).dictionary_encode()
-        made = [classify(t) for t in coded.dictionary.to_pylist()]
-        of = pa.struct([("kind", pa.string()), ("reason", pa.string()), ("share", pa.float64())])
-        values = pa.array([None if m is None else {"kind": m[0], "reason": m[1], "share": m[2]} for m in made], of)
-        return values.take(coded.indices)
 
-    return run.asNondeterministic()(text)  # so that a filter on the kind does not work it out twice
+def failed_rules(df: DataFrame) -> DataFrame:
+    """df with its statistics (see statistics) and failed_rules, the names of the published rules that a text fails, in order.
+
+    A null text fails none; a rule whose statistic is null (a text without words) counts as failed where it asks for words.
+    """
+    made = statistics(df)
+    tests = [F.when(F.coalesce(rule(made), F.lit(name != "too many words")), F.lit(name)) for name, rule in RULES.items()]
+    failed = F.when(F.col("n_words").isNotNull(), F.filter(F.array(*tests), lambda x: x.isNotNull()))
+    return made.withColumn("failed_rules", failed)
 
 
 def statistics(df: DataFrame, text: str = "text") -> DataFrame:
-    """df with n_words, mean_word_length, symbol_ratio, punct_line_share, bullet_line_share, common_word_share.
+    """df with n_words, mean_word_length, symbol_ratio, punct_line_share, bullet_line_share, common_word_share, and for the
+    published rules n_common_words, mark_word_ratio, ellipsis_line_share and letter_word_share.
 
     Words are runs of anything but white space; symbols are characters that are neither letters, digits nor white
     space; lines are those that are not blank. Null texts have null statistics; a text without words has 0 words
@@ -230,5 +266,9 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
             "punct_line_share": ratio(n_end, n_lines),
             "bullet_line_share": ratio(n_bullet, n_lines),
             "common_word_share": ratio(common, F.size(low)),
+            "n_common_words": common,
+            "mark_word_ratio": ratio(F.regexp_count(t, F.lit(r"#|\.\.\.|…")), n_words),
+            "ellipsis_line_share": ratio(F.regexp_count(t, F.lit(r"(?m)(?:\.\.\.|…)[ \t]*\r?$")), n_lines),
+            "letter_word_share": ratio(F.regexp_count(t, F.lit(r"[^ \t\n\r\f\p{L}]*\p{L}[^ \t\n\r\f]*")), n_words),
         }
     )

@@ -8,7 +8,7 @@ from .boundaries import split_items, valleys
 from .leakage import leaked
 from .look_alikes import matching_terms
 from .packing import byte_pieces, fill, program_report, split_texts
-from .quality import COMMON, kind_of, statistics
+from .quality import COMMON, failed_rules, kind_of, statistics
 from .repeated_lines import cleaned_documents, repeated_lines
 from .scans import defects, lexicon, paragraphs, text_rows
 
@@ -98,21 +98,31 @@ def p8_statistics(spark, sf_dir):
     return statistics(table(spark, sf_dir, "documents").select("doc_id", "text")).select(*STATS)
 
 
+RULE_STATS = ["n_common_words", "mark_word_ratio", "ellipsis_line_share", "letter_word_share"]
+
+
+def p8_rules(spark, sf_dir):
+    """Every document with its statistics and the published rules that it fails."""
+    made = failed_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(*STATS, *RULE_STATS, F.array_join("failed_rules", "; ").alias("failed_rules"))
+
+
 def p8_report(spark, sf_dir):
-    """Every document with its statistics, its kind and the rule that decided."""
-    made = statistics(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumn("k", kind_of(F.col("text")))
-    return made.select(*STATS, "k.kind", "k.reason", "k.share")
+    """Every document with its statistics, the published rules it fails, its kind and the line rules that say so."""
+    made = failed_rules(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumn("k", kind_of(F.col("text")))
+    return made.select(*STATS, "failed_rules", "k.kind", "k.reasons", "k.share")
 
 
 def p8_found(spark, sf_dir):
-    made = table(spark, sf_dir, "documents").select("doc_id", kind_of(F.col("text")).alias("k"))
-    return made.select("doc_id", "k.kind").where("kind in ('list', 'table', 'junk')")
+    kind = kind_of(F.col("text"))["kind"]
+    listed = F.filter(F.array(kind), lambda k: k.isin("list", "table", "junk"))  # no filter on it, which would work it out twice
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(listed).alias("kind"))
 
 
 QUERIES = {
     "p1_found": p1_found, "p1_documents": p1_documents, "p3_found": p3_found, "p3_pieces": p3_pieces,
     "p4_found": p4_found, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p6_found": p6_found, "p6_fill": p6_fill, "p6_report": p6_report,
-    "p7_found": p7_found, "p7_leaks": p7_leaks, "p8_found": p8_found, "p8_statistics": p8_statistics, "p8_report": p8_report,
+    "p7_found": p7_found, "p7_leaks": p7_leaks, "p8_found": p8_found, "p8_statistics": p8_statistics, "p8_rules": p8_rules, "p8_report": p8_report,
 }
 _COMMON = "[" + ",".join(f"'{w}'" for w in sorted(set(COMMON))) + "]"
 _LOW = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}]+'), lambda w: w <> '')"

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from leafquarry.llm.quality import classify, kind_of, statistics
+from leafquarry.llm.quality import failed_rules, kind_of, statistics
 
 PROSE = "The working group found that readers who compare the two versions also notice what has changed between them. "
 
@@ -20,12 +20,13 @@ PROSE = "The working group found that readers who compare the two versions also
         (PROSE * 4 + "\n- a thing\n- b thing", "prose"), (PROSE + "\n" + "- a thing of note\n" * 20, "list"),
     ],
 )
-def test_kinds(text, kind):
-    assert classify(text)[0] == kind
+def test_kinds(spark, text, kind):
+    assert spark.createDataFrame([(text,)], "text string").select(kind_of(F.col("text"))["kind"]).first()[0] == kind
 
 
-def test_null_and_blank():
-    assert classify(None) is None and classify("  \n\t") is None and classify("") is None
+def test_null_and_blank(spark):
+    df = spark.createDataFrame([(None,), ("  \n\t",), ("",), ("\u3000\u2028\r\n",)], "text string")
+    assert {r[0] for r in df.select(kind_of(F.col("text"))).collect()} == {None}
 
 
 def test_columns(spark):
