@@ -97,11 +97,17 @@ def _cells(line: Column, s: Column, n_words: Column) -> Column:
     )
 
 
+def _once(x: Column, of) -> Column:
+    """of(x) with x worked out once, however often it is used."""
+    return F.transform(F.array(x), of)[0]
+
+
 def _row(cells: Column) -> Column:
     """Whether cells hold values instead of noise: four fifths of the filled ones are words, numbers or marks."""
-    full = F.filter(F.transform(cells, _trimmed), lambda c: c != "")
-    good = F.filter(full, lambda c: _clean(c, r"\|") & c.rlike(r"[\p{L}\p{N}_✓✗×–—-]"))
-    return cells.isNotNull() & (F.size(good) >= 0.8 * F.size(full))
+    full = lambda row: F.filter(F.transform(row, _trimmed), lambda c: c != "")
+    good = lambda row: F.filter(row, lambda c: _clean(c, r"\|") & c.rlike(r"[\p{L}\p{N}_✓✗×–—-]"))
+    valued = lambda row: _once(full(row), lambda r: F.size(good(r)) >= 0.8 * F.size(r))
+    return _once(cells, lambda row: row.isNotNull() & valued(row))
 
 
 def _noise(line: Column, m: Column) -> Column:
@@ -111,7 +117,7 @@ def _noise(line: Column, m: Column) -> Column:
     control = _many(line, r"[\x00-\x08\x0e-\x1f\x7f]") > ODD_SHARE * solid
     tokens = F.regexp_extract_all(line, F.lit(r"(?<!\S)[A-Za-z0-9+/=_-]{%d,}(?!\S)" % LONG_TOKEN), F.lit(0))
     coded = F.filter(tokens, lambda t: t.rlike("^[0-9a-f]+$") | F.regexp_replace(t, "^[^A-Za-z]*[A-Za-z]", "").rlike("[A-Z0-9+/=]") & t.rlike("[A-Za-z]"))
-    encoded = F.length(F.array_join(coded, "")) * 2 > solid
+    encoded = line.rlike(r"\S{%d}" % LONG_TOKEN) & (F.length(F.array_join(coded, "")) * 2 > solid)
     dense = (solid >= 10) & (letters < 0.75 * solid) & (letters <= 3 * words) & (words >= 4)
     long_words = _many(low, r"\p{L}{3,}")
     vowelless = _many(low, rf"(?<!\p{{L}})[\p{{L}}&&[^{_VOWELS}]]{{3,}}(?!\p{{L}})")
@@ -124,27 +130,35 @@ def _noise(line: Column, m: Column) -> Column:
     )
 
 
-def _line_rule(x: Column) -> Column:
-    """The first line rule that a line fails, or null."""
-    line, s, m, noise = x["line"], x["s"], x["m"], x["noise"]
+def _shape_rule(x: Column) -> Column:
+    """The line rule that the shape of a line fails (leader, rule or cells), or null."""
+    line, s, m = x["line"], x["s"], x["m"]
     leader = s.rlike(r"\.\.|\. \.|…") & s.rlike(_LEADER) & (m["words"] <= ITEM_WORDS)
-    bullet = s.rlike(_BULLET) & (x["n"] <= ITEM_WORDS + 1) & ~(noise.isNotNull() & (m["words"] < 2))
     ruled = s.contains("|") & s.rlike(r"^[\s|:+=_-]{3,}$")
-    return F.when(leader, "leader line").when(ruled, "rule").when(_row(_cells(line, s, x["n"])), "cells").when(bullet, "bullet").otherwise(noise)
+    return F.when(leader, "leader line").when(ruled, "rule").when(s.rlike(r"[|\t;]|   |,.*,") & _row(_cells(line, s, x["n"])), "cells")
+
+
+def _mark_rule(x: Column) -> Column:
+    """The line rule that a line of no other shape fails: a bullet's, unless it is noise, or a noise rule's; or null."""
+    bullet = x["s"].rlike(_BULLET) & (x["n"] <= ITEM_WORDS + 1)
+    said = lambda noise: F.when(bullet & ~(noise.isNotNull() & (x["m"]["words"] < 2)), "bullet").otherwise(noise)
+    return _once(_noise(x["line"], x["m"]), said)
 
 
 def _measured(lines: Column) -> Column:
     """Lines as structs: the rule each fails, its length, and what a run of short lines is judged by."""
     low = lambda x: F.lower(x)
     first = F.transform(lines, lambda x: F.struct(x.alias("line"), _trimmed(x).alias("s")))
-    second = F.transform(first, lambda x: F.struct(x["line"], x["s"], _many(x["s"], r"\S+").alias("n"), _plain_prose(x["s"]).alias("plain")))
+    second = F.transform(first, lambda x: F.struct(x["line"], x["s"], F.size(F.split(x["s"], r"\s+")).alias("n"), _plain_prose(x["s"]).alias("plain")))
     counts = lambda x: F.struct(
         F.length(F.regexp_replace(x["line"], r"\s", "")).alias("solid"), F.length(F.regexp_replace(x["line"], r"[^\p{L}]", "")).alias("letters"),
-        _many(x["line"], r"\p{Nd}").alias("digits"), _many(x["line"], r"\p{L}+").alias("words"), low(x["line"]).alias("low"),
+        (F.length(x["line"]) - F.length(F.regexp_replace(x["line"], r"\p{Nd}", ""))).alias("digits"),
+        F.size(F.filter(F.split(x["line"], r"[^\p{L}]+"), lambda w: w != "")).alias("words"), low(x["line"]).alias("low"),
     )
     third = F.transform(second, lambda x: F.struct(x["line"], x["s"], x["n"], F.when(~x["plain"], counts(x)).alias("m")))
-    fourth = F.transform(third, lambda x: F.struct(x["line"], x["s"], x["n"], x["m"], F.when(x["m"].isNotNull(), _noise(x["line"], x["m"])).alias("noise")))
-    fifth = F.transform(fourth, lambda x: F.struct(x["line"], x["s"], x["n"], F.when(x["m"].isNotNull(), _line_rule(x)).alias("rule")))
+    fourth = F.transform(third, lambda x: F.struct(x["line"], x["s"], x["n"], x["m"], F.when(x["m"].isNotNull(), _shape_rule(x)).alias("shape")))
+    marked = lambda x: F.when(x["m"].isNotNull() & x["shape"].isNull(), _mark_rule(x)).otherwise(x["shape"])
+    fifth = F.transform(fourth, lambda x: F.struct(x["line"], x["s"], x["n"], marked(x).alias("rule")))
     short = lambda x: x["rule"].isNull() & (x["n"] <= ITEM_WORDS) & ~x["s"].startswith("#")
     said = lambda x: F.filter(F.split(F.lower(x["s"]), r"[^\p{L}]+"), lambda w: w != "")
     sixth = F.transform(fifth, lambda x: F.struct(x["line"], x["s"], x["n"], x["rule"], F.when(short(x), said(x)).alias("said")))
@@ -153,7 +167,8 @@ def _measured(lines: Column) -> Column:
         lambda x: F.struct(
             x["rule"], F.length(x["line"]).cast("long").alias("chars"), x["n"].cast("long").alias("n"), F.size(x["said"]).cast("long").alias("said"),
             F.size(F.filter(x["said"], lambda w: w.isin(*COMMON))).cast("long").alias("common"), x["said"].isNotNull().alias("short"),
-            x["s"].rlike(r"[.;!?]$").cast("long").alias("whole"), x["s"].rlike(r"^\p{Lu}").cast("long").alias("upper"),
+            (x["said"].isNotNull() & F.right(x["s"], F.lit(1)).isin(*".;!?")).cast("long").alias("whole"),
+            (x["said"].isNotNull() & F.left(x["s"], F.lit(1)).rlike(r"\p{Lu}")).cast("long").alias("upper"),
         ),
     )
 
@@ -192,11 +207,10 @@ def line_shares(lines: Column) -> Column:
     return F.aggregate(_measured(lines), zero, step, lambda acc: F.struct(*_flushed(acc)))
 
 
-def repeats(text: Column) -> Column:
-    """Whether a text is endless repetition: few distinct pairs of words hold most of it, or few distinct characters do."""
-    words = F.split(_trimmed(F.regexp_replace(F.lower(text), r"\s+", " ")), " ")
+def _few_pairs(words: Column) -> Column:
+    """Whether few distinct pairs of neighbouring words hold most of a text."""
     n = F.size(words)
-    few = (n >= REPEAT_WORDS) & (F.size(F.array_distinct(words)) - 1 <= F.greatest(F.lit(4), REPEAT_SHARE * n))
+    few = (n >= REPEAT_WORDS) & (F.size(F.array_distinct(words)) - 1 <= F.greatest(F.lit(4), REPEAT_SHARE * n))  # pairs are at least as many
     pairs = F.array_sort(F.zip_with(F.slice(words, F.lit(1), n - 1), F.slice(words, F.lit(2), n - 1), lambda a, b: F.concat_ws(" ", a, b)))
     zero = F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("distinct"), F.array().cast("array<int>").alias("top"))
     tops = lambda acc: F.slice(F.sort_array(F.concat(acc["top"], F.array(acc["run"])), asc=False), 1, 4)
@@ -204,10 +218,17 @@ def repeats(text: Column) -> Column:
         F.struct(p.alias("last"), F.lit(1).alias("run"), (acc["distinct"] + 1).alias("distinct"), tops(acc).alias("top"))
     )
     held = F.aggregate(pairs, zero, step, lambda acc: F.struct(acc["distinct"], F.aggregate(tops(acc), F.lit(0), lambda a, x: a + x).alias("top")))
-    wordy = F.transform(F.array(held), lambda h: (h["distinct"] <= 4) | ((h["distinct"] < REPEAT_SHARE * (n - 1)) & (h["top"] > 0.6 * (n - 1))))[0]
-    solid = F.regexp_replace(text, r"\s", "")
-    others = reduce(lambda x, _: F.replace(x, F.substring(x, 1, 1), F.lit("")), range(3), solid)
-    return F.when(few, wordy).otherwise(F.lit(False)) | ((F.length(solid) >= 40) & (F.length(others) == 0))
+    wordy = _once(held, lambda h: (h["distinct"] <= 4) | ((h["distinct"] < REPEAT_SHARE * (n - 1)) & (h["top"] > 0.6 * (n - 1))))
+    return F.when(few, wordy).otherwise(F.lit(False))
+
+
+def repeats(text: Column) -> Column:
+    """Whether a text is endless repetition: few distinct pairs of words hold most of it, or at most three characters do."""
+    words = F.split(F.lower(F.trim(text, F.lit(" \t\n"))), r"\s+")
+    start = F.split(F.regexp_replace(F.substring(text, 1, 64), r"\s", ""), "")  # more characters than three here settle it
+    others = reduce(lambda x, _: F.replace(x, F.substring(x, 1, 1), F.lit("")), range(3), F.regexp_replace(text, r"\s", ""))
+    marks = (F.size(F.array_distinct(start)) <= 3) & (F.length(F.regexp_replace(text, r"\s", "")) >= 40) & (F.length(others) == 0)
+    return marks | _once(words, _few_pairs)
 
 
 def kind_of(text: Column) -> Column:

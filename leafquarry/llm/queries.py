@@ -134,6 +134,14 @@ def _ratio(a: str, b: str) -> str:
     return f"CASE WHEN {b} > 0 THEN round(({a})::DOUBLE / {b}, 6) END"
 
 
+_STATS = f"""doc_id, CAST({_N_WORDS} AS INTEGER) AS n_words,
+  {_ratio("length(regexp_replace(text, '[ \\t\\n\\r\\f]', '', 'g'))", _N_WORDS)} AS mean_word_length,
+  {_ratio("length(regexp_replace(text, '[\\p{L}\\p{M}\\p{N}\\s]', '', 'g'))", "length(text)")} AS symbol_ratio,
+  {_ratio(_N.format(p="(?m)[.!?:;][ \\t]*\\r?$"), _N_LINES)} AS punct_line_share,
+  {_ratio(_N.format(p="(?m)^[ \\t]*[-*•▪–][ \\t]"), _N_LINES)} AS bullet_line_share,
+  {_ratio(f"len(list_filter({_LOW}, lambda w: list_contains({_COMMON}, w)))", f"len({_LOW})")} AS common_word_share"""
+
+
 SQL = {
     "p3_found": """
 WITH j AS (SELECT id, pages FROM (SELECT id, source.expected_page_count AS pages, row_number() OVER (PARTITION BY id ORDER BY received_at DESC NULLS LAST) AS k FROM jobs) WHERE k = 1),
@@ -143,12 +151,20 @@ p AS (SELECT * FROM g WHERE span_type IN ('continuation', 'section_block') OR (s
 SELECT DISTINCT c.doc_id, c.chunk_id, g.lo AS cut_page FROM c JOIN g ON c.doc_id = g.doc_id AND g.lo > c.lo AND g.lo <= c.hi
 WHERE c.hi - c.lo + 1 > 25 AND NOT EXISTS (SELECT 1 FROM p WHERE p.doc_id = g.doc_id AND p.lo < g.lo AND p.hi >= g.lo)""",
     "p6_found": "SELECT doc_id FROM documents WHERE strlen(text) > 8192",
-    "p8_statistics": f"""
-SELECT doc_id, CAST({_N_WORDS} AS INTEGER) AS n_words,
-  {_ratio("length(regexp_replace(text, '[ \\t\\n\\r\\f]', '', 'g'))", _N_WORDS)} AS mean_word_length,
-  {_ratio("length(regexp_replace(text, '[\\p{L}\\p{M}\\p{N}\\s]', '', 'g'))", "length(text)")} AS symbol_ratio,
-  {_ratio(_N.format(p="(?m)[.!?:;][ \\t]*\\r?$"), _N_LINES)} AS punct_line_share,
-  {_ratio(_N.format(p="(?m)^[ \\t]*[-*•▪–][ \\t]"), _N_LINES)} AS bullet_line_share,
-  {_ratio(f"len(list_filter({_LOW}, lambda w: list_contains({_COMMON}, w)))", f"len({_LOW})")} AS common_word_share
-FROM documents""",
+    "p8_statistics": f"SELECT {_STATS} FROM documents",
+    "p8_rules": f"""
+WITH s AS (SELECT {_STATS}, CAST(len(list_filter({_LOW}, lambda w: list_contains({_COMMON}, w))) AS INTEGER) AS n_common_words,
+  {_ratio(_N.format(p="#|[.][.][.]|…"), _N_WORDS)} AS mark_word_ratio,
+  {_ratio(_N.format(p="(?m)(?:[.][.][.]|…)[ \\t]*\\r?$"), _N_LINES)} AS ellipsis_line_share,
+  {_ratio(_N.format(p="[^ \\t\\n\\r\\f\\p{L}]*\\p{L}[^ \\t\\n\\r\\f]*"), _N_WORDS)} AS letter_word_share
+FROM documents)
+SELECT *, CASE WHEN n_words IS NOT NULL THEN concat_ws('; ',
+  CASE WHEN n_words < 50 THEN 'too few words' END, CASE WHEN n_words > 100000 THEN 'too many words' END,
+  CASE WHEN coalesce(mean_word_length NOT BETWEEN 3 AND 10, true) THEN 'mean word length' END,
+  CASE WHEN coalesce(mark_word_ratio > 0.1, true) THEN 'symbols for words' END,
+  CASE WHEN coalesce(bullet_line_share > 0.9, true) THEN 'bullet lines' END,
+  CASE WHEN coalesce(ellipsis_line_share > 0.3, true) THEN 'ellipsis lines' END,
+  CASE WHEN coalesce(letter_word_share < 0.8, true) THEN 'words without letters' END,
+  CASE WHEN n_common_words < 2 THEN 'common words' END,
+  CASE WHEN coalesce(punct_line_share < 0.12, true) THEN 'line ends' END) END AS failed_rules FROM s""",
 }
