@@ -1,11 +1,13 @@
 """Repair of text from scanned pages.
 
 A lexicon of frequent words is counted over all text that was not scanned (words above a fixed rate, so it has a proven
-bound). Every row of a scanned document is decoded against it as a character stream: words may be split by a space, run
-together, misrecognised by character confusions or broken by a hyphen at the row's end, and the reading with the
-cheapest words wins. Rows see only the words next to them in the text flow, furniture aside, so the decoding is local
-to a row and nothing larger than a page is ever assembled; paragraph boundaries of a page are chosen by dynamic
-programming over its rows.
+bound). The body rows of a page, furniture aside, are one stream of words without line ends, with the last word of the
+page before and the first one of the page after at its ends. The stream is decoded by one lattice: an arc reads a word
+as it stands, as another word that recognition turned into it, as several run together, as one with the next word
+(split by a space) or, over a line end, as one without its hyphen. The cheapest path under the lexicon is the text.
+Confusions are searched along the prefixes of lexicon words, so every reading within the stated number of them is seen.
+Paragraph boundaries of a page are chosen by dynamic programming over its rows. A page is the largest thing a task
+assembles.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -25,14 +28,20 @@ from ..session import cut
 RATE = 4e-5  # share of all words above which a word is in the lexicon: at most 1 / RATE = 25,000 words
 TOP, FOOT = 70.0, 750.0  # furniture stands above or below these heights
 SMALL = 9.0  # size below which a row without a height counts as furniture
+UNKNOWN = 16.0  # cost of a word that nothing fits
+NOISE = 6.0  # cost of one misreading
+PLAIN = 9.0  # cost of a known form that the lexicon does not count by itself
 MARKS = "-¬"
 # What a recogniser writes and what it stands for.
 CONFUSIONS = [
     ("0", "o"), ("1", "l"), ("1", "i"), ("5", "s"), ("8", "b"), ("6", "g"), ("9", "g"), ("3", "e"), ("4", "a"), ("2", "z"),
     ("c", "e"), ("e", "c"), ("q", "g"), ("f", "t"), ("t", "f"), ("l", "i"), ("i", "l"), ("rn", "m"), ("m", "rn"),
     ("cl", "d"), ("d", "cl"), ("li", "h"), ("h", "li"), ("ii", "u"), ("u", "ii"), ("m", "in"), ("in", "m"), ("vv", "w"),
-    ("w", "vv"), ("fi", "ti"), ("tl", "th"), ("nn", "m"), ("n", "u"), ("u", "n"), ("h", "b"), ("b", "h"), ("|", "l"), ("!", "l"), ("$", "s"),
+    ("w", "vv"), ("fi", "ti"), ("tl", "th"), ("nn", "m"), ("n", "u"), ("u", "n"), ("h", "b"), ("b", "h"), ("|", "l"), ("!", "l"), ("$", "s"), ("im", "nn"),
 ]
+_BY_FIRST: dict[str, list[tuple[str, str]]] = {}
+for _was, _meant in CONFUSIONS:
+    _BY_FIRST.setdefault(_was[0], []).append((_was, _meant))
 _TOKEN = re.compile(r"[^\s]+")
 _STRIP = ".,;:?!()[]{}\"'“”‘’«»…*_`"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -99,14 +108,9 @@ class Decoder:
         self.plain = {_plain(w) for w in words}
         total = max(1, sum(words.values()))
         self.cost = {w: -math.log(n / total) for w, n in words.items()}
-        self.one: dict[str, list[str]] = {}
-        self.two: dict[str, list[str]] = {}
-        for w in words:
-            if len(w) >= 4:
-                for i in range(len(w)):
-                    self.one.setdefault(f"{w[:i]}\0{w[i + 1:]}", []).append(w)
-                    if i + 1 < len(w):
-                        self.two.setdefault(f"{w[:i]}\0{w[i + 2:]}", []).append(w)
+        self.longest = max(map(len, words), default=0)
+        self.prefixes = {w[:i] for w in words for i in range(len(w) + 1)}
+        self.letters = sorted({ch for w in words for ch in w})
         self.memo: dict[str, tuple[str, ...] | None] = {}
         self.single: dict[str, str | None] = {}
 
@@ -118,38 +122,57 @@ class Decoder:
         )
 
     def confused(self, w: str) -> str | None:
-        """The likeliest lexicon word that recognition could have turned into w, itself not a lexicon word."""
-        if w in self.single:
-            return self.single[w]
-        best, level, seen = None, {w}, {w}
-        for _ in range(3 if len(w) >= 5 else 1):
-            made = set()
-            for s in level:
-                for was, meant in CONFUSIONS:
-                    at = s.find(was)
-                    while at >= 0:
-                        made.add(s[:at] + meant + s[at + len(was) :])
-                        at = s.find(was, at + 1)
-            level = made - seen
-            seen |= level
-            hits = [x for x in level if x in self.words]
-            if hits:
-                best = min(hits, key=lambda x: (self.cost[x], x))
+        """The likeliest lexicon word that recognition could have turned into w, itself not a lexicon word.
+
+        The fewest confusions of the table decide, at most one for every two characters, then the commonest word;
+        where none helps, one unknown edit (a character or two for another or two) of a word of four or more.
+        """
+        if w not in self.single:
+            hits: set[str] = set()
+            for most in range(1, len(w) // 2 + 2 if len(w) >= 5 else 2):
+                hits, cut_short = self._within(w, most)
+                if hits or not cut_short:
+                    break
+            best = min(hits, key=lambda x: (self.cost[x], x), default=None)
+            if best is None and len(w) >= 4:
+                best = min(self._edited(w), key=lambda x: (abs(len(x) - len(w)), self.cost[x], x), default=None)
+            self.single[w] = best
+        return self.single[w]
+
+    def _within(self, w: str, most: int) -> tuple[set[str], bool]:
+        """Lexicon words at exactly `most` confusions from w, and whether more confusions could still lead on."""
+        hits, more, seen = set(), False, {(0, "", 0)}
+        open_ = [(0, "", 0)]
+        while open_:
+            i, made, n = open_.pop()
+            if i == len(w):
+                if n == most and made in self.words:
+                    hits.add(made)
+                continue
+            steps = [(i + 1, made + w[i], n)]
+            for was, meant in _BY_FIRST.get(w[i], ()):
+                if w.startswith(was, i):
+                    if n < most:
+                        steps.append((i + len(was), made + meant, n + 1))
+                    elif made + meant in self.prefixes:
+                        more = True
+            for step in steps:
+                if step[1] in self.prefixes and step not in seen:
+                    seen.add(step)
+                    open_.append(step)
+        return hits, more
+
+    def _edited(self, w: str) -> set[str]:
+        """Lexicon words of four letters or more that one or two characters of w at one place make, read as one or two others."""
+        hits = set()
+        for i in range(len(w)):
+            if w[:i] not in self.prefixes:
                 break
-            if len(level) > 400:
-                break
-        if best is None and len(w) >= 4:
-            hits = set()
-            for i in range(len(w)):
-                pat = f"{w[:i]}\0{w[i + 1:]}"
-                hits.update(self.one.get(pat, ()))
-                hits.update(self.two.get(pat, ()))
-                if i + 1 < len(w):
-                    hits.update(self.one.get(f"{w[:i]}\0{w[i + 2:]}", ()))
-            if hits:
-                best = min(hits, key=lambda x: (abs(len(x) - len(w)), self.cost[x], x))
-        self.single[w] = best
-        return best
+            ones = [w[:i] + ch for ch in self.letters if w[:i] + ch in self.prefixes]
+            hits.update(x for o in ones if (x := o + w[i + 1 :]) in self.words)
+            hits.update(x for o in ones if (x := o + w[i + 2 :]) in self.words and i + 1 < len(w))
+            hits.update(x for o in ones for ch in self.letters if o + ch in self.prefixes and (x := o + ch + w[i + 1 :]) in self.words)
+        return {x for x in hits if len(x) >= 4}
 
     def decode(self, w: str) -> tuple[str, ...] | None:
         """The words that w stands for if it is misread, (w,) if it is not, None if nothing fits."""
@@ -175,7 +198,7 @@ class Decoder:
         if n >= 4:  # run together: dynamic programming over the stream, no confusions inside first
             best: list[tuple[float, int] | None] = [(0.0, 0)] + [None] * n
             for j in range(1, n + 1):
-                for i in range(max(0, j - 24), j):
+                for i in range(max(0, j - self.longest), j):
                     if best[i] is not None and (j - i > 1 or w[i:j] == "a") and w[i:j] in self.words:
                         c = best[i][0] + self.cost[w[i:j]] + (4.0 if i else 0.0) + (6.0 if j - i <= 2 else 0.0)
                         if best[j] is None or c < best[j][0]:
@@ -260,67 +283,100 @@ def _cased(word: str, like: str) -> str:
     return word.upper() if like.isupper() and len(like) > 1 else word[:1].upper() + word[1:] if like[:1].isupper() else word
 
 
-def decode_row(d: Decoder, form: str, before: str | None, after: str | None) -> tuple[str, bool, bool]:
-    """(repaired text, hyphen, misread) of one row. before: last word of the previous text row; after: first of the next.
+class Word:
+    """A word of a stream: its row (-1 and n outside the page), the token and its parts."""
+
+    __slots__ = ("core", "last", "lead", "low", "row", "token", "trail")
+
+    def __init__(self, row: int, token: str, last: bool) -> None:
+        self.row, self.token, self.last = row, token, last
+        self.lead, self.core, self.trail = _core(token)
+        self.low = _low(self.core)
+
+
+def _alone(d: Decoder, word: Word) -> tuple[float, str, bool]:
+    """Cost, text and whether it was misread of a word read by itself."""
+    core, low = word.core, word.low
+    if not _LETTER.search(core) or _CODE.match(core) or _foreign(core):
+        return 0.0, word.token, False
+    if _DASH.search(core):
+        read = [_alone(d, Word(0, part, False)) for part in _DASH.split(core)]
+        return sum(c for c, _, _ in read), word.lead + "".join(t for _, t, _ in read) + word.trail, any(bad for _, _, bad in read)
+    made = d.decode(low)
+    if made is None:
+        inner = re.search(r"[^\W\d_]\d|\d[^\W\d_]", core)
+        return UNKNOWN, word.token, bool(inner) and len(core) >= 4 and sum(ch.isdigit() for ch in core) * 2 < len(core)
+    if made == (low,):
+        return d.cost.get(low, PLAIN), word.token, False
+    return NOISE + sum(d.cost.get(w, PLAIN) for w in made), word.lead + _cased(" ".join(made), core) + word.trail, True
+
+
+def _joined(d: Decoder, a: Word, b: Word) -> tuple[float, str] | None:
+    """Cost and text of two words of a row as one that a space split; None where they are two."""
+    if a.row != b.row or a.trail or b.lead or not b.core or _outside(a.core) or not d.joins(a.low, b.low):
+        return None
+    whole = a.low + b.low
+    right = whole if whole in d.words else d.confused(whole)
+    return d.cost[right] + (0.0 if right == whole else NOISE), a.lead + _cased(right, a.core) + b.trail
+
+
+def _outside(core: str) -> bool:
+    return not _LETTER.search(core) or bool(_CODE.match(core)) or _foreign(core) or bool(_DASH.search(core))
 
-    A broken word is given to the row it starts in: there its hyphen goes and the rest of the word is added; the next
-    row loses it.
+
+def _unbroken(d: Decoder, a: Word, b: Word) -> tuple[float, str, int] | None:
+    """Cost, text and misread part (0, 1, 2) of the last word of a row and the first of the next as one; None where the
+    hyphen is the word's own."""
+    if not a.last or b.row != a.row + 1 or a.token[-1:] not in MARKS or len(a.token) < 2:
+        return None
+    lead, head, _ = _core(a.token[:-1])
+    if not head or not _goes_on(b.low, b.token) or not d.break_at(_low(head), b.low):
+        return None
+    whole = _low(head + b.core).rsplit("-", 1)[-1]
+    right = whole if whole in d.words else d.confused(whole)
+    text = lead + (_cased(right, head) if right and "-" not in head + b.core else head + b.core) + b.trail
+    return (d.cost[right] if right else PLAIN), text, _edit_in(d, _low(head), b.low)
+
+
+def decode_stream(d: Decoder, forms: list[str], before: str | None, after: str | None) -> list[tuple[str, bool, bool]]:
+    """(repaired text, hyphen, misread) of every row of a page, by the cheapest path through the lattice of its words.
+
+    before: last word of the text flow before the page; after: first one after it. A broken word is given to the row it
+    starts in: there its hyphen goes and the rest of the word is added; the next row loses it.
     """
-    tokens = _TOKEN.findall(form)
-    misread = hyphen = False
-    first = tokens[0] if tokens else ""
-    if before and before[-1:] in MARKS and len(before) > 1:
-        head = _low(_core(before[:-1])[1])
-        tail = _low(_core(first)[1])
-        if head and _goes_on(tail, first) and d.break_at(head, tail):
-            misread = _edit_in(d, head, tail) == 2
-            tokens = tokens[1:]
-    ending = ""
-    if tokens and tokens[-1][-1:] in MARKS and len(tokens[-1]) > 1 and after:
-        lead, head, _ = _core(tokens[-1][:-1])
-        tail = _core(after)[1]
-        if head and _goes_on(tail, after) and d.break_at(_low(head), _low(tail)):
-            hyphen = True
-            misread |= _edit_in(d, _low(head), _low(tail)) == 1
-            whole = _low(head + tail).rsplit("-", 1)[-1]
-            right = whole if whole in d.words else d.confused(whole)
-            ending = lead + (_cased(right, head) if right and "-" not in head + tail else head + tail) + _core(after)[2]
-            tokens = tokens[:-1]
-    out: list[str] = []
-    cores = [_core(t) for t in tokens]
-    i = 0
-    while i < len(cores):
-        lead, core, trail = cores[i]
-        low = _low(core)
-        if not _LETTER.search(core) or _CODE.match(core) or _foreign(core):
-            out.append(tokens[i])
-            i += 1
-            continue
-        if _DASH.search(core):
-            made = [decode_row(d, part, None, None) for part in _DASH.split(core)]
-            misread |= any(bad for _, _, bad in made)
-            out.append(lead + "".join(text for text, _, _ in made) + trail)
-            i += 1
-            continue
-        if i + 1 < len(cores) and not trail and not cores[i + 1][0] and cores[i + 1][1] and d.joins(low, _low(cores[i + 1][1])):
-            whole = low + _low(cores[i + 1][1])
-            right = whole if whole in d.words else d.confused(whole)
-            out.append(lead + _cased(right, core) + cores[i + 1][2])
-            misread = True
-            i += 2
-            continue
-        made = d.decode(low)
-        if made is None:
-            inner = re.search(r"[^\W\d_]\d|\d[^\W\d_]", core)
-            misread |= bool(inner) and len(core) >= 4 and sum(ch.isdigit() for ch in core) * 2 < len(core)
-            out.append(tokens[i])
-        elif made == (low,):
-            out.append(tokens[i])
-        else:
-            misread = True
-            out.append(lead + _cased(" ".join(made), core) + trail)
-        i += 1
-    return " ".join([*out, ending] if ending else out), hyphen, misread
+    words = [Word(-1, before, True)] if before else []
+    for row, form in enumerate(forms):
+        tokens = _TOKEN.findall(form)
+        words += [Word(row, t, k == len(tokens) - 1) for k, t in enumerate(tokens)]
+    if after:
+        words.append(Word(len(forms), after, False))
+    n = len(words)
+    paths: list[tuple[float, int, tuple]] = [(0.0, 0, ())] + [(float("inf"), 0, ())] * n
+    for i, word in enumerate(words):
+        cost = paths[i][0]
+        arcs = [(1, *_alone(d, word), False, 0)]
+        if i + 1 < n:
+            if made := _joined(d, word, words[i + 1]):
+                arcs.append((2, *made, True, False, 0))
+            if whole := _unbroken(d, word, words[i + 1]):
+                arcs.append((2, whole[0], whole[1], False, True, whole[2]))
+        for size, c, *rest in arcs:
+            if cost + c < paths[i + size][0]:
+                paths[i + size] = (cost + c, i, tuple(rest))
+    texts: list[list[str]] = [[] for _ in forms]
+    flags = [[False, False] for _ in forms]
+    j = n
+    while j > 0:
+        _, i, (text, misread, hyphen, part) = paths[j]
+        row, end = words[i].row, words[j - 1].row
+        if 0 <= row < len(forms):
+            texts[row].append(text)
+            flags[row][0] |= hyphen
+            flags[row][1] |= misread or part == 1
+        if 0 <= end < len(forms):
+            flags[end][1] |= part == 2
+        j = i
+    return [(" ".join(t[::-1]), *f) for t, f in zip(texts, flags, strict=True)]
 
 
 def _edit_in(d: Decoder, head: str, tail: str) -> int:
@@ -335,46 +391,53 @@ def _edit_in(d: Decoder, head: str, tail: str) -> int:
     return 2 if right.startswith(head) else 1
 
 
-def neighbours(rows: DataFrame) -> DataFrame:
-    """Text rows once each with the last word before and the first word after them in the text flow of the document.
+PAGE_ROWS = T.ArrayType(T.StructType([
+    T.StructField("row_id", T.LongType()), T.StructField("no", T.IntegerType()), T.StructField("x0", T.DoubleType()), T.StructField("size", T.DoubleType()),
+    *DECODED.fields,
+]))
+
 
-    Within a page by one window; over page borders from a table of page edges, so that no task sorts a document.
+def pages_of(rows: DataFrame) -> DataFrame:
+    """kind, doc, page, furniture (row ids), lines (body rows in order), before and after (words of the pages around).
+
+    One exchange brings the rows of a page together; the words at its ends come from a table of one row a page.
     """
-    w = Window.partitionBy("kind", "doc", "page").orderBy("no", "row_id")
-    once = rows.withColumn("_again", F.lag("row_id").over(w) == F.col("row_id")).where("_again is null or not _again").drop("_again")
-    body = once.where("not furniture")
-    first, last = F.substring_index("form", " ", 1), F.substring_index("form", " ", -1)
-    inner = body.withColumns({"first": first, "last": last}).withColumns(
-        {"before": F.lag("last").over(w), "after": F.lead("first").over(w)}
-    )
-    edges = inner.groupBy("kind", "doc", "page").agg(
-        F.min_by("first", F.struct("no", "row_id")).alias("page_first"), F.max_by("last", F.struct("no", "row_id")).alias("page_last")
+    line = F.struct("no", "row_id", "form", "x0", "size")
+    side = lambda test: F.collect_set(F.when(test, line))
+    pages = rows.groupBy("kind", "doc", "page").agg(
+        F.array_sort(side(~F.col("furniture"))).alias("lines"), F.array_distinct(F.transform(side(F.col("furniture")), lambda x: x["row_id"])).alias("furniture")
     )
+    # Of one row id the first row stays.
+    pages = pages.withColumn("lines", F.filter("lines", lambda x, i: (i == 0) | ~F.coalesce(F.get("lines", i - 1)["row_id"] == x["row_id"], F.lit(False))))
+    word = lambda at, k: F.substring_index(F.element_at("lines", at)["form"], " ", k)
+    ends = pages.where(F.size("lines") > 0).select("kind", "doc", "page", word(1, 1).alias("first"), word(-1, -1).alias("last"))
     over = Window.partitionBy("kind", "doc").orderBy("page")
-    around = edges.select(
-        "kind", "doc", "page", F.lag("page_last").over(over).alias("edge_before"), F.lead("page_first").over(over).alias("edge_after")
-    )
-    joined = inner.join(around, ["kind", "doc", "page"], "left")
-    return joined.withColumns(
-        {"before": F.coalesce("before", "edge_before"), "after": F.coalesce("after", "edge_after")}
-    ).drop("edge_before", "edge_after", "first", "last"), once.where("furniture")
+    keys = ["kind", "doc", "page"]
+    around = ends.select(*[F.col(c).alias(f"_{c}") for c in keys], F.lag("last").over(over).alias("before"), F.lead("first").over(over).alias("after"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
+    return pages.join(around, same, "left").select(*keys, "lines", "furniture", "before", "after")
 
 
-def decoded(rows: DataFrame, words: dict[str, int]) -> tuple[DataFrame, DataFrame]:
-    """Body rows of scanned documents with `d` (repaired text, hyphen, misread), and the furniture rows."""
+def decoded(rows: DataFrame, words: dict[str, int]) -> DataFrame:
+    """Pages of scanned documents (kind, doc, page, furniture) with their body rows decoded: rows of row_id, no, x0, size, text, hyphen, misread."""
     held = rows.sparkSession.sparkContext.broadcast(words)
-    body, furniture = neighbours(text_rows(rows))
     kept: dict = {}
+    kind = pa.list_(pa.struct([("row_id", pa.int64()), ("no", pa.int32()), ("x0", pa.float64()), ("size", pa.float64()), ("text", pa.string()), ("hyphen", pa.bool_()), ("misread", pa.bool_())]))
 
-    @F.arrow_udf(DECODED)
-    def run(form: pa.Array, before: pa.Array, after: pa.Array) -> pa.Array:
+    @F.arrow_udf(PAGE_ROWS)
+    def run(lines: pa.Array, before: pa.Array, after: pa.Array) -> pa.Array:
         if "d" not in kept:
             kept["d"] = Decoder(held.value)
-        made = [decode_row(kept["d"], *x) for x in zip(form.to_pylist(), before.to_pylist(), after.to_pylist(), strict=True)]
-        cols = [pa.array([m[k] for m in made], t) for k, t in ((0, pa.string()), (1, pa.bool_()), (2, pa.bool_()))]
-        return pa.StructArray.from_arrays(cols, ["text", "hyphen", "misread"])
+        made = []
+        for page, b, a in zip(lines.to_pylist(), before.to_pylist(), after.to_pylist(), strict=True):
+            read = decode_stream(kept["d"], [x["form"] for x in page], b, a)
+            made.append([
+                {"row_id": x["row_id"], "no": x["no"], "x0": x["x0"], "size": x["size"], "text": t, "hyphen": h, "misread": m}
+                for x, (t, h, m) in zip(page, read, strict=True)
+            ])
+        return pa.array(made, kind)
 
-    return body.withColumn("d", run.asNondeterministic()("form", "before", "after")), furniture  # worked out once
+    return pages_of(text_rows(rows)).select("kind", "doc", "page", "furniture", run.asNondeterministic()("lines", "before", "after").alias("rows"))
 
 
 def defects(rows: DataFrame, words: dict[str, int]) -> DataFrame:
@@ -382,49 +445,63 @@ def defects(rows: DataFrame, words: dict[str, int]) -> DataFrame:
 
     Rows delivered twice count once; rows with a null or blank text have no defect; a null page or number sorts first.
     """
-    body, furniture = decoded(rows, words)
-    said = F.filter(
-        F.array(F.when(F.col("d.hyphen"), F.lit("hyphen")), F.when(F.col("d.misread"), F.lit("misread"))), lambda x: x.isNotNull()
-    )
-    noisy = body.select("kind", "row_id", F.explode(said).alias("defect"))
-    return furniture.select("kind", "row_id", F.lit("furniture").alias("defect")).unionByName(noisy)
+    found = lambda x, name: F.struct(x["row_id"].alias("row_id"), F.lit(name).alias("defect"))
+    flagged = lambda name: F.transform(F.filter("rows", lambda x: x[name]), lambda x: found(x, name))
+    edge = F.transform("furniture", lambda r: F.struct(r.alias("row_id"), F.lit("furniture").alias("defect")))
+    every = F.concat(edge, flagged("hyphen"), flagged("misread"))
+    return decoded(rows, words).select("kind", F.explode(every).alias("f")).select("kind", "f.row_id", "f.defect")
 
 
-def break_rows(lines: list[tuple[str, float | None, float | None, bool]]) -> list[int]:
-    """Rows of a page that start a paragraph, by dynamic programming over the cost of breaking or joining at each row.
+def _row_costs(lines: list[tuple[str, float | None, float | None, bool]]) -> tuple[list[float], list[float], list[float]]:
+    """Costs of joining each row to the one before, of breaking there, and of a row as a paragraph of its own.
 
     lines: text, x0, size, whether a blank row stands before. The cost of a break grows with signs that the text
     runs on (no end of sentence, lower-case start, full line before), that of a join with signs of a new paragraph;
     a paragraph of a single short row that is no heading costs extra, which is what couples neighbouring choices.
     """
-    n = len(lines)
-    if not n:
-        return []
-    widest = max(len(t) for t, *_ in lines)
-    join_cost, break_cost = [9e9], [0.0]
+    widest = max((len(t) for t, *_ in lines), default=0)
+    join_cost, break_cost = [0.0], [0.0]
     for (p, px, ps, _), (t, x, s, gap) in zip(lines, lines[1:], strict=False):
         ended = p.rstrip()[-1:] in ".!?:"
         marked = bool(re.match(r"[-–•▪*·]\s|\d+[.)]\s", t))
         differs = ps is not None and s is not None and abs(ps - s) > 1.0
-        join = 3.0 * gap + 4.0 * marked + 4.0 * differs + 1.5 * (ended and len(p) < 0.75 * widest) + 1.0 * (x is not None and px is not None and x - px > 8)
-        split = 2.0 * (not ended) + 3.0 * t[:1].islower() + 1.0 * (len(p) > 0.85 * widest)
-        join_cost.append(join)
-        break_cost.append(split)
-    best: list[tuple[float, int]] = [(0.0, -1)]
-    for j in range(1, n + 1):
-        options, run = [], 0.0
-        for i in range(j - 1, -1, -1):
-            lonely = 1.0 if j - i == 1 and len(lines[i][0]) < 20 and not lines[i][0].isupper() else 0.0
-            options.append((best[i][0] + break_cost[i] + run + lonely, i))
-            run += join_cost[i]
-            if run > 60:
-                break
-        best.append(min(options))
-    starts, j = [], n
-    while j > 0:
-        j = best[j][1]
-        starts.append(j)
-    return starts[::-1]
+        join_cost.append(3.0 * gap + 4.0 * marked + 4.0 * differs + 1.5 * (ended and len(p) < 0.75 * widest) + 1.0 * (x is not None and px is not None and x - px > 8))
+        break_cost.append(2.0 * (not ended) + 3.0 * t[:1].islower() + 1.0 * (len(p) > 0.85 * widest))
+    return join_cost, break_cost, [1.0 if len(t) < 20 and not t.isupper() else 0.0 for t, *_ in lines]
+
+
+def paragraph_cost(lines: list[tuple[str, float | None, float | None, bool]], starts: list[int]) -> float:
+    """Cost of the paragraphs of a page that start at the given rows."""
+    join_cost, break_cost, lonely = _row_costs(lines)
+    total = 0.0
+    for a, b in zip(starts, [*starts[1:], len(lines)], strict=True):
+        total += break_cost[a] + sum(join_cost[a + 1 : b]) + (lonely[a] if b - a == 1 else 0.0)
+    return total
+
+
+def break_rows(lines: list[tuple[str, float | None, float | None, bool]]) -> list[int]:
+    """Rows of a page that start a paragraph, by dynamic programming over the cost of breaking or joining at each row."""
+    n = len(lines)
+    if not n:
+        return []
+    join_cost, break_cost, lonely = _row_costs(lines)
+    # Whether a row starts a paragraph couples with its neighbours only through paragraphs of one row, so two costs
+    # are enough: of the best choice up to a row that starts one, and up to a row that does not.
+    starts, inside = [0.0] * n, [float("inf")] * n
+    came = [[False, False] for _ in range(n)]  # whether the row before starts a paragraph, by what this row does
+    for i in range(1, n):
+        alone = starts[i - 1] + lonely[i - 1]
+        came[i][1] = alone <= inside[i - 1]
+        starts[i] = break_cost[i] + min(alone, inside[i - 1])
+        came[i][0] = starts[i - 1] <= inside[i - 1]
+        inside[i] = join_cost[i] + min(starts[i - 1], inside[i - 1])
+    begins = starts[-1] + lonely[-1] < inside[-1]
+    found = []
+    for i in range(n - 1, -1, -1):
+        if begins:
+            found.append(i)
+        begins = came[i][begins]
+    return found[::-1]
 
 
 def paragraphs(rows: DataFrame, words: dict[str, int]) -> DataFrame:
@@ -432,19 +509,16 @@ def paragraphs(rows: DataFrame, words: dict[str, int]) -> DataFrame:
 
     rows as for text_rows, with x0; lines and tokens are texts of their own; a word broken over a page border is whole in the page it starts on.
     """
-    body, _ = decoded(rows, words)
-    line = F.struct("no", "row_id", F.col("d.text").alias("t"), "x0", "size", "gap")
-    w = Window.partitionBy("kind", "doc", "page").orderBy("no", "row_id")
-    gaps = body.withColumn("gap", F.coalesce(F.col("no") - F.lag("no").over(w) > 1, F.lit(False)))
-    pages = gaps.groupBy("kind", "doc", "page").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    pages = decoded(rows, words)
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def build(batch: pa.Array) -> pa.Array:
         made = []
         for page in batch.to_pylist():
-            rows = [(x["t"] or "", x["x0"], x["size"], x["gap"]) for x in page if (x["t"] or "").strip()]
+            gaps = [b["no"] is not None and a["no"] is not None and b["no"] - a["no"] > 1 for a, b in zip(page, page[1:], strict=False)]
+            rows = [(x["text"], x["x0"], x["size"], gap) for x, gap in zip(page, [False, *gaps], strict=False) if x["text"].strip()]
             at = [*break_rows(rows), len(rows)]
             made.append([" ".join(r[0] for r in rows[a:b]) for a, b in zip(at, at[1:], strict=False)])
         return pa.array(made, pa.list_(pa.string()))
 
-    return pages.select("kind", "doc", "page", F.posexplode(build("lines")).alias("paragraph_no", "text"))
+    return pages.select("kind", "doc", "page", F.posexplode(build("rows")).alias("paragraph_no", "text"))

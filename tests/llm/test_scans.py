@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,7 +39,7 @@ def test_capitals_of_sharp_s():
     ],
 )
 def test_apostrophes_and_dashes(form, right, misread):
-    assert S.decode_row(S.Decoder(WORDS | {"learner's": 50}), form, None, None) == (right, False, misread)
+    assert S.decode_stream(S.Decoder(WORDS | {"learner's": 50}), [form], None, None) == [(right, False, misread)]
 
 
 def test_lexicon_writes_one_apostrophe(spark):
@@ -50,6 +52,44 @@ def test_splits_and_breaks(decoder):
     assert decoder.break_at("port", "fo1io")
 
 
+def test_a_stream_is_read_as_a_whole(decoder):
+    read = S.decode_stream(decoder, ["The inter action of gl0s-", "sary tasksshould be self-", "assessment cri-"], "port-", "terion")
+    assert read == [("The interaction of glossary", True, True), ("tasks should be self-", False, True), ("assessment criterion", True, False)]
+    assert S.decode_stream(decoder, ["folio level"], "port-", None) == [("level", False, False)]
+    assert S.decode_stream(decoder, [], None, None) == [] and S.decode_stream(decoder, [""], "a", "b") == [("", False, False)]
+
+
+def test_the_path_weighs_words_against_their_neighbours():
+    d = S.Decoder({"contra": 300, "contrast": 2, "state": 500, "ate": 40})
+    # the first two can be one word and the last two can; read from the left the rarer word would win
+    assert d.joins("contra", "st") and d.joins("st", "ate")
+    assert S.decode_stream(d, ["contra st ate"], None, None) == [("contra state", False, True)]
+
+
+def test_many_confusions_and_long_words():
+    d = S.Decoder({"misunderstandings": 5, "a" * 40: 3, "level": 9, "filling": 2})
+    assert d.confused("rn1sunder5tand1ng5") == "misunderstandings" and d.confused("fi11in9") == "filling"
+    assert d.decode("a" * 40 + "level") == ("a" * 40, "level")
+    assert d.confused("x" * 3000) is None
+
+
+def brute_breaks(lines):
+    n, best = len(lines), (9e9, [])
+    for mask in range(1 << (n - 1)):
+        at = [0, *(i for i in range(1, n) if mask >> (i - 1) & 1)]
+        best = min(best, (round(S.paragraph_cost(lines, at), 6), at))
+    return best
+
+
+def test_paragraph_choice_against_brute_force():
+    rng = random.Random(4)
+    for _ in range(60):
+        lines = [(rng.choice(["short", "A longer row of text that ends.", "lower case row of text going on", "- item", "TITLE"]), rng.choice([None, 70.0, 90.0]), rng.choice([10.5, 14.0]), rng.random() < 0.3) for _ in range(rng.randint(1, 9))]
+        assert round(S.paragraph_cost(lines, S.break_rows(lines)), 6) == brute_breaks(lines)[0]
+    many = [("a long row of running text that never ends, with more of it", 70.0 + 10 * (i % 2), 10.5, False) for i in range(5000)]
+    assert S.break_rows(many) == [0]  # however much joining costs in all
+
+
 def rows(spark, data):
     return spark.createDataFrame([(*r, "clash") for r in data], ROWS)
 
