@@ -1,9 +1,10 @@
 """What changed between consecutive full snapshots of a table.
 
-Every record of a delivered snapshot is unpivoted into cells (key, field, value) plus a key-presence cell. In the
-step from the previous delivered snapshot its cells count +1, in the step to the next one -1. Grouped sums that are
-not zero are the differences: on the presence cell they mean an added or removed record, on field cells alone a
-changed one. One shuffle dedupes the deliveries, one groups the cells; both are keyed by record, never by table.
+In the step from the previous delivered snapshot a record counts +1, in the step to the next one -1. Records are
+unpivoted into signed cells (step, key, field, value) plus a key-presence marker. Sums of a cell that are not zero are
+the differences: on the presence marker they mean an added or removed record, on field cells alone a changed one, and
+they name the changed fields. Values are compared as they are, not by hashes. One shuffle dedupes the deliveries and one
+brings the two sides of a record together before they are unpivoted, so cells never travel; both are keyed by record.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SALTS = 16
 
@@ -23,6 +25,14 @@ def latest(df: DataFrame, keys: Sequence[str], at: str, values: Sequence[str]) -
     return known.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{v}").alias(v) for v in values])
 
 
+def _written(value: Column, kind: T.DataType) -> Column:
+    """A value as text, so that values of all fields share one column; equal text means an equal value of the field."""
+    if isinstance(kind, T.BinaryType):
+        return F.base64(value)
+    nested = isinstance(kind, (T.ArrayType, T.StructType, T.MapType))
+    return F.to_json(F.struct(value)) if nested else value.cast("string")
+
+
 def snapshot_changes(
     entries: DataFrame,
     series: str,
@@ -61,23 +71,17 @@ def snapshot_changes(
             F.struct(F.col("next").alias("at"), F.lit(-1).alias("sign")),
         )).alias("s"),
     ).where("s.at is not null")
-    # Cells: presence sums the signs; a field's signed value cells cancel exactly when both sides hold the same value.
-    # The value cell is a hash pair, so a nonzero sum of the signed pair is a nonzero cell.
-    cells = {
-        n: [
-            F.col("s.sign") * F.xxhash64(F.lit(k), F.col(f"v_{n}").isNull(), F.col(f"v_{n}")).cast("decimal(20,0)")
-            for k in (1, 2)
-        ]
-        for n in fields
-    }
-    sums = [F.sum("s.sign").alias("presence")]
-    for n, pair in cells.items():
-        sums += [F.sum(c).alias(f"c{k}_{n}") for k, c in enumerate(pair)]
-    grouped = signed.groupBy("series", F.col("s.at").alias("snap"), "rec").agg(*sums)
-    differing = F.filter(
-        F.array(*[F.when((F.col(f"c0_{n}") != 0) | (F.col(f"c1_{n}") != 0), F.lit(n)) for n in fields]),
-        lambda x: x.isNotNull(),
+    names = list(fields)
+    presence = F.struct(F.lit(-1).alias("field"), F.lit(None).cast("string").alias("value"))
+    cell = lambda k, n: F.struct(F.lit(k).alias("field"), _written(F.col(f"v_{n}"), raw.schema[f"v_{n}"].dataType).alias("value"))
+    together = signed.select("series", F.col("s.at").alias("snap"), "rec", F.col("s.sign").alias("sign"), *[f"v_{n}" for n in names]).repartition("series", "snap", "rec")
+    cells = together.select("series", "snap", "rec", "sign", F.explode(F.array(presence, *[cell(k, n) for k, n in enumerate(names)])).alias("c"))
+    summed = cells.groupBy("series", "snap", "rec", "c.field", "c.value").agg(F.sum("sign").alias("n")).where("n <> 0")
+    grouped = summed.groupBy("series", "snap", "rec").agg(
+        F.coalesce(F.max(F.when(F.col("field") < 0, F.col("n"))), F.lit(0)).alias("presence"),
+        F.array_sort(F.collect_set(F.when(F.col("field") >= 0, F.col("field")))).alias("differing"),
     )
+    differing = F.transform("differing", lambda k: F.array(*[F.lit(n) for n in names])[k])
     return (
         grouped.withColumn("changed_fields", differing)
         .withColumn(
