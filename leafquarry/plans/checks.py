@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import repairs as R
 from ..functions import text as X
 from ..operators import issues as I
 from ..session import table
@@ -345,10 +346,16 @@ def f18_placement(spark, sf_dir):
     return table(spark, sf_dir, "pdf_lines").select("line_id", "extracted_at", left.alias("top_left"), full.alias("top_full"))
 
 
-@query("SELECT DISTINCT id FROM manifest_entries WHERE len(list_intersect(string_split(id, '-'), ['gni', 'tnem', 'noit', 'gnitirw', 'nettirw', 'txet'])) > 0")
+_MARKS = "[" + ",".join(f"'{m}'" for m in R.ID_MARKS) + "]"
+_TOKENS = "[" + ",".join(f"'{w}'" for w in sorted(R.FORWARD) if len(w) > 3 or w in R.TOKEN_REPAIRS) + "]"
+
+
+@query(f"""SELECT job_id, snapshot_no, id, len(list_filter({_MARKS}, lambda m: contains(lower(id), m))) > 0 OR len(list_intersect(regexp_split_to_array(lower(id), '[_-]'), {_TOKENS})) > 0 AS garbled FROM manifest_entries WHERE id IS NOT NULL
+UNION ALL SELECT doc_id, NULL, group_id, len(list_filter({_MARKS}, lambda m: contains(lower(group_id), m))) > 0 OR len(list_intersect(regexp_split_to_array(lower(group_id), '[_-]'), {_TOKENS})) > 0 FROM span_groups WHERE group_id IS NOT NULL""")
 def f19_garbled_ids(spark, sf_dir):
-    marks = F.array(*[F.lit(x) for x in ("gni", "tnem", "noit", "gnitirw", "nettirw", "txet")])
-    return table(spark, sf_dir, "manifest_entries").where(F.arrays_overlap(F.split("id", "-"), marks)).select("id").distinct()
+    entries = table(spark, sf_dir, "manifest_entries").where("id is not null").select("job_id", "snapshot_no", "id")
+    groups = table(spark, sf_dir, "span_groups").where("group_id is not null").select(F.col("doc_id").alias("job_id"), F.lit(None).cast("int").alias("snapshot_no"), F.col("group_id").alias("id"))
+    return entries.unionByName(groups).withColumn("garbled", R.garbled_id(F.col("id")))
 
 
 @query("SELECT id, received_at, coalesce(extraction.features['figures'], false) AS figures, output.\"mode\" = 'markdown' AND ends_with(lower(source.file), '.pdf') AS ready FROM jobs")

@@ -65,10 +65,54 @@ def test_spans(spark):
     assert df.select(X.span_text(F.col("s")).alias("r")).first()["r"] == "**Bold more** plain▶"
 
 
-def test_urls_peel():
-    assert R.peel("https://a.org/x).") == {"url": "https://a.org/x", "trail": ")."}
-    assert R.peel("https://a.org/x**")["url"] == "https://a.org/x"
-    assert R.peel("no url")["url"] == "no url"
+@pytest.mark.parametrize(
+    ("token", "url", "trail"),
+    [
+        ("https://a.org/x).", "https://a.org/x", ")."), ("https://a.org/x**", "https://a.org/x", "**"), ("no url.", "no url.", ""), ("https://a.org/x.12", "https://a.org/x", ".12"),
+        ("https://a.org/x12", "https://a.org/x12", ""), ("http://…", "http://…", ""), ("https://", "https://", ""),
+    ],
+)
+def test_urls_peel(spark, token, url, trail):
+    assert tuple(one(spark, R.peel_url, token)) == (url, trail)
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("See https://a.org/x /y/z.html and more", "See https://a.org/x/y/z.html and more"), ("(https://a.org/x) next. aspx", "(https://a.org/x) next. aspx"),
+        ("https://a.org/details. aspx?id=1 text", "https://a.org/details.aspx?id=1 text"), ("https://a.org/1680 667a2d rest", "https://a.org/1680667a2d rest"),
+        ("https://a.org/x. The next", "https://a.org/x. The next"), ("https://a.org/x.Next one", "https://a.org/x. Next one"),
+        ("a https://a.org/x.7.Éloge b http:// b.org/q", "a https://a.org/x\n7. Éloge b http://b.org/q"), ("12.Title\nplain 3.4", "12. Title\nplain 3.4"), ("", ""), ("no address here", "no address here"),
+    ],
+)
+def test_urls_closed(spark, text, want):
+    assert one(spark, X.sanitize_urls, text) == want
+
+
+def test_footnotes_after_urls(spark):
+    assert one(spark, X.split_glued_footnotes, "at https://a.org/x 12. Title, https://b.org 3 x") == "at https://a.org/x\n12. Title, https://b.org 3 x"
+
+
+@pytest.mark.parametrize(
+    ("title", "want"),
+    [
+        (").cte ,smargaid ,shparg( ni atad gninialpxE", "Explaining data in graphs, diagrams (etc.)"), ("Plain title, of two parts", "Plain title, of two parts"),
+        ("GNITIRW", "WRITING"), ("puorg a ni gnitaroballoC", "Collaborating in a group"), ("", ""), ("level", "level"),
+    ],
+)
+def test_titles_read_backwards(title, want):
+    assert R.forward_title(title) == want
+
+
+def test_garbled_ids(spark):
+    df = spark.createDataFrame([("scale_gnittup_a_case",), ("table_txet",), ("scale_writing",), ("a-nettirw-b",), (None,)], "i string")
+    assert [r["r"] for r in df.select(R.garbled_id(F.col("i")).alias("r")).collect()] == [True, True, False, True, False]
+
+
+def test_no_number_is_cut(spark):
+    assert one(spark, X.page_list, "1234567,3-4,99999999999,2-x") == [1234567, 3, 4]
+    assert tuple(one(spark, X.toc_title_page, "- Title — 12345")) == ("Title", 12345)
+    assert [b["id"] for b in one(spark, X.artifact_bodies, "x<!-- db:id=a -->1<!-- db:id=b t -->2")] == ["a", "b"] and one(spark, X.artifact_bodies, "") == []
 
 
 def test_bands_and_stacks():
