@@ -373,7 +373,10 @@ def f23_toc_zone(spark, sf_dir):
 # Sinks as relations
 
 
-@query("SELECT doc_id, chunk_id, start_page, end_page, 'chunks/' || chunk_id || '_pages_' || lpad(start_page::VARCHAR, 3, '0') || '-' || lpad(end_page::VARCHAR, 3, '0') || '.pdf' AS out_path FROM chunks WHERE start_page < 1000 AND end_page < 1000")
+_NO = "CASE WHEN length({c}::VARCHAR) < 3 THEN lpad({c}::VARCHAR, 3, '0') ELSE {c}::VARCHAR END"
+
+
+@query(f"SELECT doc_id, chunk_id, start_page, e AS end_page, 'chunks/' || chunk_id || '_pages_' || {_NO.format(c='start_page')} || '-' || {_NO.format(c='e')} || '.pdf' AS out_path FROM (SELECT c.*, coalesce(c.end_page, j.pages) AS e FROM chunks c LEFT JOIN ({_JOBS}) j ON c.doc_id = j.id)")
 def k01_chunk_paths(spark, sf_dir):
     """An open end is the document's last page; where that is unknown too, the path is null."""
     ends = jobs(spark, sf_dir).select(F.col("id").alias("doc_id"), "pages")
@@ -417,7 +420,7 @@ def k08_crop_fractions(spark, sf_dir):
     return table(spark, sf_dir, "page_toks").select("tok_id", F.round(F.col("x0") / 595 * 1000, 3).alias("crop_left"), F.round(F.col("y0") / 842 * 1000, 3).alias("crop_top"))
 
 
-@query(f"SELECT doc_id, group_id AS slug, lo AS page, CASE WHEN rotated THEN 270 ELSE 0 END AS rotation, CASE WHEN rotated THEN 'pending' ELSE 'complete' END AS status FROM (SELECT DISTINCT doc_id, group_id, least(start_page, end_page) AS lo, rotated FROM span_groups WHERE start_page IS NOT NULL AND end_page IS NOT NULL)")
+@query(f"SELECT doc_id, group_id AS slug, lo AS page, CASE WHEN rotated THEN 270 ELSE 0 END AS rotation, CASE WHEN rotated THEN 'pending' ELSE 'complete' END AS status FROM (SELECT DISTINCT doc_id, group_id, least(coalesce(start_page, end_page), coalesce(end_page, start_page)) AS lo, rotated FROM span_groups WHERE start_page IS NOT NULL OR end_page IS NOT NULL)")
 def k09_handoff(spark, sf_dir):
     base = table(spark, sf_dir, "span_groups").where("start_page is not null or end_page is not null")
     lo = F.least(F.coalesce("start_page", "end_page"), F.coalesce("end_page", "start_page"))

@@ -132,13 +132,15 @@ def j12_profile_override(spark, sf_dir):
     )
 
 
-_SNAP = "SELECT job_id, id, max(page) AS page FROM manifest_entries WHERE snapshot_no = {n} AND job_id IS NOT NULL AND id IS NOT NULL GROUP BY ALL"
-
-
-@query(f"""SELECT coalesce(a.job_id, b.job_id) AS job_id, coalesce(a.id, b.id) AS id, CASE WHEN b.id IS NULL THEN 'only_old' WHEN a.id IS NULL THEN 'only_new' WHEN a.page IS DISTINCT FROM b.page THEN 'changed' ELSE 'same' END AS state
-FROM ({_SNAP.format(n=1)}) a FULL OUTER JOIN ({_SNAP.format(n=2)}) b ON a.job_id = b.job_id AND a.id = b.id""")
+@query("""WITH m AS (SELECT job_id, snapshot_no, id, max(page) AS page FROM manifest_entries WHERE job_id IS NOT NULL AND snapshot_no IS NOT NULL AND id IS NOT NULL GROUP BY ALL),
+p AS (SELECT job_id, snapshot_no, lead(snapshot_no) OVER (PARTITION BY job_id ORDER BY snapshot_no) AS next_no FROM (SELECT DISTINCT job_id, snapshot_no FROM manifest_entries WHERE job_id IS NOT NULL AND snapshot_no IS NOT NULL)),
+a AS (SELECT m.job_id, p.next_no AS snapshot_no, m.id, m.page FROM m JOIN p USING (job_id, snapshot_no) WHERE p.next_no IS NOT NULL),
+b AS (SELECT m.* FROM m JOIN p ON m.job_id = p.job_id AND m.snapshot_no = p.next_no)
+SELECT coalesce(a.job_id, b.job_id) AS job_id, coalesce(a.snapshot_no, b.snapshot_no) AS snapshot_no, coalesce(a.id, b.id) AS id,
+  CASE WHEN b.id IS NULL THEN 'only_old' WHEN a.id IS NULL THEN 'only_new' WHEN a.page IS DISTINCT FROM b.page THEN 'changed' ELSE 'same' END AS state
+FROM a FULL OUTER JOIN b ON a.job_id = b.job_id AND a.snapshot_no = b.snapshot_no AND a.id = b.id""")
 def j13_build_diff(spark, sf_dir):
-    """Every delivered snapshot against the job's next delivered one, whose number is snapshot_no; the SQL says this of 1 and 2 only."""
+    """Every delivered snapshot against the job's next delivered one, whose number is snapshot_no."""
     rows = table(spark, sf_dir, "manifest_entries").where("job_id is not null and snapshot_no is not null")
     next_no = F.lead("snapshot_no").over(Window.partitionBy("job_id").orderBy("snapshot_no"))
     pairs = rows.select("job_id", "snapshot_no").distinct().withColumn("next_no", next_no).where("next_no is not null")

@@ -9,16 +9,12 @@ QUERIES: dict = {}
 SQL: dict = {}
 
 
-def add(name, source, key, column, expression, sql, where=None, kept=None):
-    """A query of one expression over one column of a table, with its key; sql is the expression of the oracle.
-
-    kept: the rows of the query itself where the oracle's condition leaves some out.
-    """
-    held = kept or where
+def add(name, source, key, column, expression, sql, where=None):
+    """A query of one expression over one column of a table, with its key; sql is the expression of the oracle."""
 
     def query(spark, sf_dir):
         df = table(spark, sf_dir, source)
-        df = df.where(held) if held else df
+        df = df.where(where) if where else df
         return df.select(key, expression(F.col(column)).alias("result"))
 
     QUERIES[name] = query
@@ -171,13 +167,15 @@ add(
 add("c08_reverse_line", "manifest_entries", "id", "title", lambda c: F.array_join(F.reverse(F.split(F.trim(c), " +")), " "), "array_to_string(list_reverse(regexp_split_to_array(trim($c), ' +')), ' ')")
 add(
     "c19_toc_entry", "manifest_entries", "id", "title", lambda c: X.toc_entry(c, F.col("page")),
-    r"""CASE WHEN upper(trim(regexp_replace($c, '[^ -~]', '', 'g'))) = 'CONTENTS' THEN '## Contents'
-    WHEN regexp_matches(upper(trim(regexp_replace($c, '[^ -~]', '', 'g'))), '^(CHAPTER|APPENDIX)[ \t]+[0-9]+:') THEN '## ' || trim(regexp_replace($c, '[^ -~]', '', 'g')) || coalesce(' — ' || page::VARCHAR, '')
-    WHEN starts_with(upper(trim(regexp_replace($c, '[^ -~]', '', 'g'))), 'PREFACE') THEN '## Preface with acknowledgements' || coalesce(' — ' || page::VARCHAR, '')
-    WHEN regexp_matches(trim(regexp_replace($c, '[^ -~]', '', 'g')), '^[0-9]+(\.[0-9]+)+\.[ \t]+') THEN repeat('#', least(len(string_split(regexp_extract(trim(regexp_replace($c, '[^ -~]', '', 'g')), '^([0-9]+(?:\.[0-9]+)*)\.[ \t]+', 1), '.')) + 1, 6)::INT) || ' ' || trim(regexp_replace($c, '[^ -~]', '', 'g')) || coalesce(' — ' || page::VARCHAR, '')
-    WHEN regexp_matches(upper(trim(regexp_replace($c, '[^ -~]', '', 'g'))), '^(FIGURE|TABLE)[ \t]+[0-9]+') THEN '### ' || trim(regexp_replace($c, '[^ -~]', '', 'g')) || coalesce(' — ' || page::VARCHAR, '')
-    WHEN regexp_matches(trim(regexp_replace($c, '[^ -~]', '', 'g')), '^[A-Z0-9 ,:()/&.-]+$') AND length(trim(regexp_replace($c, '[^ -~]', '', 'g'))) > 3 THEN '- ' || trim(regexp_replace($c, '[^ -~]', '', 'g')) || coalesce(' — ' || page::VARCHAR, '')
-    ELSE trim(regexp_replace($c, '[^ -~]', '', 'g')) || coalesce(' — ' || page::VARCHAR, '') END""",
+    r"""CASE WHEN upper(trim($c, ' ')) = 'CONTENTS' THEN '## Contents'
+    WHEN upper(trim($c, ' ')) = 'LIST OF TABLES AND FIGURES' THEN '## List of tables and figures' WHEN upper(trim($c, ' ')) = 'LIST OF FIGURES' THEN '## List of figures' WHEN upper(trim($c, ' ')) = 'LIST OF TABLES' THEN '## List of tables'
+    WHEN upper(trim($c, ' ')) = 'FOREWORD' THEN '## Foreword' || coalesce(' — ' || page::VARCHAR, '')
+    WHEN starts_with(upper(trim($c, ' ')), 'PREFACE') THEN '## Preface with acknowledgements' || coalesce(' — ' || page::VARCHAR, '')
+    WHEN regexp_matches(upper(trim($c, ' ')), '^(CHAPTER|APPENDIX)[ \t]+[0-9]+:') OR upper(trim($c, ' ')) = 'APPENDICES' THEN '## ' || CASE WHEN upper(trim($c, ' ')) = 'APPENDICES' THEN 'APPENDICES' ELSE trim($c, ' ') END || coalesce(' — ' || page::VARCHAR, '')
+    WHEN regexp_matches(trim($c, ' '), '^[0-9]+(\.[0-9]+)+\.[ \t]+') THEN repeat('#', least(len(string_split(regexp_extract(trim($c, ' '), '^([0-9]+(?:\.[0-9]+)*)\.[ \t]+', 1), '.')) + 1, 6)::INT) || ' ' || trim($c, ' ') || coalesce(' — ' || page::VARCHAR, '')
+    WHEN regexp_matches(upper(trim($c, ' ')), '^(FIGURE|TABLE)[ \t]+[0-9]+') THEN '### ' || trim($c, ' ') || coalesce(' — ' || page::VARCHAR, '')
+    WHEN regexp_matches(trim($c, ' '), '^[A-Z0-9 ,:()–/&.-]+$') AND length(trim($c, ' ')) > 3 AND NOT regexp_matches(trim($c, ' '), '^[0-9]+(\.[0-9]+)*\.[ \t]+') THEN '- ' || trim($c, ' ') || coalesce(' — ' || page::VARCHAR, '')
+    ELSE trim($c, ' ') || coalesce(' — ' || page::VARCHAR, '') END""",
     where="title is not null",
 )
 _BASE = (
@@ -200,13 +198,16 @@ def _pages():
 add(
     "c33_page_list", "span_groups", "group_id", "title",
     lambda c: F.array_join(X.page_list(F.concat(_pages(), F.lit(",1"))), ","),
-    "array_to_string(list_concat(range(least(start_page, end_page), greatest(start_page, end_page) + 1), [1]), ',')",
-    where="start_page is not null and end_page is not null",
-    kept="start_page is not null or end_page is not null",
+    "array_to_string(list_concat(range(least(coalesce(start_page, end_page), coalesce(end_page, start_page)), greatest(coalesce(start_page, end_page), coalesce(end_page, start_page)) + 1), [1]), ',')",
+    where="start_page is not null or end_page is not null",
 )
 add(
     "c30_span_text", "pdf_lines", "line_id", "spans", X.span_text,
-    "length(array_to_string(list_transform($c, lambda s: replace(coalesce(s.text, ''), chr(173), '')), ''))",
+    # every span as a letter for bold or plain and its text, folded from an empty start
+    r"""list_reduce(list_prepend('', list_transform(list_filter($c, lambda s: replace(coalesce(s.text, ''), chr(173), '') <> ''),
+      lambda s: CASE WHEN regexp_matches(lower(coalesce(s.font, '')), 'dingbat|wingding|arrows|symbol|zapf') THEN 'p' || replace(replace(s.text, '3', '▶'), chr(173), '')
+      WHEN coalesce(s.flags, 0) & 16 <> 0 OR regexp_matches(lower(coalesce(s.font, '')), 'bold|black|heavy') THEN 'b' || replace(s.text, chr(173), '') ELSE 'p' || replace(s.text, chr(173), '') END)),
+      lambda acc, x: CASE WHEN ends_with(acc, '**') AND x[1] = 'b' AND length(acc) > 4 THEN acc[:-3] || x[2:] || '**' WHEN x[1] = 'b' THEN acc || '**' || x[2:] || '**' ELSE acc || x[2:] END)""",
     where="spans is not null",
 )
 add(

@@ -73,7 +73,7 @@ def s05_best_rotation(spark, sf_dir):
     return files.best_rotation(reads).select("doc_id", "angle", "score")
 
 
-@query("SELECT job_id, snapshot_no, 'versions/' || lpad(snapshot_no::VARCHAR, 3, '0') AS path, count(*) AS records, max(snapshot_no) OVER (PARTITION BY job_id) + 1 AS next_version FROM manifest_entries WHERE job_id IS NOT NULL AND snapshot_no < 1000 GROUP BY job_id, snapshot_no")
+@query("SELECT job_id, snapshot_no, 'versions/' || CASE WHEN length(snapshot_no::VARCHAR) < 3 THEN lpad(snapshot_no::VARCHAR, 3, '0') ELSE snapshot_no::VARCHAR END AS path, count(*) AS records, max(snapshot_no) OVER (PARTITION BY job_id) + 1 AS next_version FROM manifest_entries WHERE job_id IS NOT NULL AND snapshot_no IS NOT NULL GROUP BY job_id, snapshot_no")
 def k06_versions(spark, sf_dir):
     rows = table(spark, sf_dir, "manifest_entries").where("job_id is not null and snapshot_no is not null")
     per = rows.groupBy("job_id", "snapshot_no").agg(F.count(F.lit(1)).alias("records"))

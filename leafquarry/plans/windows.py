@@ -36,7 +36,7 @@ def layout(spark, sf_dir):
 
 
 def spans(spark, sf_dir):
-    """Span groups once each; swapped pages are put right, a missing page is the other one. _SPANS leaves groups without an end out."""
+    """Span groups once each; swapped pages are put right, a missing page is the other one."""
     a, b = F.coalesce("start_page", "end_page"), F.coalesce("end_page", "start_page")
     rows = table(spark, sf_dir, "span_groups").where("doc_id is not null").where(a.isNotNull())
     lo, hi = F.least(a, b), F.greatest(a, b)
@@ -44,8 +44,9 @@ def spans(spark, sf_dir):
 
 
 _SPANS = (
-    "SELECT DISTINCT doc_id, group_id, span_type, title, least(start_page, end_page) AS lo, greatest(start_page, end_page) AS hi "
-    "FROM span_groups WHERE start_page IS NOT NULL AND end_page IS NOT NULL AND doc_id IS NOT NULL"
+    "SELECT DISTINCT doc_id, group_id, span_type, title, least(coalesce(start_page, end_page), coalesce(end_page, start_page)) AS lo, "
+    "greatest(coalesce(start_page, end_page), coalesce(end_page, start_page)) AS hi "
+    "FROM span_groups WHERE coalesce(start_page, end_page) IS NOT NULL AND doc_id IS NOT NULL"
 )
 
 
