@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.look import look_casefold, squeezed
+from ..session import cut
 
 SHARD_DOCS = 16384  # documents numbered by one task; bounds the work of a hot source's numbering
 WORD = 64
@@ -67,7 +68,7 @@ def repeated_lines(lines: DataFrame, docs: DataFrame, min_docs: int = 5, share:
     """
     known = docs.where("doc is not null").select("doc", F.coalesce("source", F.lit("")).alias("source"))
     numbered = numbered_documents(known)
-    placed = _placed(lines.where("text is not null and line_id is not null"), numbered)
+    placed = cut(_placed(lines.where("text is not null and line_id is not null"), numbered))  # lines are read and folded once
     bits = bitmaps(placed)
     over = repeated(bits, min_docs, share).select("source", "h1", "h2")
     held = bits.join(over, ["source", "h1", "h2"], "left_semi").select("source", "h1", "h2", "shard", "word_no", "word")
