@@ -28,6 +28,7 @@ from ..session import cut
 RATE = 4e-5  # share of all words above which a word is in the lexicon: at most 1 / RATE = 25,000 words
 TOP, FOOT = 70.0, 750.0  # furniture stands above or below these heights
 SMALL = 9.0  # size below which a row without a height counts as furniture
+KEPT = 500_000  # words whose readings a worker keeps before it starts over
 UNKNOWN = 16.0  # cost of a word that nothing fits
 NOISE = 6.0  # cost of one misreading
 PLAIN = 9.0  # cost of a known form that the lexicon does not count by itself
@@ -111,6 +112,7 @@ class Decoder:
         self.longest = max(map(len, words), default=0)
         self.prefixes = {w[:i] for w in words for i in range(len(w) + 1)}
         self.letters = sorted({ch for w in words for ch in w})
+        self.tokens: dict[str, Word] = {}
         self.memo: dict[str, tuple[str, ...] | None] = {}
         self.single: dict[str, str | None] = {}
 
@@ -218,11 +220,22 @@ class Decoder:
                         options.append((10 + self.cost[b] + self.cost[x], (x, b)))
         return min(options)[1] if options else None
 
+    def word(self, token: str) -> Word:
+        """A token's word, made once."""
+        if token not in self.tokens:
+            if len(self.tokens) >= KEPT:  # what is kept only saves time
+                for kept in (self.tokens, self.memo, self.single):
+                    kept.clear()
+            self.tokens[token] = Word(self, token)
+        return self.tokens[token]
+
     def joins(self, a: str, b: str) -> bool:
         """Whether a and b, next to each other, are one word split by a space."""
-        if not a or not b or "-" in a or "-" in b or _DASH.search(a + b):
+        if not a or not b or "-" in a or "-" in b:
             return False
         whole = a + b
+        if whole not in self.words and a in self.words and b in self.words or _DASH.search(whole):
+            return False
         if whole in self.words:
             if a not in self.words or b not in self.words:
                 return True
@@ -284,50 +297,49 @@ def _cased(word: str, like: str) -> str:
 
 
 class Word:
-    """A word of a stream: its row (-1 and n outside the page), the token and its parts."""
+    """A word as it stands: the token, its parts, whether it is outside the decoding, and how it reads by itself."""
 
-    __slots__ = ("core", "last", "lead", "low", "row", "token", "trail")
+    __slots__ = ("alone", "core", "lead", "low", "outside", "token", "trail")
 
-    def __init__(self, row: int, token: str, last: bool) -> None:
-        self.row, self.token, self.last = row, token, last
+    def __init__(self, d: Decoder, token: str) -> None:
+        self.token = token
         self.lead, self.core, self.trail = _core(token)
         self.low = _low(self.core)
-
-
-def _alone(d: Decoder, word: Word) -> tuple[float, str, bool]:
-    """Cost, text and whether it was misread of a word read by itself."""
-    core, low = word.core, word.low
-    if not _LETTER.search(core) or _CODE.match(core) or _foreign(core):
-        return 0.0, word.token, False
-    if _DASH.search(core):
-        read = [_alone(d, Word(0, part, False)) for part in _DASH.split(core)]
-        return sum(c for c, _, _ in read), word.lead + "".join(t for _, t, _ in read) + word.trail, any(bad for _, _, bad in read)
-    made = d.decode(low)
-    if made is None:
-        inner = re.search(r"[^\W\d_]\d|\d[^\W\d_]", core)
-        return UNKNOWN, word.token, bool(inner) and len(core) >= 4 and sum(ch.isdigit() for ch in core) * 2 < len(core)
-    if made == (low,):
-        return d.cost.get(low, PLAIN), word.token, False
-    return NOISE + sum(d.cost.get(w, PLAIN) for w in made), word.lead + _cased(" ".join(made), core) + word.trail, True
+        plain = self.core.isascii() and self.core.isalpha() and not _CODE.match(self.core)
+        self.outside = not plain and (not _LETTER.search(self.core) or bool(_CODE.match(self.core)) or _foreign(self.core))
+        self.alone = self._read(d)
+        self.outside |= bool(_DASH.search(self.core))  # its parts are read one by one
+
+    def _read(self, d: Decoder) -> tuple[float, str, bool]:
+        """Cost, text and whether it was misread of the word read by itself."""
+        core, low = self.core, self.low
+        if self.outside:
+            return 0.0, self.token, False
+        if _DASH.search(core):
+            read = [Word(d, part).alone for part in _DASH.split(core)]
+            return sum(c for c, _, _ in read), self.lead + "".join(t for _, t, _ in read) + self.trail, any(bad for _, _, bad in read)
+        made = d.decode(low)
+        if made is None:
+            inner = re.search(r"[^\W\d_]\d|\d[^\W\d_]", core)
+            return UNKNOWN, self.token, bool(inner) and len(core) >= 4 and sum(ch.isdigit() for ch in core) * 2 < len(core)
+        if made == (low,):
+            return d.cost.get(low, PLAIN), self.token, False
+        return NOISE + sum(d.cost.get(w, PLAIN) for w in made), self.lead + _cased(" ".join(made), core) + self.trail, True
 
 
 def _joined(d: Decoder, a: Word, b: Word) -> tuple[float, str] | None:
-    """Cost and text of two words of a row as one that a space split; None where they are two."""
-    if a.row != b.row or a.trail or b.lead or not b.core or _outside(a.core) or not d.joins(a.low, b.low):
+    """Cost and text of two neighbouring words of a row as one that a space split; None where they are two."""
+    if a.trail or b.lead or not b.core or a.outside or not d.joins(a.low, b.low):
         return None
     whole = a.low + b.low
     right = whole if whole in d.words else d.confused(whole)
     return d.cost[right] + (0.0 if right == whole else NOISE), a.lead + _cased(right, a.core) + b.trail
 
 
-def _outside(core: str) -> bool:
-    return not _LETTER.search(core) or bool(_CODE.match(core)) or _foreign(core) or bool(_DASH.search(core))
-
-
 def _unbroken(d: Decoder, a: Word, b: Word) -> tuple[float, str, int] | None:
     """Cost, text and misread part (0, 1, 2) of the last word of a row and the first of the next as one; None where the
     hyphen is the word's own."""
-    if not a.last or b.row != a.row + 1 or a.token[-1:] not in MARKS or len(a.token) < 2:
+    if a.token[-1:] not in MARKS or len(a.token) < 2:
         return None
     lead, head, _ = _core(a.token[:-1])
     if not head or not _goes_on(b.low, b.token) or not d.break_at(_low(head), b.low):
@@ -344,21 +356,25 @@ def decode_stream(d: Decoder, forms: list[str], before: str | None, after: str |
     before: last word of the text flow before the page; after: first one after it. A broken word is given to the row it
     starts in: there its hyphen goes and the rest of the word is added; the next row loses it.
     """
-    words = [Word(-1, before, True)] if before else []
+    words, at = [before] if before else [], [-1] if before else []
     for row, form in enumerate(forms):
         tokens = _TOKEN.findall(form)
-        words += [Word(row, t, k == len(tokens) - 1) for k, t in enumerate(tokens)]
+        words += tokens
+        at += [row] * len(tokens)
     if after:
-        words.append(Word(len(forms), after, False))
+        words.append(after)
+        at.append(len(forms))
+    words = [d.word(t) for t in words]
     n = len(words)
     paths: list[tuple[float, int, tuple]] = [(0.0, 0, ())] + [(float("inf"), 0, ())] * n
     for i, word in enumerate(words):
         cost = paths[i][0]
-        arcs = [(1, *_alone(d, word), False, 0)]
+        arcs = [(1, *word.alone, False, 0)]
         if i + 1 < n:
-            if made := _joined(d, word, words[i + 1]):
-                arcs.append((2, *made, True, False, 0))
-            if whole := _unbroken(d, word, words[i + 1]):
+            if at[i] == at[i + 1]:
+                if made := _joined(d, word, words[i + 1]):
+                    arcs.append((2, *made, True, False, 0))
+            elif at[i] + 1 == at[i + 1] and (whole := _unbroken(d, word, words[i + 1])):
                 arcs.append((2, whole[0], whole[1], False, True, whole[2]))
         for size, c, *rest in arcs:
             if cost + c < paths[i + size][0]:
@@ -368,7 +384,7 @@ def decode_stream(d: Decoder, forms: list[str], before: str | None, after: str |
     j = n
     while j > 0:
         _, i, (text, misread, hyphen, part) = paths[j]
-        row, end = words[i].row, words[j - 1].row
+        row, end = at[i], at[j - 1]
         if 0 <= row < len(forms):
             texts[row].append(text)
             flags[row][0] |= hyphen
