@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import repairs as R
 from ..functions import text as X
 from ..operators import lines as L
-from ..operators.formatting import STEPS, format_documents, with_fences
+from ..operators.formatting import collapse_blanks, format_documents, page_blocks
 from ..session import table
 from .windows import _LINES, _SPANS, doc_lines, spans
 
@@ -196,9 +196,7 @@ def w12_reading_order(spark, sf_dir):
 
 @query()
 def w19_page_blocks(spark, sf_dir):
-    from ..operators.formatting import caption_first
-
-    return L.rebuilt(caption_first(with_fences(doc_lines(spark, sf_dir))), ["doc_id"])
+    return format_documents(docs(spark, sf_dir), [("page blocks", page_blocks), ("blank runs", collapse_blanks)])
 
 
 @query()
@@ -225,7 +223,6 @@ def d09_page_markdown(spark, sf_dir):
 
 @query()
 def d10_format(spark, sf_dir):
-    assert STEPS
     return format_documents(docs(spark, sf_dir))
 
 
