@@ -2,7 +2,7 @@
 
 `fold_look` maps compatibility forms (full-width letters, ligatures), decomposed accents, default-ignorable
 characters, special spaces and hyphens and look-alike letters of other scripts to one form. Case and accents stay.
-The work is done once per distinct value of an Arrow batch.
+The work is done once per distinct value of an Arrow batch, by a Python loop over those values.
 """
 
 from __future__ import annotations
@@ -28,16 +28,19 @@ LOOKALIKES = {
     "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "Ϳ": "J",
     # Armenian
     "օ": "o", "հ": "h", "ո": "n", "ս": "u", "ց": "g", "զ": "q", "Տ": "S", "Օ": "O", "Լ": "L",
+    # Cherokee
+    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭰ": "D", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M",
+    "Ꮲ": "P", "Ꮢ": "R", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z",
     # Latin letters of phonetic alphabets
     "ɑ": "a", "ɡ": "g", "ı": "i", "ɩ": "i",
 }
 # Hyphens that look like the plain one, and spaces that compatibility normalisation leaves alone.
 HYPHENS = "\u2010\u2011\u2043\u02d7\u2212\ufe63\uff0d"
-SPACES = "\u1680\u180e\u2028\u2029\x85"
+SPACES = "\u1680\u2028\u2029\x85"
 # Default-ignorable code points.
 IGNORABLE = (
-    "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180d\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164"
-    "\ufe00-\ufe0f\ufeff\uffa0\ufff0-\ufff8\U000e0000-\U000e0fff"
+    "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164"
+    "\ufe00-\ufe0f\ufeff\uffa0\ufff0-\ufff8\U0001bca0-\U0001bca3\U0001d173-\U0001d17a\U000e0000-\U000e0fff"
 )
 _DROP = re.compile(f"[{IGNORABLE}]")
 _EARLY = {ord(c): "-" for c in HYPHENS} | {ord(c): " " for c in SPACES}

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+MAX_RULES = 1000
 COLUMNS = ["check", "severity", "doc_id", "page", "detail"]
 # Text gates as (code, severity, pattern that must not occur).
 GATES = [
@@ -76,9 +77,13 @@ def passed(issues: DataFrame) -> bool:
 def need_ban(docs: DataFrame, rules: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Residual assertions: phrases needed at least n times over all texts, or banned. rules: phrase, least, banned.
 
-    The rules are a reviewed list and travel as one array, so the texts are read once. Result: phrase, found, ok.
+    The rules are a reviewed list of at most MAX_RULES and travel as one array, so the texts are read once; a longer
+    list raises and runs in parts. Result: phrase, found, ok.
     """
-    table = {r.phrase: (r.least, r.banned) for r in rules.collect()}
+    listed = rules.limit(MAX_RULES + 1).collect()
+    if len(listed) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules; run them in parts")
+    table = {r.phrase: (r.least, r.banned) for r in listed}
     times = lambda p: F.sum((F.length(text) - F.length(F.replace(F.col(text), F.lit(p), F.lit("")))) / len(p))
     counts = docs.agg(*[F.coalesce(times(p), F.lit(0)).cast("long").alias(f"c{i}") for i, p in enumerate(table)])
     rows = F.array(*[

@@ -154,8 +154,12 @@ def j13_build_diff(spark, sf_dir):
 def j14_orphan_boxes(spark, sf_dir):
     toks = table(spark, sf_dir, "page_toks").where("y0 is not null and doc_id is not null").select("tok_id", "doc_id", "page", F.col("y0").alias("ty")).distinct()
     lines = table(spark, sf_dir, "pdf_lines").where("y0 is not null and y1 is not null").select("doc_id", "page", "y0", "y1").distinct()
-    over = (toks.doc_id == lines.doc_id) & (toks.page == lines.page) & (F.least("y1", F.col("ty") + 10) - F.greatest("y0", "ty") > 4)
-    return toks.join(lines, over, "left_anti").select("tok_id").distinct()
+    # Both sides meet by the bands of 20 points that they reach, so a token only sees the lines at its height.
+    bands = lambda lo, hi: F.explode(F.sequence(F.floor(lo / 20), F.floor(F.greatest(lo, hi) / 20))).alias("band")
+    placed = toks.select("tok_id", "doc_id", "page", "ty", bands(F.col("ty"), F.col("ty") + 10))
+    tall = lines.where("y1 > y0").select("doc_id", "page", "y0", "y1", bands(F.col("y0"), F.col("y1")))
+    met = placed.join(tall, ["doc_id", "page", "band"]).where(F.least("y1", F.col("ty") + 10) - F.greatest("y0", "ty") > 4)
+    return toks.join(met.select("tok_id").distinct(), "tok_id", "left_anti").select("tok_id").distinct()
 
 
 @query(f"""SELECT p.doc_id, p.page, string_agg(s.group_id, ',' ORDER BY s.lo, s.group_id) AS groups, count(*) AS n FROM ({_PAGES}) p JOIN ({_SPANS}) s ON p.doc_id = s.doc_id AND p.page BETWEEN s.lo AND s.hi GROUP BY ALL""")

@@ -33,27 +33,6 @@ def boxes(spark, sf_dir):
     return rows.select("line_id", "doc_id", "page", "x0", "y0", "x1", "y1", "text").distinct()
 
 
-@query("SELECT doc_id, 'See https://a.org/x' || doc_id || '. Next ' || chr(10) || '24. Title' AS result FROM documents")
-def c04_urls(spark, sf_dir):
-    glued = F.concat(F.lit("See https:// a.org/x"), F.col("doc_id").cast("string"), F.lit(".Next \n24.Title"))
-    return docs(spark, sf_dir).select("doc_id", X.sanitize_urls(glued).alias("result"))
-
-
-@query("SELECT doc_id, 'https://a.org/p/' || doc_id || '.html' AS url, CASE doc_id % 3 WHEN 0 THEN ').' WHEN 1 THEN '**' ELSE ',' END AS trail FROM documents")
-def c05_peel_url(spark, sf_dir):
-    trail = F.when(F.col("doc_id") % 3 == 0, ").").when(F.col("doc_id") % 3 == 1, "**").otherwise(",")
-    token = F.concat(F.lit("https://a.org/p/"), F.col("doc_id").cast("string"), F.lit(".html"), trail)
-    return docs(spark, sf_dir).select("doc_id", R.peel_url(token).alias("p")).select("doc_id", "p.*")
-
-
-@query("SELECT id, title, 'Understanding written text' AS result FROM manifest_entries WHERE title IS NOT NULL")
-def c09_reversed_title(spark, sf_dir):
-    # A fixed backwards title beside every real one: the repair must restore it and leave the real titles' rows alone.
-    return table(spark, sf_dir, "manifest_entries").where("title is not null").select(
-        "id", "title", R.fix_reversed_title(F.lit("txet nettirw gnidnatsrednU")).alias("result")
-    )
-
-
 @query()
 def c09_titles(spark, sf_dir):
     rows = table(spark, sf_dir, "manifest_entries").where("title is not null")
@@ -65,23 +44,6 @@ def c10_clean_ids(spark, sf_dir):
     return table(spark, sf_dir, "span_groups").where("title is not null").select("doc_id", R.clean_id(F.col("group_id"), F.col("title")).alias("result"))
 
 
-@query("SELECT doc_id, unnest(['A1', 'A2', 'A2']) AS level, unnest(['Can ' || doc_id, 'Can more', 'Has all']) AS statement FROM documents")
-def c14_stacked_cells(spark, sf_dir):
-    left = F.split(F.lit("A1\nA2"), "\n")
-    right = F.split(F.concat(F.lit("Can "), F.col("doc_id").cast("string"), F.lit("\nCan more\nHas all")), "\n")
-    n = F.greatest(F.size(left), F.size(right))
-    pair = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.coalesce(F.get(left, i), F.element_at(left, -1)).alias("level"), F.coalesce(F.get(right, i), F.lit("")).alias("statement")))
-    return docs(spark, sf_dir).select("doc_id", F.explode(pair).alias("p")).select("doc_id", "p.*")
-
-
-@query(f"SELECT doc_id, group_id AS id, chr(10) || coalesce(title, '') || chr(10) AS body FROM (SELECT DISTINCT doc_id, group_id, max(title) AS title FROM ({_SPANS}) GROUP BY ALL)")
-def c17_artifact_bodies(spark, sf_dir):
-    one = spans(spark, sf_dir).groupBy("doc_id", "group_id").agg(F.max("title").alias("t"))
-    text = F.concat(F.lit("<!-- db:id="), F.col("group_id"), F.lit(" type=x -->\n"), F.coalesce("t", F.lit("")), F.lit("\n"))
-    built = one.groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_list(text)), "").alias("text"))
-    return built.select("doc_id", F.explode(X.artifact_bodies(F.col("text"))).alias("b")).select("doc_id", "b.id", "b.body")
-
-
 @query(r"""SELECT job_id, id, '## ' || regexp_extract(trim(title, ' '), '^(?i:(chapter|appendix) [0-9]+)') AS heading, trim(regexp_replace(trim(title, ' '), '^(?i:(chapter|appendix) [0-9]+)[: ]*', ''), ' ') AS body FROM manifest_entries WHERE regexp_matches(trim(title, ' '), '^(?i:(chapter|appendix) [0-9]+)')""")
 def c20_chapter_openings(spark, sf_dir):
     t, p = F.trim("title"), "^(?i:(chapter|appendix) [0-9]+)"
@@ -94,23 +56,6 @@ def c23_level_callouts(spark, sf_dir):
     return table(spark, sf_dir, "pdf_lines").select("line_id", F.regexp_replace("text", r"^(Level|At) ([A-CL][12]\+?),? ", "- **$2** ").alias("result"))
 
 
-@query("SELECT doc_id, 'ˈpeople adˎdress down·stairs | ˇyes' AS result FROM documents")
-def c24_tone_marks(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", R.tone_marks(F.concat(F.lit("'people ad,dress down.stairs I \"yes"), F.repeat(F.lit(" "), (F.col("doc_id") % 3).cast("int")))).alias("result"))
-
-
-@query("SELECT doc_id, 'preˈfer don''t we''ll ' || doc_id AS result FROM documents")
-def c26_midword(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", X.midword_high(F.concat(F.lit("pre'fer don't we'll "), F.col("doc_id").cast("string"))).alias("result"))
-
-
-@query(f"SELECT doc_id, group_id, 'TABLE' AS kind, lo AS num, 'Title ' || group_id AS title, hi AS page FROM ({_SPANS}) WHERE regexp_matches(group_id, '[a-z]$')")
-def c32_toc_parse(spark, sf_dir):
-    made = spans(spark, sf_dir).where(F.col("group_id").rlike("[a-z]$"))
-    line = F.concat(F.lit("Table "), F.col("lo").cast("string"), F.lit(" – Title "), F.col("group_id"), F.lit(" "), F.col("hi").cast("string"))
-    return made.select("doc_id", "group_id", X.figure_entry(line).alias("e")).select("doc_id", "group_id", "e.*")
-
-
 @query("SELECT job_id, id, CASE WHEN page IS NULL THEN trim(title, ' ') ELSE trim(title, ' ') || ' — ' || page END AS line FROM manifest_entries WHERE title IS NOT NULL")
 def c37_list_of_figures(spark, sf_dir):
     t = F.trim("title")
@@ -145,14 +90,6 @@ def c21_blockquotes(spark, sf_dir):
     return doc_lines(spark, sf_dir).select("doc_id", "line_no", F.when(t == "", ">").otherwise(F.concat(F.lit("> "), t)).alias("quoted"))
 
 
-@query("""SELECT tok_id, coalesce(b >= 0.75 AND g >= 0.70 AND r >= 0.70 AND b >= r - 0.05 AND NOT (r > 0.95 AND g > 0.95 AND b > 0.95), false) AS result
-FROM (SELECT tok_id, 0.7 + (x0 % 1) * 0.3 AS r, 0.7 + (y0 % 1) * 0.3 AS g, 0.7 + (size % 1) * 0.3 AS b FROM page_toks)""")
-def f15_fill(spark, sf_dir):
-    # The tables hold no colours; a token's numbers make one.
-    part = lambda c: F.lit(0.7) + (F.col(c) % 1) * F.lit(0.3)
-    return table(spark, sf_dir, "page_toks").select("tok_id", X.is_callout_fill(F.array(part("x0"), part("y0"), part("size"))).alias("result"))
-
-
 @query(f"""WITH l AS ({_LINES}) SELECT doc_id, count_if(regexp_matches(line, '(?i)chapter [0-9]+')) >= 3 OR max(length(line)) > 400 AS narrative FROM l GROUP BY doc_id""")
 def f16_narrative(spark, sf_dir):
     n = F.count_if(F.col("line").rlike("(?i)chapter [0-9]+"))

@@ -159,11 +159,6 @@ _CAPTION = r"^(\*\*)?(Figure|FIGURE|Table|TABLE) [0-9]+( [–-]|:|\.)? "
 add("f17_caption", "pdf_lines", "line_id", "text", lambda c: F.trim(c).rlike(_CAPTION), rf"regexp_matches(trim($c), '{_CAPTION}')")
 add("f20_tone_marks", "pdf_lines", "line_id", "text", lambda c: c.rlike("[ˇˎˏ·ˈˌˋˊ↗↘]"), "regexp_matches($c, '[ˇˎˏ·ˈˌˋˊ↗↘]')")
 add("f24_chapter_opener", "pdf_lines", "line_id", "text", lambda c: F.trim(c).rlike("^(?i:chapter|appendix) [0-9]+"), "regexp_matches(trim($c), '^(?i:chapter|appendix) [0-9]+')")
-add(
-    "c07_bold", "span_groups", "group_id", "title", lambda c: X.bold_normal(F.concat(F.lit("** "), c, F.lit("** and **"), c, F.lit("****!**"))),
-    "CASE WHEN trim($c) = '' THEN '** ' || $c || '** and **' || $c || '!**' ELSE ' ' || regexp_extract($c, '^([ \\t]*)', 1) || '**' || trim($c) || '**' || regexp_extract($c, '([ \\t]*)$', 1) || ' and ' || regexp_extract($c, '^([ \\t]*)', 1) || '**' || trim($c || '!') || '**' END",
-    where="title is not null and title not like '%*%' and trim(title) <> ''",
-)
 add("c08_reverse_line", "manifest_entries", "id", "title", lambda c: F.array_join(F.reverse(F.split(F.trim(c), " +")), " "), "array_to_string(list_reverse(regexp_split_to_array(trim($c), ' +')), ' ')")
 add(
     "c19_toc_entry", "manifest_entries", "id", "title", lambda c: X.toc_entry(c, F.col("page")),
@@ -216,14 +211,3 @@ add(
     "'<!-- db:id=' || group_id || ' type=' || coalesce(span_type, '') || ' product_tier=base,context pages=' || coalesce(start_page::VARCHAR, '') || ' -->' || chr(10) || '### ' || coalesce($c, '') || ' | ' || group_id || chr(10)",
     where="group_id is not null",
 )
-add(
-    "c11_escape_cell", "documents", "doc_id", "lang", lambda c: X.escape_cell(F.concat(c, F.lit(" | a\nb  c\nNew\n\nend"))),
-    r"$c || ' \| a b c<br>New<br>end'",
-    where="lang is not null",
-)
-add(
-    "c12_table_markdown", "chunks", "chunk_id", "path",
-    lambda c: X.table_markdown(F.array(F.array(F.lit("id"), F.lit("pages")), F.array(F.col("chunk_id"), F.col("start_page").cast("string")), F.array(F.lit("x")))),
-    "'| id | pages |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || chunk_id || ' | ' || coalesce(start_page::VARCHAR, '') || ' |' || chr(10) || '| x |  |'",
-    where="chunk_id is not null",
-)

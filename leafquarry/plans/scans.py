@@ -5,8 +5,6 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..session import table
-from ..sources import files
-from .scalars import _SCORE
 from .windows import _LINES, doc_lines
 
 QUERIES: dict = {}
@@ -23,19 +21,6 @@ def query(sql=None):
     return register
 
 
-def layout(spark, sf_dir):
-    """pdf_lines as layout pages: boxes of the lines as drawings, first words as link targets."""
-    rows = table(spark, sf_dir, "pdf_lines").where("text is not null and y0 is not null and x0 is not null and y1 is not null and x1 is not null and page is not null")
-    once = rows.select("line_id", "doc_id", "page", "y0", "x0", "y1", "x1", "text").distinct()
-    draw = F.struct("x0", "y0", "x1", "y1", F.lit(None).cast("array<double>").alias("fill"))
-    uri = F.concat(F.lit("https://a.org/"), F.lower(F.regexp_extract("text", "^([A-Za-z]+)", 1)))
-    link = F.struct(uri.alias("uri"), "y0", "x0", F.col("text").alias("anchor"))
-    return once.groupBy("doc_id", "page").agg(F.collect_list(draw).alias("drawings"), F.collect_list(link).alias("links"))
-
-
-_BOXES = "SELECT DISTINCT line_id, doc_id, page, y0, x0, y1, x1, text FROM pdf_lines WHERE text IS NOT NULL AND y0 IS NOT NULL AND x0 IS NOT NULL AND y1 IS NOT NULL AND x1 IS NOT NULL AND page IS NOT NULL"
-
-
 @query("SELECT line_id, extracted_at, s.font AS font, s.flags AS flags, s.size AS size, s.text AS text FROM (SELECT line_id, extracted_at, unnest(spans) AS s FROM pdf_lines)")
 def s01_span_rows(spark, sf_dir):
     rows = table(spark, sf_dir, "pdf_lines").select("line_id", "extracted_at", F.explode("spans").alias("s"))
@@ -51,28 +36,6 @@ def s02_tables(spark, sf_dir):
     return runs.groupBy("doc_id", "g").agg(F.min("line_no").alias("first_line"), F.count(F.lit(1)).alias("n_rows"), F.max(bars).alias("bars")).drop("g")
 
 
-@query(f"SELECT doc_id, page, count(*)::INTEGER AS n_drawings, count_if(x1 - x0 > (y1 - y0) * 3 AND x1 - x0 > 50)::INTEGER AS h_rules, count_if(y1 - y0 > (x1 - x0) * 3 AND y1 - y0 > 50)::INTEGER AS v_rules FROM (SELECT line_id, doc_id, page, least(x0, x1) AS x0, greatest(x0, x1) AS x1, least(y0, y1) AS y0, greatest(y0, y1) AS y1 FROM ({_BOXES})) GROUP BY ALL")
-def s03_drawing_rules(spark, sf_dir):
-    return files.drawing_rules(layout(spark, sf_dir))
-
-
-@query(f"SELECT doc_id, page, uri, string_agg(trim(text, ' '), ' ' ORDER BY y0, x0, text) AS anchor FROM (SELECT *, 'https://a.org/' || lower(regexp_extract(text, '^([A-Za-z]+)', 1)) AS uri FROM ({_BOXES})) GROUP BY ALL")
-def s04_page_links(spark, sf_dir):
-    return files.page_links(layout(spark, sf_dir))
-
-
-_READ = "SELECT doc_id, 0 AS angle, reverse(title) AS text FROM documents WHERE title IS NOT NULL UNION ALL SELECT doc_id, 90, title FROM documents WHERE title IS NOT NULL"
-
-
-@query(f"SELECT doc_id, angle::INTEGER AS angle, score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, angle) AS k FROM (SELECT doc_id, angle, {_SCORE.replace('$c', 'text')} AS score FROM ({_READ}))) WHERE k = 1")
-def s05_best_rotation(spark, sf_dir):
-    titles = table(spark, sf_dir, "documents").where("title is not null").select("doc_id", "title")
-    reads = titles.select("doc_id", F.lit(1).alias("page"), F.lit(0).alias("angle"), F.reverse("title").alias("text")).unionByName(
-        titles.select("doc_id", F.lit(1).alias("page"), F.lit(90).alias("angle"), F.col("title").alias("text"))
-    )
-    return files.best_rotation(reads).select("doc_id", "angle", "score")
-
-
 @query("SELECT job_id, snapshot_no, 'versions/' || CASE WHEN length(snapshot_no::VARCHAR) < 3 THEN lpad(snapshot_no::VARCHAR, 3, '0') ELSE snapshot_no::VARCHAR END AS path, count(*) AS records, max(snapshot_no) OVER (PARTITION BY job_id) + 1 AS next_version FROM manifest_entries WHERE job_id IS NOT NULL AND snapshot_no IS NOT NULL GROUP BY job_id, snapshot_no")
 def k06_versions(spark, sf_dir):
     rows = table(spark, sf_dir, "manifest_entries").where("job_id is not null and snapshot_no is not null")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,5 +26,12 @@ def cut(df: DataFrame) -> DataFrame:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None and not sc.master.startswith("local"):
             return df
-        sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "leafquarry-checkpoints"))
+        sc.setCheckpointDir(named or _own_folder())
     return df.checkpoint(eager=True)
+
+
+def _own_folder() -> str:
+    """A folder of this process on its own machine, gone when the process ends."""
+    made = tempfile.mkdtemp(prefix="leafquarry-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
+    return made

@@ -44,6 +44,7 @@ class PdfReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[InputPartition]:
+        # The files must be readable by the executors under the same path, as the reader library opens them itself.
         return [InputPartition(p) for p in sorted(glob.glob(self.path))]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:

@@ -10,7 +10,7 @@ STEP = dict(M.STEPS)
     [
         ("inline bullets and list runs", "Aims: one; f second aim; f third\n►first ► second", "Aims: one;\n- second aim;\n- third\n- first\n- second"),
         ("inline bullets and list runs", "a list:f**Bold**", "a list:\n\n- **Bold**"),
-        ("inline bullets and list runs", "- one; - two; f three;\nplain; - x", "- one\n- two\n- three\nplain\n- x"),
+        ("inline bullets and list runs", "- one; - two; f three;\nplain; - x", "- one\n- two\n- three\nplain;\n- x"),
         ("bold and section wraps", "under various\n\n**constraints** of\n\nSections\n\n5.1.1.3 and", "under various **constraints** of\n\nSections 5.1.1.3 and"),
         ("repeated lines", "a\na\n\n\nb\na", "a\n\n\nb\na"),
         ("repeated page markers", "<!-- page:1 -->\ntext\n<!-- page:1 -->\n<!-- page:2 -->", "<!-- page:1 -->\ntext\n<!-- page:2 -->"),

@@ -14,6 +14,7 @@ def test_same_look_same_form():
     assert fold_look("résumé") == "résumé" != fold_look("resume")
     assert fold_look("task‑based　level") == "task-based level"
     assert fold_look("устная речь") == fold_look("уcтнaя peчь")
+    assert fold_look("a\U0001d173b\U0001bca0c\u180ed") == "abcd" and fold_look("\u13aa\u13f4\u13df") == "GoC"[:0] + fold_look("\u13aa") + "BC"
     assert fold_look("Case") != fold_look("case")
     assert fold_look("a–b") != fold_look("a-b")
 
