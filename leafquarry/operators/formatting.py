@@ -25,7 +25,10 @@ ITEM = r"^(?:[-*•▪–·‣▶►] |[0-9]{1,3}[.)] )"
 MARKER = r"^<!--\s*page:([0-9]+)\s*-->$"
 CAPTION = r"^\*?Page \**[0-9]+\**\*?$"
 CAPS = r"^[A-Z0-9 ,:–\-/&()]+$"
-STARTER = r"^(?:#{1,6}\s|<!--|!\[|-{3,}\s*$|\||```|[-*] |>|[0-9]+\.\s|\*?Page \**[0-9]|\*\*[^*]+\*\*$|(?:C2|C1|B2\+?|B1\+?|A2\+?|A1\+?|Pre-A1)$)"
+STARTER = (
+    r"^(?:#{1,6}\s|<!--|!\[|-{3,}\s*$|\||```|[-*] |>|[0-9]+\.\s|\*?Page \**[0-9]|\*\*[^*]+\*\*$|(?:C2|C1|B2\+?|B1\+?|A2\+?|A1\+?|Pre-A1)$"
+    r"|(?:CHAPTER|APPENDIX|FIGURE|TABLE)\s+[0-9]|FOREWORD|PREFACE|CONTENTS$|LIST OF |[0-9]+(?:\.[0-9]+)+\.\s+[A-Z])"
+)
 SENTENCE_END = r"[.!?;:)\]\"']\s*$"
 CONTENTS_PAGES = 10  # the contents end at this page at the latest
 
@@ -53,7 +56,7 @@ def _is(pattern: str, c: str = "line") -> Column:
 
 def on_prose(fn: Callable[[Column], Column]) -> Step:
     """A step that rewrites every line outside fences."""
-    return lambda df: df.withColumn("line", F.when(F.col("fenced"), F.col("line")).otherwise(fn(F.col("line"))))
+    return lambda df: df.withColumn("line", F.when(F.col("fenced"), F.col("line")).otherwise(F.transform(F.array("line"), fn)[0]))
 
 
 def _parted(fn: Callable[[Column], Column]) -> Callable[[Column], Column]:
@@ -158,7 +161,8 @@ def join_wraps(df: DataFrame) -> DataFrame:
     prose = lambda c: ~_is(STARTER, c) & ~_is(ITEM, c)
     title = (F.length(F.trim("_p")) < 60) & _is(CAPS, "_p")
     runs_on = F.col("line").rlike(r"^\s*\p{Ll}") | ~F.col("_p").rlike(SENTENCE_END)
-    return joined_to_previous(df, (F.col("gap") == 0) & prose("_p") & prose("line") & runs_on & ~title & ~_is(CAPS))
+    entry = F.col("_p").rlike(r" — [0-9]+\s*$")  # of a table of contents
+    return joined_to_previous(df, (F.col("gap") == 0) & prose("_p") & prose("line") & runs_on & ~title & ~entry & ~_is(CAPS))
 
 
 def _led_by(df: DataFrame, own: Column, tail: Column) -> DataFrame:
@@ -198,22 +202,30 @@ def named_sections(line: Column) -> Column:
     return F.when(s == "FOREWORD", "## Foreword").when(s == "PREFACE WITH ACKNOWLEDGEMENTS", "## Preface with acknowledgements").otherwise(line)
 
 
+def _contents() -> tuple[Column, Column]:
+    """Whether a line is the contents' heading, and whether it stands in them."""
+    head = F.trim("line").isin("## Contents", "CONTENTS") & ~F.col("fenced")
+    page = F.regexp_extract(F.trim("line"), MARKER, 1).try_cast("int")
+    event = F.when(head, 1).when(page >= CONTENTS_PAGES, 0)
+    return head, F.coalesce(F.last(event, True).over(_doc().rowsBetween(*SO_FAR)), F.lit(0)) == 1
+
+
 def format_contents(df: DataFrame) -> DataFrame:
     """Entries between the contents' heading and the marker of a page from CONTENTS_PAGES on, formatted one by one.
 
     Blank lines go there; an entry behind one that ends with a colon, or that starts with a bracket, is its second line.
     """
-    head = F.trim("line").isin("## Contents", "CONTENTS") & ~F.col("fenced")
-    page = F.regexp_extract(F.trim("line"), MARKER, 1).try_cast("int")
-    zone = F.coalesce(F.last(F.when(head, 1).when(page >= CONTENTS_PAGES, 0), True).over(_doc().rowsBetween(*SO_FAR)), F.lit(0)) == 1
+    head, zone = _contents()
     entry = zone & ~head & ~_is(MARKER) & ~_is(CAPTION) & ~F.col("fenced")
     seen = df.withColumn("_e", entry).withColumn("_2", F.lag("_e").over(_doc()))
     second = F.col("_e") & F.col("_2") & (F.col("_p").rlike(r":\s*(?: — [0-9]+)?$") | _is(r"^(?:- |#+ )?\("))
     merged = joined_to_previous(seen.withColumn("line", F.when(F.col("_e"), F.regexp_replace("line", r"^\s*(?:- |#+ )(?=\()", "")).otherwise(F.col("line"))), second)
     whole = merged.withColumn("_e", entry).withColumn("_h", head)
     split = X.toc_title_page(F.regexp_replace("line", r" — ([0-9]+) (\(.*)$", " $2 — $1"))
-    line = F.when(F.col("_e"), X.toc_entry(split["title"], split["page"])).when(F.col("_h"), "## Contents").otherwise(F.col("line"))
-    return _plain(whole.withColumn("line", line).withColumn("gap", F.when(F.col("_e"), 0).otherwise(F.col("gap"))))
+    made = F.transform(F.array(split), lambda x: X.toc_entry(x["title"], x["page"]))[0]
+    line = F.when(F.col("_e"), made).when(F.col("_h"), "## Contents").otherwise(F.col("line"))
+    gap = F.when(F.col("_e"), F.when(F.lag("_h").over(_doc()), 1).otherwise(0)).otherwise(F.col("gap"))
+    return _plain(whole.withColumn("_gap", gap).withColumn("line", line).withColumn("gap", F.col("_gap")))
 
 
 def split_trailing_captions(line: Column) -> Column:
@@ -257,10 +269,13 @@ def chapter_openings(df: DataFrame) -> DataFrame:
 
 
 def space_headings(df: DataFrame) -> DataFrame:
-    """A blank line before and after headings that stand against text; a chapter keeps its title right under it."""
+    """A blank line before and after headings that stand against text; a chapter keeps its title right under it, and the
+    entries of the contents stay together."""
+    first, zone = _contents()
+    seen = df.withColumn("_z", zone & ~first)
     head = F.col("line").startswith("#")
     title = _is(r"^## Chapter [0-9]+$") & _is(CAPS, "_n")
-    return with_blanks(df, head, head & ~F.col("_n").startswith("#") & ~title)
+    return with_blanks(seen, head & ~F.col("_z"), head & ~F.col("_z") & ~F.col("_n").startswith("#") & ~title)
 
 
 def level_callouts(df: DataFrame) -> DataFrame:
@@ -396,3 +411,34 @@ def format_documents(docs: DataFrame, steps: Sequence[tuple[str, Step]] = STEPS)
     for _, step in steps:
         made = made.transform(step)
     return texts_of(made)
+
+
+PAGE_STEPS = ("soft wraps", "bullets", "list repair", "paragraph spacing", "heading spacing", "labels under pictures", "blank runs")
+
+
+def page_markdown(lines: DataFrame, taller: float = 1.5) -> DataFrame:
+    """Markdown of pages from their layout lines: doc_id, page, markdown.
+
+    lines: doc_id, page, line_no, text, size; blank texts part paragraphs. A line is a heading if it is numbered, all
+    capitals, or `taller` points above the median size of its document, which is its depth too; a figure's caption
+    becomes the figure's picture, under which short labels go; items, wraps and hyphens at line ends are repaired as
+    in the format order. Pages are told apart by their number, null included; a page without text has no row.
+    """
+    body = lines.groupBy("doc_id").agg(F.percentile_approx("size", 0.5).alias("_body"))
+    t = F.trim("text")
+    number = F.regexp_extract(t, r"^([0-9]+(?:\.[0-9]+)+)\.?\s+\p{Lu}", 1)
+    depth = F.least(F.size(F.split(number, r"\.")) + 1, F.lit(4))
+    tall = F.coalesce(F.col("size") >= F.col("_body") + taller, F.lit(False)) & (F.length(t) <= 90)
+    figure = F.concat(F.lit("!["), F.regexp_replace(t, r"[\[\]*]", ""), F.lit("](assets/figures/figure_"), F.lpad(F.regexp_extract(t, "([0-9]+)", 1), 2, "0"), F.lit(".png)"))
+    capitals = t.rlike(r"^[A-Z][A-Z ,&-]{3,}$")
+    line = F.when(X.is_caption(t), figure).when(number != "", F.concat(F.repeat(F.lit("#"), depth), F.lit(" "), t)).when(tall | capitals, F.concat(F.lit("## "), t)).otherwise(F.rtrim("text"))
+    keyed = lines.where("text is not null").join(body, "doc_id", "left").select("doc_id", "page", "line_no", line.alias("line"))
+    rows = keyed.select(F.to_json(F.struct("doc_id", "page")).alias("doc_id"), "line_no", "line", F.lit(False).alias("alone"))
+    made = with_gaps(rows)
+    for name, step in STEPS:
+        if name in PAGE_STEPS:
+            made = made.transform(step)
+    made = with_blanks(made, _is(r"^!\["), F.lit(False))
+    key = F.from_json("doc_id", "doc_id string, page int")
+    texts = texts_of(made).select(key.alias("k"), X.join_hyphens(F.col("text")).alias("markdown"))
+    return texts.select("k.doc_id", "k.page", "markdown")

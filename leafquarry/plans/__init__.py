@@ -8,7 +8,7 @@ ORACLE_TYPES = [
     ("INTEGER", {
         "v07_adjacent": ("heading_after_heading", "page_footers", "wide_gaps"), "v10_chunk_validator": ("assets", "ids"), "d04_mixed_order": ("seq",),
         "g16_argmax": ("n",), "t01_reading_sort": ("n",), "t03_longest_first": ("n",), "e03_shared_words": ("shared",), "c40_dual_prose": ("line_no",),
-        "c21_blockquotes": ("line_no",), "v18_first_difference": ("at",), "c18_heading_depth": ("result",), "g04_measurable_chars": ("result",),
+        "v18_first_difference": ("at",), "c18_heading_depth": ("result",), "g04_measurable_chars": ("result",),
         "c35_first_match_line": ("result",), "c28_header_variants": ("result",), "s06_text_lines": ("line_no",),
         "s07_whole_texts": ("bytes",), "s08_json_sidecars": ("n_levels",), "w06_column_order": ("reading_no",), "w11_span_roles": ("page",),
         "w17_first_rows": ("line_no",), "w24_context": ("line_no",), "j05_as_of_backward": ("line_no",), "j06_as_of_forward": ("line_no",),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import repairs as R
 from ..functions import text as X
 from ..operators import gates as G
+from ..operators.formatting import STEPS, format_documents, page_markdown
 from ..operators.issues import text_gates
 from ..sources import files
 from ..session import table
@@ -64,6 +65,29 @@ add("f17_captions", lambda c: X.is_caption(c).cast("string"))
 add("f24_chapter_openers", lambda c: X.is_chapter_opener(c).cast("string"))
 
 
+def add_steps(name, *steps):
+    """A query of format steps (all in order where none is named) over the cases of an operator."""
+    chosen = [step for step in STEPS if step[0] in steps] if steps else STEPS
+    rows = [(n, _text(c["input"]), _text(c["want"])) for n, c in enumerate(CASES[name], 1)]
+
+    def query(spark, sf_dir):
+        docs = spark.createDataFrame([r[:2] for r in rows], "doc_id int, text string")
+        return format_documents(docs, chosen).select(F.col("doc_id").alias("case_no"), F.col("text").alias("result"))
+
+    QUERIES[name] = query
+    SQL[name] = "SELECT * FROM (VALUES " + ", ".join(f"({n}::INTEGER, {_literal(w)})" for n, _, w in rows) + ") AS t(case_no, result)"
+
+
+add_steps("c20_chapter_openings", "chapter openings")
+add_steps("c21_blockquotes", "leads glued to lists, collapsed quotes, web addresses and footnotes", "repeated box titles")
+add_steps("c23_level_callouts", "level callouts")
+add_steps("w02_page_markers", "repeated page markers")
+add_steps("w18_sections", "sections behind markers")
+add_steps("w19_page_captions", "page blocks")
+add_steps("w22_labels", "labels under pictures")
+add_steps("d10_whole_order")
+
+
 def _pages(spark, op, schema):
     rows = [(json.dumps(x, ensure_ascii=False),) for c in CASES[op] for x in (c["input"] if isinstance(c["input"], list) else [c["input"]])]
     return spark.createDataFrame(rows, "j string").select(F.from_json("j", schema).alias("j")).select("j.*")
@@ -110,6 +134,11 @@ def v10_chunks(spark, sf_dir):
     return G.chunk_issues(docs, assets).select("check", "doc_id", "detail")
 
 
+@relation("d09_layout_pages", {"doc_id": "VARCHAR", "page": "INTEGER", "markdown": "VARCHAR"})
+def d09_layout_pages(spark, sf_dir):
+    return page_markdown(_pages(spark, "d09_layout_pages", "doc_id string, page int, line_no int, text string, size double"))
+
+
 @relation("s02_page_tables", {"doc_id": "VARCHAR", "page": "INTEGER", "table_index": "INTEGER", "rows": "VARCHAR"})
 def s02_page_tables(spark, sf_dir):
     made = files.page_tables(_pages(spark, "s02_page_tables", files.LAYOUT))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import repairs as R
 from ..functions import text as X
 from ..operators import lines as L
-from ..operators.formatting import collapse_blanks, format_documents, page_blocks
+from ..operators.formatting import collapse_blanks, format_documents, page_blocks, page_markdown
 from ..session import table
 from .windows import _LINES, _SPANS, doc_lines, spans
 
@@ -44,18 +44,6 @@ def c10_clean_ids(spark, sf_dir):
     return table(spark, sf_dir, "span_groups").where("title is not null").select("doc_id", R.clean_id(F.col("group_id"), F.col("title")).alias("result"))
 
 
-@query(r"""SELECT job_id, id, '## ' || regexp_extract(trim(title, ' '), '^(?i:(chapter|appendix) [0-9]+)') AS heading, trim(regexp_replace(trim(title, ' '), '^(?i:(chapter|appendix) [0-9]+)[: ]*', ''), ' ') AS body FROM manifest_entries WHERE regexp_matches(trim(title, ' '), '^(?i:(chapter|appendix) [0-9]+)')""")
-def c20_chapter_openings(spark, sf_dir):
-    t, p = F.trim("title"), "^(?i:(chapter|appendix) [0-9]+)"
-    rows = table(spark, sf_dir, "manifest_entries").where(t.rlike(p))
-    return rows.select("job_id", "id", F.concat(F.lit("## "), F.regexp_extract(t, p, 0)).alias("heading"), F.trim(F.regexp_replace(t, p + "[: ]*", "")).alias("body"))
-
-
-@query(r"SELECT line_id, regexp_replace(text, '^(Level|At) ([A-CL][12]\+?),? ', '- **\2** ') AS result FROM pdf_lines")
-def c23_level_callouts(spark, sf_dir):
-    return table(spark, sf_dir, "pdf_lines").select("line_id", F.regexp_replace("text", r"^(Level|At) ([A-CL][12]\+?),? ", "- **$2** ").alias("result"))
-
-
 @query("SELECT job_id, id, CASE WHEN page IS NULL THEN trim(title, ' ') ELSE trim(title, ' ') || ' — ' || page END AS line FROM manifest_entries WHERE title IS NOT NULL")
 def c37_list_of_figures(spark, sf_dir):
     t = F.trim("title")
@@ -84,12 +72,6 @@ def c41_page_replace(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", "text").join(new, "doc_id", "left").select("doc_id", F.coalesce("new", "text").alias("text"))
 
 
-@query(f"SELECT doc_id, line_no, CASE WHEN trim(line, ' ') = '' THEN '>' ELSE '> ' || trim(line, ' ') END AS quoted FROM ({_LINES})")
-def c21_blockquotes(spark, sf_dir):
-    t = F.trim("line")
-    return doc_lines(spark, sf_dir).select("doc_id", "line_no", F.when(t == "", ">").otherwise(F.concat(F.lit("> "), t)).alias("quoted"))
-
-
 @query(f"""WITH l AS ({_LINES}) SELECT doc_id, count_if(regexp_matches(line, '(?i)chapter [0-9]+')) >= 3 OR max(length(line)) > 400 AS narrative FROM l GROUP BY doc_id""")
 def f16_narrative(spark, sf_dir):
     n = F.count_if(F.col("line").rlike("(?i)chapter [0-9]+"))
@@ -145,17 +127,17 @@ def w21_bands(spark, sf_dir):
 
 @query()
 def d03_figure_page(spark, sf_dir):
-    return w12_reading_order(spark, sf_dir).join(boxes(spark, sf_dir).select("line_id", "text"), "line_id").groupBy("doc_id", "page").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"]), "\n").alias("body")
-    )
+    """The elements of a page in reading order, captions as their pictures and without the labels under these."""
+    texts = boxes(spark, sf_dir).select("line_id", "text")
+    ordered = w12_reading_order(spark, sf_dir).join(texts, "line_id").select("doc_id", "page", F.col("seq").alias("line_no"), "text", F.lit(None).cast("double").alias("size"))
+    return page_markdown(ordered)
 
 
 @query()
 def d09_page_markdown(spark, sf_dir):
-    heading = F.trim("text").rlike("^[A-Z][A-Z ,&-]{3,}$")
-    rows = table(spark, sf_dir, "pdf_lines").where("text is not null").select("line_id", "doc_id", "page", "line_no", X.bullet_line(F.col("text")).alias("text")).distinct()
-    made = rows.withColumn("text", F.when(heading, F.concat(F.lit("## "), F.initcap("text"))).otherwise(F.col("text")))
-    return made.groupBy("doc_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line_id", "text"))), lambda x: x["text"]), "\n").alias("markdown"))
+    size = F.get("spans", F.lit(0))["size"]
+    rows = table(spark, sf_dir, "pdf_lines").where("text is not null").select("line_id", "doc_id", "page", "line_no", "text", size.alias("size")).distinct()
+    return page_markdown(rows)
 
 
 @query()

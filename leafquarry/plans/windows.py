@@ -64,14 +64,24 @@ def w03_gap_paragraphs(spark, sf_dir):
     return L.gap_paragraphs(layout(spark, sf_dir), ["doc_id", "page"], "y0", "text", ["line_no", "line_id"])
 
 
-@query()
+def _merged_rows(tolerance: float, middle: float) -> str:
+    """Rows anchored on their first fragment, by recursion over the fragments of a page in order."""
+    return f"""WITH RECURSIVE t AS (SELECT DISTINCT tok_id, doc_id, page, y0, x0, text FROM page_toks WHERE y0 IS NOT NULL AND text IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page ORDER BY y0, x0 NULLS FIRST, text) AS k FROM t),
+f AS (SELECT doc_id, page, k, y0, x0, text, y0 AS top FROM r WHERE k = 1 UNION ALL
+  SELECT r.doc_id, r.page, r.k, r.y0, r.x0, r.text, CASE WHEN r.y0 - f.top <= {tolerance} THEN f.top ELSE r.y0 END FROM f JOIN r ON r.doc_id IS NOT DISTINCT FROM f.doc_id AND r.page IS NOT DISTINCT FROM f.page AND r.k = f.k + 1)
+SELECT doc_id, page, first(y0 ORDER BY x0, y0, text) AS y, min(x0) AS x, coalesce(string_agg(trim(text, ' '), ' ' ORDER BY x0, y0, text) FILTER (WHERE trim(text, ' ') <> ''), '') AS text
+FROM f WHERE x0 IS NOT NULL GROUP BY doc_id, page, top, x0 < {middle}"""
+
+
+@query(_merged_rows(3.0, 595 * 0.48))
 def w04_same_row(spark, sf_dir):
     toks = table(spark, sf_dir, "page_toks").where("y0 is not null and text is not null").select("tok_id", "doc_id", "page", "y0", "x0", "text").distinct()
     pages = toks.groupBy("doc_id", "page").agg(F.collect_list(F.struct(F.col("y0").alias("y"), F.col("x0").alias("x"), "text")).alias("e"))
     return pages.select("doc_id", "page", F.explode(L.merge_same_row(F.col("e"), 3.0, 595 * 0.48)).alias("r")).select("doc_id", "page", "r.*")
 
 
-@query()
+@query(_merged_rows(7.0, 595 * 0.82))
 def w05_toc_bands(spark, sf_dir):
     toks = table(spark, sf_dir, "page_toks").where("y0 is not null and text is not null").select("tok_id", "doc_id", "page", "y0", "x0", "text").distinct()
     pages = toks.groupBy("doc_id", "page").agg(F.collect_list(F.struct(F.col("y0").alias("y"), F.col("x0").alias("x"), "text")).alias("e"))
@@ -109,7 +119,10 @@ def w08_span_chains(spark, sf_dir):
     return L.merge_chains(spans(spark, sf_dir), ["doc_id", "span_type"]).select("doc_id", "span_type", "lo", "hi", "n")
 
 
-@query()
+@query(f"""WITH s AS (SELECT doc_id, span_type, lo, hi, title, max(hi) OVER (PARTITION BY doc_id, span_type ORDER BY lo, hi, title NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM ({_SPANS})),
+i AS (SELECT *, sum(CASE WHEN r IS NULL OR lo > r + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, span_type ORDER BY lo, hi, title NULLS FIRST ROWS UNBOUNDED PRECEDING) AS i FROM s)
+SELECT doc_id, span_type, min(lo)::INTEGER AS lo, max(hi)::INTEGER AS hi, list_reduce(list({{'lo': lo, 'hi': hi, 'title': title}} ORDER BY lo, hi, title NULLS FIRST),
+  lambda a, x: {{'lo': least(a.lo, x.lo), 'hi': greatest(a.hi, x.hi), 'title': CASE WHEN a.hi - a.lo >= x.hi - x.lo THEN a.title ELSE x.title END}}).title AS title, count(*) AS n FROM i GROUP BY doc_id, span_type, i""")
 def w08_chain_titles(spark, sf_dir):
     return L.merge_chains(spans(spark, sf_dir), ["doc_id", "span_type"])
 
@@ -254,7 +267,11 @@ def c22_fences(spark, sf_dir):
     return rows.groupBy("doc_id").agg(F.count_if((F.col("f") % 2 == 1) | mark).alias("fenced"), F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(f"""WITH RECURSIVE j AS (SELECT id AS doc, max(source.expected_page_count) AS pages FROM jobs GROUP BY id),
+s AS (SELECT doc_id AS doc, list_sort(list(DISTINCT {{'lo': lo, 'hi': hi}})) AS spans FROM ({_SPANS}) WHERE span_type IN ('continuation', 'section_block') OR (span_type = 'series' AND hi - lo + 1 >= 10) GROUP BY doc_id),
+c AS (SELECT j.doc, j.pages, s.spans, 0 AS chunk_no, 0 AS lo, 0 AS hi FROM j LEFT JOIN s ON j.doc = s.doc WHERE j.pages IS NOT NULL UNION ALL
+  SELECT doc, pages, spans, chunk_no + 1, hi + 1, least(coalesce(list_filter(spans, lambda x: x.lo <= least(hi + 25, pages) AND least(hi + 25, pages) < x.hi)[1].hi, least(hi + 25, pages)), pages) FROM c WHERE hi < pages)
+SELECT doc, chunk_no, lo, hi FROM c WHERE chunk_no > 0""")
 def g06_chunk_ranges(spark, sf_dir):
     jobs = table(spark, sf_dir, "jobs").select(F.col("id").alias("doc"), F.col("source.expected_page_count").alias("pages")).groupBy("doc").agg(F.max("pages").alias("pages"))
     safe = spans(spark, sf_dir).where("span_type in ('continuation', 'section_block') or (span_type = 'series' and hi - lo + 1 >= 10)")

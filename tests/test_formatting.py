@@ -20,7 +20,7 @@ STEP = dict(M.STEPS)
         ("list repair", "- an item.\n\n- next.\n\nA paragraph of its own.", "- an item.\n- next.\n\nA paragraph of its own."),
         ("footnotes are no headings", "### 14. Title\n### 3.1. Title", "14. Title\n### 3.1. Title"),
         ("headings", "CHAPTER 2: Aims\n3.1.1. Oral\n# 3.1. x", "## CHAPTER 2: Aims\n#### 3.1.1. Oral\n# 3.1. x"),
-        ("contents", "CONTENTS\n\nFOREWORD — 7\n\nAppendix 1: \n(a scale) — 9\n2.1. Aims — 12\n<!-- page:3 -->\nFIGURE 3 — 4\n<!-- page:12 -->\nFOREWORD — 7", "## Contents\n## Foreword — 7\n## Appendix 1: (a scale) — 9\n### 2.1. Aims — 12\n<!-- page:3 -->\n### FIGURE 3 — 4\n<!-- page:12 -->\nFOREWORD — 7"),
+        ("contents", "CONTENTS\n\nFOREWORD — 7\n\nAppendix 1: \n(a scale) — 9\n2.1. Aims — 12\n<!-- page:3 -->\nFIGURE 3 — 4\n<!-- page:12 -->\nFOREWORD — 7", "## Contents\n\n## Foreword — 7\n## Appendix 1: (a scale) — 9\n### 2.1. Aims — 12\n<!-- page:3 -->\n### FIGURE 3 — 4\n<!-- page:12 -->\nFOREWORD — 7"),
         ("named sections", "FOREWORD\nPREFACE WITH ACKNOWLEDGEMENTS\nforeword", "## Foreword\n## Preface with acknowledgements\nforeword"),
         ("trailing captions", "see 14. Page **21**\nPage **22**", "see 14.\n\nPage **21**\nPage **22**"),
         ("sections behind markers", "### 3.1. RECEPTION\n<!-- page:47 -->\n\n#### 3.1.1. Oral", "<!-- page:47 -->\n### 3.1. RECEPTION\n\n#### 3.1.1. Oral"),
@@ -56,3 +56,17 @@ def test_documents_stay_apart_and_nulls_go(spark):
     docs = spark.createDataFrame([(1, "Chapter 1"), (2, "TITLE\n- a"), (3, None), (4, "")], "doc_id int, text string")
     got = {r.doc_id: r.text for r in M.format_documents(docs).collect()}
     assert got == {1: "## Chapter 1", 2: "TITLE\n- a", 4: ""}
+
+
+def test_pages_from_layout_lines(spark):
+    rows = [
+        ("d", 1, 1, "3.1. Reception activities", 10.5), ("d", 1, 2, "Readers com-", 10.5), ("d", 1, 3, "pare two versions", 10.5), ("d", 1, 4, "and notice.", 10.5), ("d", 1, 5, "", None),
+        ("d", 1, 6, "• one item that", 10.5), ("d", 1, 7, "runs on", 10.5), ("d", 1, 8, "• two", 10.5), ("d", 2, 1, "A tall line", 14.0), ("d", 2, 2, "Text of it.", 10.5),
+        ("d", 2, 3, "Figure 3 – The tree", 10.5), ("d", 2, 4, "Short label", 10.5), ("d", 2, 5, "KEY ASPECTS", 10.5), ("d", None, 1, "no page", 10.5), ("d", 3, 1, None, 10.5),
+    ]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id string, page int, line_no int, text string, size double, line string")
+    got = {r.page: r.markdown for r in M.page_markdown(df).collect()}
+    assert got == {
+        1: "### 3.1. Reception activities\n\nReaders compare two versions and notice.\n\n- one item that runs on\n- two", None: "no page",
+        2: "## A tall line\n\nText of it.\n\n![Figure 3 – The tree](assets/figures/figure_03.png)\n\n## KEY ASPECTS",
+    }
