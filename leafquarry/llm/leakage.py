@@ -175,10 +175,23 @@ def reach(a: list[str], b: list[str], most: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def evidence(said: list[str], item: list[str], diagonals: list[int], vocabulary: Vocabulary) -> tuple | None:
-    """How an item leaked into a text (words in their case): kind, run, words, edits, slots replaced alike; or None."""
-    words, meant = [w.casefold() for w in said], [w.casefold() for w in item]
-    return _check(words, meant, diagonals) or _refilled(words, meant, vocabulary.code(said), vocabulary.code(item), diagonals)
+class Side:
+    """The words of a text as they are compared, and the codes of its template, worked out when asked for."""
+
+    def __init__(self, text: str, vocabulary: Vocabulary) -> None:
+        self.parts, self.vocabulary, self._codes = _parts(text), vocabulary, None
+        self.words = [w.casefold() for w in self.parts]
+
+    @property
+    def codes(self) -> list[int]:
+        if self._codes is None:
+            self._codes = self.vocabulary.code(self.parts).tolist()
+        return self._codes
+
+
+def evidence(said: Side, item: Side, diagonals: list[int]) -> tuple | None:
+    """How an item leaked into a text: kind, run, words, edits, slots replaced alike; or None."""
+    return _check(said.words, item.words, diagonals) or _refilled(said, item, diagonals)
 
 
 def _check(words: list[str], item: list[str], diagonals: list[int]) -> tuple | None:
@@ -206,11 +219,11 @@ def _check(words: list[str], item: list[str], diagonals: list[int]) -> tuple | N
     return "altered", run, best[0], best[1], _slots_consistent(best[2], best[3])
 
 
-def _refilled(words: list[str], item: list[str], coded: np.ndarray, meant: np.ndarray, diagonals: list[int]) -> tuple | None:
+def _refilled(said: Side, meant: Side, diagonals: list[int]) -> tuple | None:
     """Evidence by the template: a long run of equal template words whose slots were refilled one to one."""
-    best = None
-    for n, i, j in equal_runs(coded.tolist(), meant.tolist(), sorted(diagonals), TEMPLATE_WORDS):
-        slots = [k for k in range(n) if 0 < meant[j - n + k] < 10]
+    best, words, item, codes = None, said.words, meant.words, meant.codes
+    for n, i, j in equal_runs(said.codes, codes, sorted(diagonals), TEMPLATE_WORDS):
+        slots = [k for k in range(n) if 0 < codes[j - n + k] < 10]
         pairs = {(item[j - n + k], words[i - n + k]) for k in slots}
         changed = sum(item[j - n + k] != words[i - n + k] for k in slots)
         one_to_one = len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs})
@@ -271,13 +284,16 @@ def _block_leaks(texts: DataFrame, items: DataFrame, slots: bool) -> DataFrame:
     shown = texts.join(asked, ["doc_id", "copy"]).select("doc_id", "item_id", "text", "item", "ds")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[str, list[str]] = ("", [])
+        held: tuple[str | None, Side | None] = (None, None)
+        meant: dict[str, Side] = {}  # of the items of one block
         for batch in batches:
             out = []
             for doc_id, item_id, text, item, ds in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held[0] != text:
-                    held = (text, _parts(text))
-                if made := evidence(held[1], _parts(item), ds, vocabulary.value):
+                    held = (text, Side(text, vocabulary.value))
+                if item not in meant:
+                    meant[item] = Side(item, vocabulary.value)
+                if made := evidence(held[1], meant[item], ds):
                     out.append((doc_id, item_id, *made))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _FOUND, strict=True)], schema=_FOUND)

@@ -81,7 +81,7 @@ def test_against_brute_force(seed):
         (h, at), (g, by) = (K.windows(known.code(w), w) for w in (words, item))
         diagonals = [p - q for x, p in zip(h, at) for y, q in zip(g, by) if x == y]
         twice = sorted({int(d) for d in diagonals if diagonals.count(d) >= 2})
-        made = K.evidence(words, item, twice, known)
+        made = K.evidence(K.Side(" ".join(words), known), K.Side(" ".join(item), known), twice)
         assert (made is not None and made[0] != "refilled") == brute(words, item)
 
 
