@@ -231,23 +231,25 @@ def repeats(text: Column) -> Column:
     return marks | _once(words, _few_pairs)
 
 
-def kind_of(text: Column) -> Column:
-    """Struct (kind, reasons, share): prose, list, table or junk, the line rules that more than a tenth of the
-    characters fail, and the kind's share of the characters. Null for null and blank texts."""
-    spaced = F.translate(F.translate(text, _SPACES, " " * len(_SPACES)), _BREAKS, "\n" * len(_BREAKS))
+def _judged(spaced: Column) -> Column:
+    """kind_of a text with plain spaces and line ends."""
     lines = F.filter(F.split(spaced, "\n"), lambda x: x.rlike(r"\S"))
-    sums = F.transform(F.array(line_shares(lines)), lambda s: F.struct(
-        *[(s[k] / F.greatest(F.lit(1), reduce(lambda a, b: a + b, [s[j] for j in _SUMS]))).alias(k) for k in _SUMS]
-    ))
+    total = lambda s: F.greatest(F.lit(1), reduce(lambda a, b: a + b, [s[j] for j in _SUMS]))
+    shares = _once(line_shares(lines), lambda s: F.struct(*[(s[k] / total(s)).alias(k) for k in _SUMS]))
     of = lambda s, kind: reduce(lambda a, b: a + b, [s[k] for k, v in LINE_RULES.items() if v == kind])
-    said = lambda s: F.struct(*[of(s, k).alias(k) for k in KINDS], s["prose"].alias("prose"), F.filter(
-        F.array(*[F.when(s[k] > 0.1, F.lit(k)) for k in LINE_RULES]), lambda r: r.isNotNull()
-    ).alias("reasons"))
+    reasons = lambda s: F.filter(F.array(*[F.when(s[k] > 0.1, F.lit(k)) for k in LINE_RULES]), lambda r: r.isNotNull())
+    said = lambda s: F.struct(*[of(s, k).alias(k) for k in KINDS], s["prose"].alias("prose"), reasons(s).alias("reasons"))
     top = lambda s: F.when(s["prose"] >= 0.5, "prose").when((s["table"] >= s["list"]) & (s["table"] >= s["junk"]), "table").when(s["list"] >= s["junk"], "list").otherwise("junk")
     share = lambda s: F.when(s["prose"] >= 0.5, s["prose"]).otherwise(F.greatest(*[s[k] for k in KINDS]))
-    judged = F.transform(F.transform(sums, said), lambda s: F.struct(top(s).alias("kind"), s["reasons"], F.round(share(s), 6).alias("share")))[0]
+    judged = _once(_once(shares, said), lambda s: F.struct(top(s).alias("kind"), s["reasons"], F.round(share(s), 6).alias("share")))
     repeated = F.struct(F.lit("junk").alias("kind"), F.array(F.lit("repetition")).alias("reasons"), F.lit(1.0).alias("share"))
-    return F.when(text.isNull() | ~spaced.rlike(r"\S"), None).when(repeats(spaced), repeated).otherwise(judged)
+    return F.when(spaced.isNull() | ~spaced.rlike(r"\S"), None).when(repeats(spaced), repeated).otherwise(judged)
+
+
+def kind_of(text: Column) -> Column:
+    """Struct (kind, reasons, share): prose, list, table or junk, the line rules that more than a tenth of the
+    characters fail, and the kind's share of the characters. Null for null and blank texts."""
+    return _once(F.translate(text, _SPACES + _BREAKS, " " * len(_SPACES) + "\n" * len(_BREAKS)), _judged)
 
 
 def failed_rules(df: DataFrame) -> DataFrame:
