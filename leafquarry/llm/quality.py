@@ -68,11 +68,10 @@ def _many(x: Column, pattern: str) -> Column:
     return F.regexp_count(x, F.lit(pattern))
 
 
-def _plain_prose(s: Column) -> Column:
+def _plain_prose(s: Column, words: Column) -> Column:
     """Whether a line is so plainly prose that no other rule can hold: common words, no separators, no mark at its start."""
-    words = F.split(F.lower(s), r"\s+")
     common = F.size(F.filter(words, lambda w: w.isin(*[w for w in COMMON if len(w) > 1])))
-    return ~s.rlike(_MARKED) & (F.size(words) >= 5) & (common * 7 >= F.size(words))
+    return (F.size(words) >= 5) & ~s.rlike(_MARKED) & (common * 7 >= F.size(words))
 
 
 def _clean(s: Column, separator: str) -> Column:
@@ -112,21 +111,22 @@ def _row(cells: Column) -> Column:
 
 def _noise(line: Column, m: Column) -> Column:
     """The junk rule a line fails, or null; m holds its counts."""
-    solid, letters, digits, words, low = m["solid"], m["letters"], m["digits"], m["words"], m["low"]
-    broken = _many(line, r"\uFFFD|[ÃÂâ][\u0080-\u00BF\u20AC\u2122\u0153\u017E\u0178\uFFFD]") * 2 > ODD_SHARE * solid
-    control = _many(line, r"[\x00-\x08\x0e-\x1f\x7f]") > ODD_SHARE * solid
+    solid, letters, digits, words = m["solid"], m["letters"], m["digits"], m["words"]
+    low = F.lower(line)
+    broken = line.rlike(r"[\uFFFDÃÂâ]") & (_many(line, r"\uFFFD|[ÃÂâ][\u0080-\u00BF\u20AC\u2122\u0153\u017E\u0178\uFFFD]") * 2 > ODD_SHARE * solid)
+    control = line.rlike(r"[\x00-\x08\x0e-\x1f\x7f]") & (_many(line, r"[\x00-\x08\x0e-\x1f\x7f]") > ODD_SHARE * solid)
     tokens = F.regexp_extract_all(line, F.lit(r"(?<!\S)[A-Za-z0-9+/=_-]{%d,}(?!\S)" % LONG_TOKEN), F.lit(0))
     coded = F.filter(tokens, lambda t: t.rlike("^[0-9a-f]+$") | F.regexp_replace(t, "^[^A-Za-z]*[A-Za-z]", "").rlike("[A-Z0-9+/=]") & t.rlike("[A-Za-z]"))
     encoded = line.rlike(r"\S{%d}" % LONG_TOKEN) & (F.length(F.array_join(coded, "")) * 2 > solid)
     dense = (solid >= 10) & (letters < 0.75 * solid) & (letters <= 3 * words) & (words >= 4)
-    long_words = _many(low, r"\p{L}{3,}")
-    vowelless = _many(low, rf"(?<!\p{{L}})[\p{{L}}&&[^{_VOWELS}]]{{3,}}(?!\p{{L}})")
+    without = rf"(?<!\p{{L}})[\p{{L}}&&[^{_VOWELS}]]{{3,}}(?!\p{{L}})"
+    long_words, vowelless = _many(low, r"\p{L}{3,}"), _many(low, without)
     return (
         F.when(broken | control, "broken encoding").when(encoded, "encoded data")
         .when((digits >= DIGIT_SHARE * solid) & (letters < 0.2 * solid), "numbers")
         .when((solid >= 2) & ((letters + digits < LETTER_SHARE * solid) | dense), "symbols")
-        .when((long_words >= 3) & (vowelless > VOWELLESS_SHARE * long_words), "no words")
-        .when(low.rlike(r"\p{L}{%d,}" % (LONG_TOKEN + 1)) & (letters > 0.8 * solid) & (words <= 2), "encoded data")
+        .when(low.rlike(without) & (long_words >= 3) & (vowelless > VOWELLESS_SHARE * long_words), "no words")
+        .when((words <= 2) & (letters > 0.8 * solid) & low.rlike(r"\p{L}{%d,}" % (LONG_TOKEN + 1)), "encoded data")
     )
 
 
@@ -147,14 +147,14 @@ def _mark_rule(x: Column) -> Column:
 
 def _measured(lines: Column) -> Column:
     """Lines as structs: the rule each fails, its length, and what a run of short lines is judged by."""
-    low = lambda x: F.lower(x)
-    first = F.transform(lines, lambda x: F.struct(x.alias("line"), _trimmed(x).alias("s")))
-    second = F.transform(first, lambda x: F.struct(x["line"], x["s"], F.size(F.split(x["s"], r"\s+")).alias("n"), _plain_prose(x["s"]).alias("plain")))
-    counts = lambda x: F.struct(
-        F.length(F.regexp_replace(x["line"], r"\s", "")).alias("solid"), F.length(F.regexp_replace(x["line"], r"[^\p{L}]", "")).alias("letters"),
-        (F.length(x["line"]) - F.length(F.regexp_replace(x["line"], r"\p{Nd}", ""))).alias("digits"),
-        F.size(F.filter(F.split(x["line"], r"[^\p{L}]+"), lambda w: w != "")).alias("words"), low(x["line"]).alias("low"),
-    )
+    first = F.transform(lines, lambda x: F.struct(x.alias("line"), _trimmed(x).alias("s"), F.split(F.lower(_trimmed(x)), r"\s+").alias("w")))
+    second = F.transform(first, lambda x: F.struct(x["line"], x["s"], F.size(x["w"]).alias("n"), _plain_prose(x["s"], x["w"]).alias("plain")))
+    solid = lambda x: F.length(F.regexp_replace(x["line"], r"\s", ""))
+    digits = lambda x: F.length(x["line"]) - F.length(F.regexp_replace(x["line"], r"\p{Nd}", ""))
+    lettered = lambda x: F.filter(F.split(x["line"], r"[^\p{L}]+"), lambda w: w != "")
+    counts = lambda x: _once(lettered(x), lambda w: F.struct(
+        solid(x).alias("solid"), F.length(F.array_join(w, "")).alias("letters"), digits(x).alias("digits"), F.size(w).alias("words")
+    ))
     third = F.transform(second, lambda x: F.struct(x["line"], x["s"], x["n"], F.when(~x["plain"], counts(x)).alias("m")))
     fourth = F.transform(third, lambda x: F.struct(x["line"], x["s"], x["n"], x["m"], F.when(x["m"].isNotNull(), _shape_rule(x)).alias("shape")))
     marked = lambda x: F.when(x["m"].isNotNull() & x["shape"].isNull(), _mark_rule(x)).otherwise(x["shape"])
