@@ -1,10 +1,13 @@
-"""Queries of page scans on layout rows, of versions and of overrides, with oracle SQL."""
+"""Queries of page scans, of versions and of overrides, with oracle SQL."""
+
+from uuid import uuid4
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..session import table
+from ..session import shared_folder, table
+from ..sources import sinks
 from .windows import _LINES, doc_lines
 
 QUERIES: dict = {}
@@ -44,6 +47,18 @@ def k06_versions(spark, sf_dir):
     return per.select("job_id", "snapshot_no", path.alias("path"), "records", (F.max("snapshot_no").over(Window.partitionBy("job_id")) + 1).alias("next_version"))
 
 
+@query("SELECT job_id, count(*) AS entries, count(DISTINCT id) AS ids, 1 AS approved_version, '1,2' AS versions FROM manifest_entries GROUP BY job_id")
+def k07_approved_version(spark, sf_dir):
+    """The table written as a version, a smaller one after it, the first one approved and read through the approval."""
+    root = f"{shared_folder(spark)}/k07-{uuid4().hex}"
+    entries = table(spark, sf_dir, "manifest_entries").select("job_id", "snapshot_no", "id", "title")
+    first = sinks.snapshot(entries, root)
+    sinks.snapshot(entries.where("title is null"), root)
+    sinks.approve(spark, root, first)
+    made = sinks.approved(spark, root).groupBy("job_id").agg(F.count(F.lit(1)).alias("entries"), F.count_distinct("id").alias("ids"))
+    return made.select("job_id", "entries", "ids", F.lit(first).alias("approved_version"), F.lit(",".join(map(str, sinks.versions(spark, root)))).alias("versions"))
+
+
 @query("SELECT id, received_at, strftime(received_at, '%Y-%m-%dT%H:%M:%SZ') AS created_at FROM jobs")
 def c36_timestamps(spark, sf_dir):
     return table(spark, sf_dir, "jobs").select("id", "received_at", F.date_format("received_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"))

@@ -14,20 +14,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df written to the shared folder of spark.checkpoint.dir and read from there, so that it is computed once.
-
-    Where the session names no folder, a temporary one serves on one machine; a cluster without one computes df again
-    instead of trusting a folder that its executors may not share.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder of spark.checkpoint.dir, one of its own on a single machine, None on a cluster that names no folder."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None and not sc.master.startswith("local"):
-            return df
+            return None
         sc.setCheckpointDir(named or _own_folder())
-    return df.checkpoint(eager=True)
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read from there, so that it is computed once.
+
+    A cluster without such a folder computes df again instead of trusting one that its executors may not share.
+    """
+    return df if shared_folder(df.sparkSession) is None else df.checkpoint(eager=True)
 
 
 def _own_folder() -> str:
