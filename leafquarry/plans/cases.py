@@ -1,7 +1,7 @@
 """Queries on written cases, for operators whose input does not occur in the tables.
 
-cases.jsonl holds them, one a line: operator, input (text, or JSON where the operator takes a structure) and the result
-that a person worked out. A query gives case_no, input and result; its SQL gives the written results, so the oracle is
+cases.jsonl holds them, one a line: operator, input (text, or JSON where the operator takes a structure) and the result,
+written by hand from the operator's description. A query gives case_no, input and result; its SQL gives the written results, so the oracle is
 no second version of the operator. The same operators are tested on null and empty input in tests/.
 """
 
