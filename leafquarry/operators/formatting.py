@@ -29,6 +29,8 @@ STARTER = (
     r"^(?:#{1,6}\s|<!--|!\[|-{3,}\s*$|\||```|[-*] |>|[0-9]+\.\s|\*?Page \**[0-9]|\*\*[^*]+\*\*$|(?:C2|C1|B2\+?|B1\+?|A2\+?|A1\+?|Pre-A1)$"
     r"|(?:CHAPTER|APPENDIX|FIGURE|TABLE)\s+[0-9]|FOREWORD|PREFACE|CONTENTS$|LIST OF |[0-9]+(?:\.[0-9]+)+\.\s+[A-Z])"
 )
+NEXT_ITEM = r";\s+(?:f|-)\s+(?=[A-Za-z“\"'(\[])"  # the next item of a list inside a line
+SPLIT_SECTION = r"(?i)\b(?:sections?|chapters?|appendix)$"
 SENTENCE_END = r"[.!?;:)\]\"']\s*$"
 CONTENTS_PAGES = 10  # the contents end at this page at the latest
 
@@ -136,7 +138,7 @@ def drop_repeated_markers(df: DataFrame) -> DataFrame:
 def bullets_inline(line: Column) -> Column:
     """Bullet glyphs inside a line, and the letter f that a symbol font leaves between items, start list items."""
     arrows = F.regexp_replace(F.regexp_replace(line, "(?<=\\S)[ \t]*►[ \t]*", "\n- "), "^([ \t]*)►[ \t]*", "$1- ")
-    after_list = F.regexp_replace(arrows, r";\s+(?:f|-)\s+(?=[A-Za-z“\"'(\[])", ";\n- ")
+    after_list = F.regexp_replace(arrows, NEXT_ITEM, ";\n- ")
     return F.regexp_replace(after_list, r":\s*f(?=\*\*)", ":\n\n- ")
 
 
@@ -152,7 +154,7 @@ def join_split_bold(df: DataFrame) -> DataFrame:
     """Paragraphs that were parted at a bold word or between a section's name and its number."""
     bold = F.col("_p").rlike("[a-z,;:%0-9]$") & F.col("line").rlike(r"^\*\*[a-z]")
     goes_on = F.col("_p").rlike(r"\*\*[^*]+\*\*$") & ~F.col("_p").rlike(r"^\*\*[^*]+\*\*$") & F.col("line").rlike("^[a-z]")
-    numbered = F.col("_p").rlike(r"(?i)\b(?:sections?|chapters?|appendix)$") & F.col("line").rlike(r"^[0-9]+(?:\.[0-9]+)+")
+    numbered = F.col("_p").rlike(SPLIT_SECTION) & F.col("line").rlike(r"^[0-9]+(?:\.[0-9]+)+")
     return joined_to_previous(df, (F.col("gap") > 0) & (bold | goes_on | numbered))
 
 

@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from .issues import issue, united
 
+# Markers, figures, boxes and page feet as the texts write them.
 MARK = r"<!--\s*page:([0-9]+)\s*-->"
+FIRST_FIGURE = r"(?s)(?:!\[[^\]]*\]\([^)]*figure_[0-9]+[^)]*\.png\)|<!--\s*db:id=figure_).*"
+FIGURE_NUMBER = r"(?i)<!--\s*db:id=figure_[0-9]+_|###\s+Figure\s+[0-9]+\b"
+BOX = r"(?ms)(^>\s*\*\*.*)"
+FOOT = r"(?m)^[0-9]{1,2}\.\s|Page\s+\*\*"
 SPEC = (
     "doc_id string, page int, must_have array<string>, must_not_have array<string>, must_not_have_after_image array<string>, "
     "must_not_have_after_diagram_fence array<string>, max_title_count map<string,int>, max_heading_count map<string,int>, "
@@ -51,7 +56,7 @@ def _when(test: Column, check: str, detail: str) -> Column:
 
 def after_image(body: Column) -> Column:
     """The body from its first figure on; empty where it has none."""
-    return F.regexp_extract(body, r"(?s)(?:!\[[^\]]*\]\([^)]*figure_[0-9]+[^)]*\.png\)|<!--\s*db:id=figure_).*", 0)
+    return F.regexp_extract(body, FIRST_FIGURE, 0)
 
 
 def after_diagram(body: Column) -> Column:
@@ -66,10 +71,10 @@ def golden_issues(bodies: DataFrame, specs: DataFrame) -> DataFrame:
     lines = lambda b: F.split(b, "\n")
     times = lambda p: (F.length(body) - F.length(F.replace(body, p, F.lit("")))) / F.length(p)
     headings = lambda p: F.when(p.startswith("###"), F.size(F.filter(lines(body), lambda x: F.lower(F.rtrim(x)) == F.lower(F.rtrim(p))))).otherwise(times(p))
-    numbers = F.transform(F.regexp_extract_all(body, F.lit(r"(?i)<!--\s*db:id=figure_[0-9]+_|###\s+Figure\s+[0-9]+\b"), F.lit(0)), lambda x: F.regexp_extract(x, "([0-9]+)", 1).cast("int"))
+    numbers = F.transform(F.regexp_extract_all(body, F.lit(FIGURE_NUMBER), F.lit(0)), lambda x: F.regexp_extract(x, "([0-9]+)", 1).cast("int"))
     seen, wanted = F.array_distinct(numbers), F.coalesce("figure_order", F.array().cast("array<int>"))
     disordered = F.filter(wanted, lambda n: F.array_contains(seen, n)) != F.filter(seen, lambda n: F.array_contains(wanted, n))
-    box = F.regexp_extract(body, r"(?ms)(^>\s*\*\*.*)", 1)
+    box = F.regexp_extract(body, BOX, 1)
     inner = F.split(F.split(box, r"\n[0-9]{1,2}\.\s", 2)[0], r"\nPage\s+\*\*", 2)[0]
     long_prose = F.exists(lines(inner), lambda x: (F.length(F.trim(x)) > 120) & ~F.trim(x).rlike(r"^(?:>|<!--|#|\*|\|)"))
     at_end, at_top = (F.col("callout_placement") == "end_body") & (box != ""), (F.col("callout_placement") == "top_left") & (box != "")
@@ -77,7 +82,7 @@ def golden_issues(bodies: DataFrame, specs: DataFrame) -> DataFrame:
         _each("must_have", lambda p: ~F.contains(body, p)), _each("must_not_have", lambda p: F.contains(body, p)),
         _each("must_not_have_after_image", lambda p: F.contains(after_image(body), p)), _each("must_not_have_after_diagram_fence", lambda p: F.contains(after_diagram(body), p)),
         _counted("max_title_count", times), _counted("max_heading_count", headings), _when(disordered, "V-ADJ-GOLDEN", "figure_order"),
-        _when(at_end & ~box.rlike(r"(?m)^[0-9]{1,2}\.\s|Page\s+\*\*"), "V-ADJ-CALLOUT-PLACE", "not before the page's foot"),
+        _when(at_end & ~box.rlike(FOOT), "V-ADJ-CALLOUT-PLACE", "not before the page's foot"),
         _when(at_end & long_prose, "V-ADJ-CALLOUT-PLACE", "prose behind it"),
         _when(at_top & (F.length(body) - F.length(box) > F.length(body) * 0.45), "V-ADJ-CALLOUT-PLACE", "late on the page"),
     )
